@@ -14,9 +14,20 @@ from pyspark.sql import functions as F
 from cabgrid.operators import areas, cells, frames, profiles, routes
 from cabgrid.operators.profiles import MEAN_DIGITS
 from cabgrid.plans import queries as Q
+from cabgrid.plans.prepare import prepare_trips, read_column_files
+from cabgrid.session import scratch_path
+from cabgrid.sources import fixture
+from cabgrid.sources.files import read_csv, union_all, write_csv
 from cabgrid.sources.fixture import load_trips
+from cabgrid.sources.schema import COLUMN_STREAM_COLUMNS, RANKING_SCHEMA, TRIP_COLUMNS
+from cabgrid.streaming import columns as scol
+from cabgrid.streaming import routes as sroutes
 
 K = 10
+# First rows read of every trip and fare file (the original's ``nrows``).
+ROWS_PER_FILE = 2000
+WATERMARK = "30 minutes"
+STREAM_TIMEOUT_S = 900
 
 
 def _trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,6 +187,117 @@ def profitable_times(spark, sf):
     return profiles.profitable_times(Q.profitability_per_window(_trips(spark, sf)))
 
 
+# --- files: scans, sinks, preparation ------------------------------------
+
+
+def scan_trips_csv(spark, sf):
+    path = scratch_path(spark, "trips-csv")
+    write_csv(_trips(spark, sf).select(*TRIP_COLUMNS), path)
+    return read_csv(spark, f"{path}/*.csv")
+
+
+def sink_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "ranked-csv")
+    write_csv(Q.frequent_routes(_trips(spark, sf), K), path, order_by=["window_end", "rank"], single_file=True)
+    return read_csv(spark, path, schema=RANKING_SCHEMA)
+
+
+def _trip_fare_files(spark, sf):
+    trip_dir, fare_dir = scratch_path(spark, "trip-files"), scratch_path(spark, "fare-files")
+    fixture.write_trip_fare_files(_trips(spark, sf), trip_dir, fare_dir)
+    return trip_dir, fare_dir
+
+
+def merge_fare_trip(spark, sf):
+    trip_dir, fare_dir = _trip_fare_files(spark, sf)
+    return prepare_trips(spark, trip_dir, fare_dir, pair_on="day")
+
+
+def scan_limit_per_file(spark, sf):
+    trip_dir, fare_dir = _trip_fare_files(spark, sf)
+    return prepare_trips(spark, trip_dir, fare_dir, rows_per_file=ROWS_PER_FILE, pair_on="day")
+
+
+def positional_zip(spark, sf):
+    root = scratch_path(spark, "column-files")
+    fixture.write_column_files(_trips(spark, sf), root, COLUMN_STREAM_COLUMNS)
+    rows = read_column_files(spark, root, COLUMN_STREAM_COLUMNS)
+    typed = rows.select(
+        F.col("_pair").alias("file_key"),
+        "row_pos",
+        F.col("dropoff_datetime").try_cast("timestamp_ntz").alias("dropoff_datetime"),
+        *[F.col(c).try_cast("double").alias(c) for c in COLUMN_STREAM_COLUMNS[1:]],
+    )
+    return cells.with_axis_codes(typed, scol.AXIS_CODES).select(
+        "file_key", "row_pos", "dropoff_datetime", *scol.AXIS_CODES
+    )
+
+
+def union_months(spark, sf):
+    t = _trips(spark, sf).select(*TRIP_COLUMNS)
+    am = F.hour("dropoff_datetime") < 12
+    paths = [scratch_path(spark, "trips-am"), scratch_path(spark, "trips-pm")]
+    write_csv(t.where(am), paths[0])
+    write_csv(t.where(~am), paths[1])
+    return union_all([read_csv(spark, p) for p in paths])
+
+
+def sorted_trips(spark, sf):
+    return _trips(spark, sf).orderBy("dropoff_datetime", "trip_id")
+
+
+# --- streams ---------------------------------------------------------------
+
+
+def _run(query) -> None:
+    try:
+        if not query.awaitTermination(STREAM_TIMEOUT_S):
+            raise TimeoutError(f"stream {query.id} still running after {STREAM_TIMEOUT_S}s")
+    finally:
+        query.stop()
+
+
+def _stream_dirs(spark, sf, columns=None):
+    src = scratch_path(spark, "stream-in")
+    fixture.write_stream_files(_trips(spark, sf), src, columns)
+    return src, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+
+
+def stream_route_counts_complete(spark, sf):
+    src, out, ck = _stream_dirs(spark, sf)
+    counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src))
+    _run(sroutes.start(counts, sroutes.overwrite_writer(out), "complete", ck))
+    return sroutes.read_window_output(spark, out)
+
+
+def stream_route_counts_append(spark, sf):
+    src, out, ck = _stream_dirs(spark, sf)
+    counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src), watermark=WATERMARK)
+    _run(sroutes.start(counts, "parquet", "append", ck, path=out))
+    return sroutes.read_window_output(spark, out)
+
+
+def stream_topk_routes(spark, sf):
+    src, out, ck = _stream_dirs(spark, sf)
+    counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src), watermark=WATERMARK)
+    _run(sroutes.start(counts, sroutes.topk_batch_writer(out, K), "append", ck))
+    return sroutes.read_window_output(spark, out)
+
+
+def stream_cell_pairs(spark, sf):
+    src, out, ck = _stream_dirs(spark, sf, COLUMN_STREAM_COLUMNS)
+    pairs = scol.cell_pairs(scol.read_column_stream(spark, src))
+    _run(sroutes.start(pairs, "parquet", "append", ck, path=out))
+    return sroutes.read_window_output(spark, out, ("dropoff_datetime",))
+
+
+def stream_batch_counts(spark, sf):
+    src, out, ck = _stream_dirs(spark, sf, COLUMN_STREAM_COLUMNS)
+    stream = scol.read_column_stream(spark, src, max_files_per_trigger=1)
+    _run(sroutes.start(stream, scol.batch_counts_writer(out), "append", ck))
+    return sroutes.read_window_output(spark, out, ("first_time", "last_time"))
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -210,5 +332,17 @@ QUERIES = {
         busiest_times,
         cell_daytime_profile,
         profitable_times,
+        scan_trips_csv,
+        sink_csv_roundtrip,
+        merge_fare_trip,
+        scan_limit_per_file,
+        positional_zip,
+        union_months,
+        sorted_trips,
+        stream_route_counts_complete,
+        stream_route_counts_append,
+        stream_topk_routes,
+        stream_cell_pairs,
+        stream_batch_counts,
     ]
 }

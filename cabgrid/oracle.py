@@ -248,3 +248,37 @@ ORACLE_SQL = {
     + """SELECT strftime("window", '%H:%M') AS time, round(avg(avg_profitability), 9) AS avg_profitability
       FROM perwin GROUP BY ALL""",
 }
+
+
+_CLOSED = """ WHERE window_end <= (SELECT max(dropoff_datetime) FROM ig) - INTERVAL '30 minutes'"""
+_DAY = "CAST(dropoff_datetime AS DATE)"
+
+ORACLE_SQL.update(
+    {
+        # files
+        "scan_trips_csv": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
+        "sink_csv_roundtrip": ORACLE_SQL["topk_routes"],
+        "merge_fare_trip": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
+        "scan_limit_per_file": _with(TRIPS)
+        + f"""SELECT * EXCLUDE (trip_id, pos) FROM (
+            SELECT *, row_number() OVER (PARTITION BY {_DAY} ORDER BY trip_id) AS pos FROM trips)
+          WHERE pos <= 2000""",
+        "positional_zip": _GRID_ALL
+        + f"""SELECT CAST({_DAY} AS VARCHAR) AS file_key, row_number() OVER (PARTITION BY {_DAY} ORDER BY trip_id) - 1 AS row_pos,
+            dropoff_datetime, {_axis('se')} AS pickup_east, {_axis('ss')} AS pickup_south,
+            {_axis('ee')} AS dropoff_east, {_axis('es')} AS dropoff_south
+          FROM grid""",
+        "union_months": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
+        "sorted_trips": _with(TRIPS) + "SELECT * FROM trips ORDER BY dropoff_datetime, trip_id",
+        # streams: complete mode equals batch; append mode equals batch on closed windows
+        "stream_route_counts_complete": ORACLE_SQL["route_counts"],
+        "stream_route_counts_append": BASE + """SELECT window_end, route, "count" FROM rc""" + _CLOSED,
+        "stream_topk_routes": BASE[:-1] + "," + TOPK_ROUTES.format(k=10) + "\nSELECT * FROM topk" + _CLOSED,
+        "stream_cell_pairs": _GRID_ALL
+        + f"""SELECT dropoff_datetime, {_axis('se')} AS pickup_east, {_axis('ss')} AS pickup_south,
+            {_axis('ee')} AS dropoff_east, {_axis('es')} AS dropoff_south FROM grid""",
+        "stream_batch_counts": _with(TRIPS)
+        + f"""SELECT count(*) AS num_rows, min(dropoff_datetime) AS first_time, max(dropoff_datetime) AS last_time
+          FROM trips GROUP BY {_DAY}""",
+    }
+)

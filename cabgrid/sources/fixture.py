@@ -66,3 +66,49 @@ def trips_from_events(events: DataFrame, with_id: bool = True) -> DataFrame:
 def load_trips(spark, sf_dir: str, with_id: bool = True) -> DataFrame:
     """Trips of one test scale, e.g. ``/root/testdata/sf0.01``."""
     return trips_from_events(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"), with_id)
+
+
+# --- trips as files, for the file-based operators -------------------------
+#
+# The original reads trip and fare CSV files, one value per line column
+# files and a folder of CSV files for its stream. These writers produce that
+# layout from any trip DataFrame with Spark, one file per drop-off day:
+# ``<dir>/day=YYYY-MM-DD/part-*.csv``, rows in ``trip_id`` order.
+
+TRIP_SIDE = TRIP_COLUMNS[:10]  # medallion .. dropoff_latitude
+FARE_SIDE = ["medallion", "hack_license", "pickup_datetime"] + TRIP_COLUMNS[10:]
+
+
+def _by_day(trips: DataFrame) -> DataFrame:
+    # Sorting by (day, trip_id) also satisfies the writer's ordering by the
+    # partition column, so no second sort can reorder rows inside a file.
+    t = trips.withColumn("day", F.to_date("dropoff_datetime"))
+    return t.repartition("day").sortWithinPartitions("day", "trip_id")
+
+
+def write_trip_fare_files(trips: DataFrame, trip_dir: str, fare_dir: str) -> None:
+    """Trip files and fare files with headers, paired by folder and row position.
+
+    Fare headers after the first carry a leading blank, as in the public
+    fare files; the writer must not trim them.
+    """
+    t = _by_day(trips)
+    t.select("day", *TRIP_SIDE).write.partitionBy("day").option("header", True).csv(trip_dir)
+    fare = t.select("day", *[F.col(c).alias(c if i == 0 else f" {c}") for i, c in enumerate(FARE_SIDE)])
+    fare.write.partitionBy("day").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(fare_dir)
+
+
+def write_column_files(trips: DataFrame, root: str, columns: list[str]) -> None:
+    """One folder per column, one value per line (``<root>/<column>/day=.../``)."""
+    t = _by_day(trips)
+    for c in columns:
+        t.select("day", F.col(c).cast("string").alias("value")).write.partitionBy("day").text(f"{root}/{c}")
+
+
+def write_stream_files(trips: DataFrame, path: str, columns: list[str] | None = None) -> None:
+    """Headerless CSV files for a file stream; timestamps as UTC text with ``Z``."""
+    from cabgrid.functions.timewin import utc_text
+
+    t = _by_day(trips)
+    cols = [utc_text(c).alias(c) if c.endswith("_datetime") else F.col(c) for c in (columns or TRIP_COLUMNS)]
+    t.select("day", *cols).write.partitionBy("day").csv(path)

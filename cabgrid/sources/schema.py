@@ -60,3 +60,13 @@ def trip_schema(ts_type: T.DataType | None = None, columns: list[str] | None = N
 
 TRIP_SCHEMA = trip_schema()
 STREAM_TRIP_SCHEMA = trip_schema(T.TimestampType())
+
+# Ranked routes as the CSV sink writes them: route, count, rank, window end.
+RANKING_SCHEMA = T.StructType(
+    [
+        T.StructField("route", T.StringType()),
+        T.StructField("count", T.LongType()),
+        T.StructField("rank", T.IntegerType()),
+        T.StructField("window_end", T.TimestampNTZType()),
+    ]
+)
