@@ -8,7 +8,8 @@ Parquet scan reads only the event columns behind them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from cabgrid.functions.grid import DLAT, DLON, LAT0, LON0
@@ -18,54 +19,68 @@ from cabgrid.sources.schema import TRIP_COLUMNS
 BASE_TIME = "2024-01-01 00:00:00"
 
 
-def _lon(c: Column) -> Column:
-    """Longitude of the middle of grid column ``c``."""
-    return F.lit(LON0) + F.lit(DLON) * (c + F.lit(0.5))
+def _lon(c: str) -> str:
+    """Longitude of the middle of grid column ``c`` (SQL text, double literals)."""
+    return f"({LON0!r}D + {DLON!r}D * (({c}) + 0.5D))"
 
 
-def _lat(c: Column) -> Column:
+def _lat(c: str) -> str:
     """Latitude of the middle of grid row ``c``."""
-    return F.lit(LAT0) - F.lit(DLAT) * (c + F.lit(0.5))
+    return f"({LAT0!r}D - {DLAT!r}D * (({c}) + 0.5D))"
+
+
+_E, _U = "event_id", "user_id"
+_TRIP_TIME = f"CAST(120 + ({_E} * 7919) % 1680 AS INT)"
+_DROPOFF = f"timestampadd(SECOND, 3600 + {_E} * 13 + {_U} % 7, TIMESTAMP_NTZ '{BASE_TIME}')"
+_TIP = f"({_E} % 7) * 0.5D"
+
+# One SQL expression per trip column: a single ``selectExpr`` builds the
+# whole projection in one call instead of hundreds of small Column calls.
+TRIP_EXPRS = {
+    "trip_id": _E,
+    "medallion": f"CAST({_U} AS STRING)",
+    "hack_license": f"CAST({_U} AS STRING)",
+    "pickup_datetime": f"timestampadd(SECOND, -{_TRIP_TIME}, {_DROPOFF})",
+    "dropoff_datetime": _DROPOFF,
+    "trip_time_in_secs": _TRIP_TIME,
+    "trip_distance": f"{_TRIP_TIME} / 300.0D",
+    "pickup_longitude": f"CASE WHEN {_E} % 97 = 0 THEN 0.0D WHEN {_E} % 103 = 0 THEN {_lon('-3')} "
+    f"ELSE {_lon(f'150 + ({_E} * 31 + {_U}) % 4')} END",
+    "pickup_latitude": f"CASE WHEN {_E} % 97 = 0 THEN 0.0D WHEN {_E} % 101 = 0 THEN {_lat('-4')} "
+    f"WHEN {_E} % 211 = 0 THEN CAST(NULL AS DOUBLE) ELSE {_lat(f'160 + ({_E} * 17 + {_U} * 3) % 3')} END",
+    "dropoff_longitude": _lon(f"150 + ({_E} * 7 + {_U} * 5) % 4"),
+    "dropoff_latitude": _lat(f"160 + ({_U} + {_E}) % 3"),
+    "payment_type": "event_type",
+    "fare_amount": "value",
+    "surcharge": "0.5D",
+    "mta_tax": "0.5D",
+    "tip_amount": _TIP,
+    "tolls_amount": "0.0D",
+    "total_amount": f"value + {_TIP} + 1.0D",
+}
 
 
 def trips_from_events(events: DataFrame, with_id: bool = True) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    trip_time = (F.lit(120) + (e * 7919) % 1680).cast("int")
-    dropoff = F.timestamp_add("SECOND", F.lit(3600) + e * 13 + u % 7, F.lit(BASE_TIME).cast("timestamp_ntz"))
-    fare = F.col("value")
-    tip = (e % 7) * F.lit(0.5)
-    cols = {
-        "trip_id": e,
-        "medallion": u.cast("string"),
-        "hack_license": u.cast("string"),
-        "pickup_datetime": F.timestamp_add("SECOND", -trip_time, dropoff),
-        "dropoff_datetime": dropoff,
-        "trip_time_in_secs": trip_time,
-        "trip_distance": trip_time / F.lit(300.0),
-        "pickup_longitude": F.when(e % 97 == 0, F.lit(0.0))
-        .when(e % 103 == 0, _lon(F.lit(-3)))
-        .otherwise(_lon(F.lit(150) + (e * 31 + u) % 4)),
-        "pickup_latitude": F.when(e % 97 == 0, F.lit(0.0))
-        .when(e % 101 == 0, _lat(F.lit(-4)))
-        .when(e % 211 == 0, F.lit(None).cast("double"))
-        .otherwise(_lat(F.lit(160) + (e * 17 + u * 3) % 3)),
-        "dropoff_longitude": _lon(F.lit(150) + (e * 7 + u * 5) % 4),
-        "dropoff_latitude": _lat(F.lit(160) + (u + e) % 3),
-        "payment_type": F.col("event_type"),
-        "fare_amount": fare,
-        "surcharge": F.lit(0.5),
-        "mta_tax": F.lit(0.5),
-        "tip_amount": tip,
-        "tolls_amount": F.lit(0.0),
-        "total_amount": fare + tip + F.lit(1.0),
-    }
     names = (["trip_id"] if with_id else []) + TRIP_COLUMNS
-    return events.select(*[cols[n].alias(n) for n in names])
+    return events.selectExpr(*[f"{TRIP_EXPRS[n]} AS {n}" for n in names])
+
+
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
 
 
 def load_trips(spark, sf_dir: str, with_id: bool = True) -> DataFrame:
-    """Trips of one test scale, e.g. ``/root/testdata/sf0.01``."""
-    return trips_from_events(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"), with_id)
+    """Trips of one test scale, e.g. ``/root/testdata/sf0.01`` (declared schema, no inference)."""
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return trips_from_events(events, with_id)
 
 
 # --- trips as files, for the file-based operators -------------------------
