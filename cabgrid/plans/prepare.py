@@ -21,10 +21,16 @@ from cabgrid.sources.schema import TRIP_SCHEMA
 
 
 def file_pair_key(pair_on: str | None) -> Column:
+    """The pairing key of a file.
+
+    With ``pair_on``, a partition column both folders share (``day=...``).
+    Otherwise the last number in the file name, where a Spark-written
+    ``part-*`` file stands for its folder: ``trip_data_7.csv`` and
+    ``trip_fare_7.csv/part-00000-....csv`` both give ``7``.
+    """
     if pair_on:
         return F.col(pair_on).cast("string")
-    name = F.regexp_extract(F.col("source_file"), r"([^/]*)$", 1)
-    return F.regexp_extract(name, r"(\d+)\D*$", 1)
+    return F.regexp_extract(F.col("source_file"), r"(\d+)\D*?(?:/part-[^/]*)?$", 1)
 
 
 def read_positioned(spark: SparkSession, path: str, pair_on: str | None, rows_per_file: int | None) -> DataFrame:
