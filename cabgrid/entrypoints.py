@@ -128,6 +128,10 @@ def topk_routes_intended(spark, sf):
     return Q.frequent_routes(_trips(spark, sf), K, semantics="intended")
 
 
+def topk_routes_sliding(spark, sf):
+    return Q.frequent_routes(_trips(spark, sf), K, slide="15 minutes")
+
+
 # --- profitable areas ------------------------------------------------------
 
 
@@ -164,6 +168,10 @@ def profitability_per_window(spark, sf):
     return out.withColumn("avg_profitability", F.round("avg_profitability", MEAN_DIGITS))
 
 
+def empty_taxis_intended(spark, sf):
+    return areas.empty_taxis(_trips(spark, sf))
+
+
 def profitable_cells_intended(spark, sf):
     return Q.profitable_cells(_trips(spark, sf), K, max_secs=None, semantics="intended")
 
@@ -319,6 +327,7 @@ QUERIES = {
         frequent_routes_overall,
         distinct_windows,
         topk_routes_intended,
+        topk_routes_sliding,
         dropoff_counts,
         pickup_counts,
         empty_cabs,
@@ -327,6 +336,7 @@ QUERIES = {
         topk_cells,
         topk_cells_k3,
         profitability_per_window,
+        empty_taxis_intended,
         profitable_cells_intended,
         route_daytime_profile,
         busiest_times,

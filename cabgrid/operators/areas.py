@@ -28,6 +28,8 @@ from cabgrid.functions.timewin import window_end, window_start
 from cabgrid.operators.cells import END_AXES, START_AXES, in_grid_trips
 
 AREA_WINDOW = "15 minutes"
+# How far back the intended empty-taxi rule looks for a taxi's last drop-off.
+EMPTY_HORIZON = "30 minutes"
 SHORT_TRIP_SECS = 900
 # Accuracy of percentile_approx; Spark's default.
 MEDIAN_ACCURACY = 10000
@@ -166,14 +168,65 @@ def empty_cabs(trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "ob
     return stats.where(_empty() > 0).select("window", _cell(), _empty().alias("empty_cabs"))
 
 
+def empty_taxis(
+    trips: DataFrame, length: str = AREA_WINDOW, horizon: str = EMPTY_HORIZON, semantics: str = "intended"
+) -> DataFrame:
+    """Intended empty-taxi rule (D3): ``window, cell, empty_cabs``.
+
+    At every window end T (a multiple of ``length``), a taxi is empty in the
+    cell of its latest drop-off in [T - ``horizon``, T) when it has no pickup
+    after that drop-off and before T. Drop-offs and pickups are assigned to
+    the sliding windows that contain them; the latest drop-off is one
+    aggregate per (window, medallion) and the "no later pickup" test is a
+    left anti join on (window, medallion). Keys carry the window, so a join
+    group holds what one taxi does in ``horizon``: a busy medallion cannot
+    pile up in one task.
+    """
+    t = in_grid_trips(trips, semantics)
+    e, s = END_AXES
+    drops = t.select(
+        "medallion",
+        window_end("dropoff_datetime", horizon, length).alias("window"),
+        F.struct("dropoff_datetime", F.col(e).alias("east"), F.col(s).alias("south")).alias("drop"),
+    )
+    latest = drops.groupBy("window", "medallion").agg(F.max("drop").alias("last"))
+    picks = t.select(
+        F.col("medallion").alias("p_medallion"),
+        window_end("pickup_datetime", horizon, length).alias("p_window"),
+        "pickup_datetime",
+    )
+    later_pickup = (
+        (F.col("window") == F.col("p_window"))
+        & (F.col("medallion") == F.col("p_medallion"))
+        & (F.col("pickup_datetime") > F.col("last.dropoff_datetime"))
+    )
+    idle = latest.join(picks, later_pickup, "left_anti")
+    return (
+        idle.groupBy("window", F.col("last.east").alias("east"), F.col("last.south").alias("south"))
+        .agg(F.count(F.lit(1)).alias("empty_cabs"))
+        .select("window", _cell(), "empty_cabs")
+    )
+
+
 def profitability(
     trips: DataFrame,
     length: str = AREA_WINDOW,
     max_secs: int | None = SHORT_TRIP_SECS,
     accuracy: int = MEDIAN_ACCURACY,
     semantics: str = "observed",
+    horizon: str = EMPTY_HORIZON,
 ) -> DataFrame:
-    """``window, cell, profitability`` = profit / empty cabs."""
+    """``window, cell, profitability`` = profit / empty cabs.
+
+    ``observed`` counts empty cabs as drop-offs minus next-window pickups
+    (fused single aggregate); ``intended`` uses ``empty_taxis``.
+    """
+    if semantics == "intended":
+        empty = empty_taxis(trips, length, horizon, semantics)
+        profit = area_profit(trips, length, max_secs, accuracy, semantics)
+        return empty.join(profit, ["window", "cell"]).select(
+            "window", "cell", (F.col("profit") / F.col("empty_cabs")).alias("profitability")
+        )
     stats = area_stats(trips, length, max_secs, accuracy, True, semantics)
     return stats.where((_empty() > 0) & (F.col("n_profit") > 0)).select(
         "window", _cell(), (F.col("profit") / _empty()).alias("profitability")

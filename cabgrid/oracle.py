@@ -147,6 +147,48 @@ perwin AS (
   SELECT "window", avg(profitability) AS avg_profitability FROM prof GROUP BY "window")"""
 
 
+# Intended empty taxis: a drop-off at d lies in the 30 minute windows ending at
+# the two 15 minute marks in (d, d + 30 min].
+EMPTY_INTENDED = f"""
+dwin AS (
+  SELECT medallion, {_bucket_end("dropoff_datetime", 15)} AS "window", dropoff_datetime, ee, es FROM ig
+  UNION ALL
+  SELECT medallion, {_bucket_end("dropoff_datetime", 15)} + INTERVAL '15 minutes', dropoff_datetime, ee, es FROM ig),
+latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY "window", medallion
+                                 ORDER BY dropoff_datetime DESC, ee DESC, es DESC) AS rn FROM dwin)
+  WHERE rn = 1),
+idle AS (
+  SELECT * FROM latest l WHERE NOT EXISTS (
+    SELECT 1 FROM ig p WHERE p.medallion = l.medallion
+      AND p.pickup_datetime > l.dropoff_datetime AND p.pickup_datetime < l."window")),
+empty AS (
+  SELECT "window", {_cell("ee", "es")} AS cell, count(*) AS empty_cabs FROM idle GROUP BY ALL)"""
+
+AREAS_INTENDED = f"""
+profit AS (
+  SELECT {_bucket_end("dropoff_datetime", 15)} AS "window", {_cell("se", "ss")} AS cell,
+    quantile_disc(fare_amount + tip_amount, 0.5) AS profit
+  FROM ig GROUP BY ALL),
+prof AS (
+  SELECT e."window", e.cell, p.profit / e.empty_cabs AS profitability
+  FROM empty e JOIN profit p ON e."window" = p."window" AND e.cell = p.cell),
+topc AS (
+  SELECT "window", cell, profitability, CAST(rn AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY "window" ORDER BY profitability DESC, cell) AS rn FROM prof)
+  WHERE rn <= {{k}})"""
+
+# Sliding 30 minute windows every 15 minutes: two window ends per trip.
+RC_SLIDING = f"""
+rc AS (
+  SELECT window_end, route, count(*) AS "count" FROM (
+    SELECT {_bucket_end("dropoff_datetime", 15)} AS window_end, {ROUTE} AS route FROM ig
+    UNION ALL
+    SELECT {_bucket_end("dropoff_datetime", 15)} + INTERVAL '15 minutes', {ROUTE} FROM ig)
+  GROUP BY ALL),"""
+
+
 def _areas(k: int = 10, short: str = "trip_time_in_secs <= 900", intended: bool = False) -> str:
     return _with(TRIPS, _grid(intended), AREAS.format(k=k, short=short))
 
@@ -220,7 +262,10 @@ ORACLE_SQL = {
     "topk_cells_k3": _areas(k=3) + "SELECT * FROM topc",
     "profitability_per_window": _areas()
     + 'SELECT "window", round(avg_profitability, 9) AS avg_profitability FROM perwin',
-    "profitable_cells_intended": _areas(short="TRUE", intended=True) + "SELECT * FROM topc",
+    "profitable_cells_intended": _with(TRIPS, _grid(True), EMPTY_INTENDED, AREAS_INTENDED.format(k=10))
+    + "SELECT * FROM topc",
+    "empty_taxis_intended": _with(TRIPS, _grid(True), EMPTY_INTENDED) + "SELECT * FROM empty",
+    "topk_routes_sliding": _with(TRIPS, _grid(), RC_SLIDING) + TOPK_ROUTES.format(k=10) + "\nSELECT * FROM topk",
     # time-of-day profiles
     "route_daytime_profile": BASE[:-1]
     + ","
