@@ -175,32 +175,44 @@ def empty_taxis(
 
     At every window end T (a multiple of ``length``), a taxi is empty in the
     cell of its latest drop-off in [T - ``horizon``, T) when it has no pickup
-    after that drop-off and before T. Drop-offs and pickups are assigned to
-    the sliding windows that contain them; the latest drop-off is one
-    aggregate per (window, medallion) and the "no later pickup" test is a
-    left anti join on (window, medallion). Keys carry the window, so a join
-    group holds what one taxi does in ``horizon``: a busy medallion cannot
-    pile up in one task.
+    after that drop-off and before T.
+
+    "No later pickup" only needs the taxi's latest pickup in the same window,
+    so drop-offs and pickups become one stream of events (``inline``), each
+    assigned to its sliding windows, and a single partial-combinable
+    aggregate per (window, medallion) keeps the latest drop-off (with its
+    cell) and the latest pickup. No join: a medallion shared by a third of
+    all rows is combined map-side like any hot key.
     """
     t = in_grid_trips(trips, semantics)
     e, s = END_AXES
-    drops = t.select(
-        "medallion",
-        window_end("dropoff_datetime", horizon, length).alias("window"),
-        F.struct("dropoff_datetime", F.col(e).alias("east"), F.col(s).alias("south")).alias("drop"),
+    events = F.array(
+        F.struct(
+            F.col("dropoff_datetime").alias("time"),
+            F.lit(True).alias("is_drop"),
+            F.col(e).alias("east"),
+            F.col(s).alias("south"),
+        ),
+        F.struct(
+            F.col("pickup_datetime").alias("time"),
+            F.lit(False).alias("is_drop"),
+            F.lit(None).cast("bigint").alias("east"),
+            F.lit(None).cast("bigint").alias("south"),
+        ),
     )
-    latest = drops.groupBy("window", "medallion").agg(F.max("drop").alias("last"))
-    picks = t.select(
-        F.col("medallion").alias("p_medallion"),
-        window_end("pickup_datetime", horizon, length).alias("p_window"),
-        "pickup_datetime",
+    per_taxi = (
+        t.select("medallion", F.inline(events))
+        .withColumn("window", window_end("time", horizon, length))
+        .groupBy("window", "medallion")
+        .agg(
+            F.max(F.when(F.col("is_drop"), F.struct("time", "east", "south"))).alias("last"),
+            F.max(F.when(~F.col("is_drop"), F.col("time"))).alias("last_pickup"),
+        )
     )
-    later_pickup = (
-        (F.col("window") == F.col("p_window"))
-        & (F.col("medallion") == F.col("p_medallion"))
-        & (F.col("pickup_datetime") > F.col("last.dropoff_datetime"))
+    idle = per_taxi.where(
+        F.col("last").isNotNull()
+        & (F.col("last_pickup").isNull() | (F.col("last_pickup") <= F.col("last.time")))
     )
-    idle = latest.join(picks, later_pickup, "left_anti")
     return (
         idle.groupBy("window", F.col("last.east").alias("east"), F.col("last.south").alias("south"))
         .agg(F.count(F.lit(1)).alias("empty_cabs"))

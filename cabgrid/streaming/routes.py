@@ -117,3 +117,11 @@ def read_window_output(spark: SparkSession, path: str, time_cols=("window_end",)
     if "batch_id" in df.columns:
         df = df.drop("batch_id")
     return df.withColumns({c: utc_wallclock(c) for c in time_cols})
+
+
+def ordered_counts(counts: DataFrame) -> DataFrame:
+    """Whole result table sorted by window, then most frequent route.
+
+    Streams accept a sort only after an aggregation in ``complete`` mode.
+    """
+    return counts.orderBy("window_end", F.desc("count"), "route")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from cabgrid.functions.timewin import utc_text
@@ -73,3 +75,32 @@ def test_complete_mode_equals_batch_and_memory_sink(spark, trips_small):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     five = spark.sql(f"SELECT * FROM {name} WHERE count = 5").count()
     assert five == want.where("count = 5").count()
+
+
+def test_stream_result_independent_of_session_zone(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+
+    want = E.queries()["stream_route_counts_append"](spark, SF_SMALL).collect()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")  # +05:45: not aligned to 30 minutes
+    try:
+        got = E.queries()["stream_route_counts_append"](spark, SF_SMALL).collect()
+        batch = E.queries()["route_counts"](spark, SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(got) == sorted(want) and len(got) > 0
+    assert set(got) <= set(batch.collect())
+
+
+def test_clean_source_archives_and_console_sink(spark, trips_small):
+    src = scratch_path(spark, "retention")
+    _write_chunks(trips_small, src, [0, 1, 2])
+    archive = scratch_path(spark, "archive")
+    stream = S.read_trip_stream(spark, src, max_files_per_trigger=1, clean_source="archive", archive_dir=archive)
+    counts = S.ordered_counts(S.stream_route_counts(stream))
+    q = S.start(counts, "console", "complete", scratch_path(spark, "ck"), numRows=3, truncate=False)
+    q.awaitTermination(600)
+    q.stop()
+    assert len(q.recentProgress) >= 3
+    moved = [f for _, _, files in os.walk(archive.removeprefix("file:")) for f in files if f.endswith(".csv")]
+    assert moved, "processed files were not archived"
