@@ -43,7 +43,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("cabgrid-bench")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(2 * cpus))
+        .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

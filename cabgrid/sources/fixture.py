@@ -8,6 +8,7 @@ Parquet scan reads only the event columns behind them.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
@@ -105,19 +106,26 @@ def write_trip_fare_files(trips: DataFrame, trip_dir: str, fare_dir: str) -> Non
     """Trip files and fare files with headers, paired by folder and row position.
 
     Fare headers after the first carry a leading blank, as in the public
-    fare files; the writer must not trim them.
+    fare files; the writer must not trim them. Both writes share one shuffle
+    (persisted; lost blocks are recomputed from lineage).
     """
-    t = _by_day(trips)
-    t.select("day", *TRIP_SIDE).write.partitionBy("day").option("header", True).csv(trip_dir)
-    fare = t.select("day", *[F.col(c).alias(c if i == 0 else f" {c}") for i, c in enumerate(FARE_SIDE)])
-    fare.write.partitionBy("day").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(fare_dir)
+    t = _by_day(trips).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        t.select("day", *TRIP_SIDE).write.partitionBy("day").option("header", True).csv(trip_dir)
+        fare = t.select("day", *[F.col(c).alias(c if i == 0 else f" {c}") for i, c in enumerate(FARE_SIDE)])
+        fare.write.partitionBy("day").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(fare_dir)
+    finally:
+        t.unpersist()
 
 
 def write_column_files(trips: DataFrame, root: str, columns: list[str]) -> None:
     """One folder per column, one value per line (``<root>/<column>/day=.../``)."""
-    t = _by_day(trips)
-    for c in columns:
-        t.select("day", F.col(c).cast("string").alias("value")).write.partitionBy("day").text(f"{root}/{c}")
+    t = _by_day(trips.select("trip_id", *columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for c in columns:
+            t.select("day", F.col(c).cast("string").alias("value")).write.partitionBy("day").text(f"{root}/{c}")
+    finally:
+        t.unpersist()
 
 
 def write_stream_files(trips: DataFrame, path: str, columns: list[str] | None = None) -> None:
