@@ -26,3 +26,34 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, large_state: bool = False) -> dict[str, str]:
+    """Session settings sized for a scan of ``input_bytes`` on ``total_cores`` task slots.
+
+    * Scan splits of up to 512 MiB: 100 TB becomes ~200k scan tasks.
+    * Initial shuffle partitions: at least 2 per core, and enough that the
+      partially aggregated output (assumed at most 1/20 of the input) lands
+      in ~256 MiB partitions; AQE coalesces the small ones and splits skewed
+      join partitions.
+    * Runtime broadcast only below 64 MiB of measured size.
+    * ``large_state``: RocksDB state store for streams with many open windows.
+    """
+    mib = 1 << 20
+    split = 512 * mib
+    shuffle = max(2 * total_cores, -(-input_bytes // 20 // (256 * mib)))
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mib),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mib),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+    }
+    if large_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+    return conf

@@ -89,3 +89,14 @@ def test_bbox_is_superset_of_grid(spark, points):
         inside = G.in_grid(G.east_index("lon", sem), G.south_index("lat", sem), sem)
         bad = df.where(inside & ~G.bbox_prefilter("lat", "lon", sem)).count()
         assert bad == 0
+
+
+def test_cluster_conf_scales_with_input():
+    from cabgrid.session import cluster_conf
+
+    small = cluster_conf(10 << 30, 8)
+    big = cluster_conf(100 * 10**12, 8000, large_state=True)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) >= 16000
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 << 20
+    assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]
