@@ -14,7 +14,7 @@ from cabgrid.functions.grid import (  # noqa: F401
     cell_or_outside,
     east_index,
     in_grid,
-    route_id,
+    sql,
     route_of_axes,
     route_of_trip,
     south_index,

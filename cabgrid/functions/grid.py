@@ -1,8 +1,11 @@
 """Grid cells and routes as native column expressions.
 
-Every function here returns a ``Column``; nothing leaves the JVM, so the
-expressions stay inside whole-stage codegen and Catalyst can fold the
-constants. Two rule sets exist:
+Each rule is written once, as a Spark SQL expression over its inputs
+(column names or other SQL expressions), and returned as a ``Column`` through
+one ``F.expr``. Nothing leaves the JVM: the expressions stay inside
+whole-stage codegen and Catalyst folds the constants. Composite rules nest
+the text, so building a whole outlier filter costs one call to the JVM, not
+hundreds of small ``Column`` calls. Two rule sets exist:
 
 * ``observed``: what the original scripts compute. South index from the
   absolute latitude distance (points north of the origin fold south), no
@@ -11,7 +14,8 @@ constants. Two rule sets exist:
   origin, indices run 1..300, anything else is outside.
 
 A null coordinate gives a null index, a null cell and a null route; the
-outlier filter then drops the row.
+outlier filter then drops the row. Division is by the cell size, never
+multiplication by its inverse, so boundary points round like the original.
 """
 
 from __future__ import annotations
@@ -40,94 +44,134 @@ def _check(semantics: str) -> None:
         raise ValueError(f"semantics must be one of {SEMANTICS}, got {semantics!r}")
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
-def south_index(lat, semantics: str = "observed") -> Column:
+def _d(x: float) -> str:
+    """A double literal in Spark SQL (a bare 41.47 would be a DECIMAL)."""
+    return f"{x!r}D"
+
+
+class sql:
+    """The rules as Spark SQL text; arguments are SQL expressions (e.g. column names)."""
+
+    @staticmethod
+    def south_index(lat: str, semantics: str = "observed") -> str:
+        _check(semantics)
+        if semantics == "observed":
+            return f"FLOOR(ABS({_d(LAT0)} - ({lat})) / {_d(DLAT)})"
+        return f"(FLOOR(({_d(LAT0)} - ({lat})) / {_d(DLAT)} + 0.5D) + 1)"
+
+    @staticmethod
+    def east_index(lon: str, semantics: str = "observed") -> str:
+        _check(semantics)
+        if semantics == "observed":
+            return f"FLOOR((({lon}) - {_d(LON0)}) / {_d(DLON)})"
+        return f"(FLOOR((({lon}) - {_d(LON0)}) / {_d(DLON)} + 0.5D) + 1)"
+
+    @staticmethod
+    def index_in_grid(idx: str, semantics: str = "observed") -> str:
+        _check(semantics)
+        return f"(({idx}) <= {LAST})" if semantics == "observed" else f"(({idx}) BETWEEN 1 AND {LAST})"
+
+    @staticmethod
+    def in_grid(east: str, south: str, semantics: str = "observed") -> str:
+        return f"({sql.index_in_grid(east, semantics)} AND {sql.index_in_grid(south, semantics)})"
+
+    @staticmethod
+    def axis_or_outside(idx: str, semantics: str = "observed") -> str:
+        return f"CASE WHEN NOT {sql.index_in_grid(idx, semantics)} THEN {OUTSIDE_INDEX} ELSE ({idx}) END"
+
+    @staticmethod
+    def cell_id(east: str, south: str) -> str:
+        return f"CONCAT(CAST(({east}) AS STRING), '.', CAST(({south}) AS STRING))"
+
+    @staticmethod
+    def cell_or_outside(east: str, south: str, semantics: str = "observed") -> str:
+        inside = sql.in_grid(east, south, semantics)
+        return f"CASE WHEN {inside} THEN {sql.cell_id(east, south)} WHEN NOT {inside} THEN '{OUTSIDE_CELL}' END"
+
+    @staticmethod
+    def route_of_axes(se: str, ss: str, ee: str, es: str) -> str:
+        return f"CONCAT({sql.cell_id(se, ss)}, '->', {sql.cell_id(ee, es)})"
+
+    @staticmethod
+    def route_of_trip(lat1: str, lon1: str, lat2: str, lon2: str, semantics: str = "observed") -> str:
+        se, ss = sql.east_index(lon1, semantics), sql.south_index(lat1, semantics)
+        ee, es = sql.east_index(lon2, semantics), sql.south_index(lat2, semantics)
+        inside = f"({sql.in_grid(se, ss, semantics)} AND {sql.in_grid(ee, es, semantics)})"
+        return (
+            f"CASE WHEN {inside} THEN {sql.route_of_axes(se, ss, ee, es)} "
+            f"WHEN NOT {inside} THEN '{OUTSIDE_ROUTE}' END"
+        )
+
+    @staticmethod
+    def bbox_prefilter(lat: str, lon: str, semantics: str = "observed") -> str:
+        _check(semantics)
+        if semantics == "observed":
+            span = (LAST + 1) * DLAT + _MARGIN
+            lat_ok = f"(({lat}) BETWEEN {_d(LAT0 - span)} AND {_d(LAT0 + span)})"
+            return f"({lat_ok} AND ({lon}) < {_d(LON0 + (LAST + 1) * DLON + _MARGIN)})"
+        lat_lo, lat_hi = LAT0 - (LAST - 0.5) * DLAT - _MARGIN, LAT0 + 0.5 * DLAT + _MARGIN
+        lon_lo, lon_hi = LON0 - 0.5 * DLON - _MARGIN, LON0 + (LAST - 0.5) * DLON + _MARGIN
+        return (
+            f"(({lat}) BETWEEN {_d(lat_lo)} AND {_d(lat_hi)} AND ({lon}) BETWEEN {_d(lon_lo)} AND {_d(lon_hi)})"
+        )
+
+
+# --- the same rules as Columns ---------------------------------------------
+
+
+def south_index(lat: str, semantics: str = "observed") -> Column:
     """Row of the grid (second cell component), as bigint."""
-    _check(semantics)
-    lat = _c(lat)
-    if semantics == "observed":
-        # Division by the cell size, never multiplication by its inverse:
-        # boundary points must round the same way as the original.
-        return F.floor(F.abs(F.lit(LAT0) - lat) / F.lit(DLAT))
-    return F.floor((F.lit(LAT0) - lat) / F.lit(DLAT) + F.lit(0.5)) + F.lit(1)
+    return F.expr(sql.south_index(lat, semantics))
 
 
-def east_index(lon, semantics: str = "observed") -> Column:
+def east_index(lon: str, semantics: str = "observed") -> Column:
     """Column of the grid (first cell component), as bigint."""
-    _check(semantics)
-    lon = _c(lon)
-    if semantics == "observed":
-        return F.floor((lon - F.lit(LON0)) / F.lit(DLON))
-    return F.floor((lon - F.lit(LON0)) / F.lit(DLON) + F.lit(0.5)) + F.lit(1)
+    return F.expr(sql.east_index(lon, semantics))
 
 
-def index_in_grid(idx, semantics: str = "observed") -> Column:
+def index_in_grid(idx: str, semantics: str = "observed") -> Column:
     """True when one axis index is inside the grid; null for a null index."""
-    _check(semantics)
-    idx = _c(idx)
-    if semantics == "observed":
-        return idx <= F.lit(LAST)
-    return idx.between(1, LAST)
+    return F.expr(sql.index_in_grid(idx, semantics))
 
 
-def in_grid(east, south, semantics: str = "observed") -> Column:
-    return index_in_grid(east, semantics) & index_in_grid(south, semantics)
+def in_grid(east: str, south: str, semantics: str = "observed") -> Column:
+    return F.expr(sql.in_grid(east, south, semantics))
 
 
-def axis_or_outside(idx, semantics: str = "observed") -> Column:
+def axis_or_outside(idx: str, semantics: str = "observed") -> Column:
     """Axis index, or 999 outside the grid (per-axis helpers of the original)."""
-    idx = _c(idx)
-    return F.when(~index_in_grid(idx, semantics), F.lit(OUTSIDE_INDEX)).otherwise(idx)
+    return F.expr(sql.axis_or_outside(idx, semantics))
 
 
-def cell_id(east, south) -> Column:
+def cell_id(east: str, south: str) -> Column:
     """``"<east>.<south>"``; null when either index is null."""
-    return F.concat(_c(east).cast("string"), F.lit("."), _c(south).cast("string"))
+    return F.expr(sql.cell_id(east, south))
 
 
-def cell_or_outside(east, south, semantics: str = "observed") -> Column:
+def cell_or_outside(east: str, south: str, semantics: str = "observed") -> Column:
     """Cell id, the sentinel ``999.999`` outside the grid, null for null input."""
-    inside = in_grid(east, south, semantics)
-    return F.when(inside, cell_id(east, south)).when(~inside, F.lit(OUTSIDE_CELL))
-
-
-def cell_of_point(lat, lon, semantics: str = "observed") -> Column:
-    return cell_or_outside(east_index(lon, semantics), south_index(lat, semantics), semantics)
+    return F.expr(sql.cell_or_outside(east, south, semantics))
 
 
-def route_id(start_cell, end_cell) -> Column:
-    return F.concat(_c(start_cell), F.lit("->"), _c(end_cell))
+def cell_of_point(lat: str, lon: str, semantics: str = "observed") -> Column:
+    return F.expr(sql.cell_or_outside(sql.east_index(lon, semantics), sql.south_index(lat, semantics), semantics))
 
 
-def route_of_axes(se, ss, ee, es) -> Column:
+def route_of_axes(se: str, ss: str, ee: str, es: str) -> Column:
     """Route id from the four axis indices of two in-grid points."""
-    return route_id(cell_id(se, ss), cell_id(ee, es))
+    return F.expr(sql.route_of_axes(se, ss, ee, es))
 
 
-def route_of_trip(lat1, lon1, lat2, lon2, semantics: str = "observed") -> Column:
+def route_of_trip(lat1: str, lon1: str, lat2: str, lon2: str, semantics: str = "observed") -> Column:
     """``"<start>-><end>"`` when both ends are inside, else the outside route."""
-    se, ss = east_index(lon1, semantics), south_index(lat1, semantics)
-    ee, es = east_index(lon2, semantics), south_index(lat2, semantics)
-    inside = in_grid(se, ss, semantics) & in_grid(ee, es, semantics)
-    return F.when(inside, route_of_axes(se, ss, ee, es)).when(~inside, F.lit(OUTSIDE_ROUTE))
+    return F.expr(sql.route_of_trip(lat1, lon1, lat2, lon2, semantics))
 
 
-def bbox_prefilter(lat, lon, semantics: str = "observed") -> Column:
+def bbox_prefilter(lat: str, lon: str, semantics: str = "observed") -> Column:
     """A cheap superset of ``in_grid`` on raw coordinates.
 
     Plain range predicates on source columns reach the Parquet/CSV reader as
     pushed filters (row-group skipping), which predicates on computed cell
     ids never do. It must never drop a row the grid keeps, hence the margin.
     """
-    _check(semantics)
-    lat, lon = _c(lat), _c(lon)
-    if semantics == "observed":
-        span = (LAST + 1) * DLAT + _MARGIN
-        return lat.between(LAT0 - span, LAT0 + span) & (lon < F.lit(LON0 + (LAST + 1) * DLON + _MARGIN))
-    return (
-        lat.between(LAT0 - (LAST - 0.5) * DLAT - _MARGIN, LAT0 + 0.5 * DLAT + _MARGIN)
-        & lon.between(LON0 - 0.5 * DLON - _MARGIN, LON0 + (LAST - 0.5) * DLON + _MARGIN)
-    )
+    return F.expr(sql.bbox_prefilter(lat, lon, semantics))

@@ -41,6 +41,10 @@ def _cell() -> Column:
     return cell_id("east", "south").alias("cell")
 
 
+def _empty() -> Column:
+    return F.col("dropoff_count") - F.col("pickup_count")
+
+
 def revenue() -> Column:
     """Fare plus tip of a trip."""
     return F.col("fare_amount") + F.col("tip_amount")
@@ -105,14 +109,11 @@ def area_profit(
 _DROP, _PICK, _PROFIT = 0, 1, 2
 
 
-def _record(win: str, axes, kind: int, value: Column) -> Column:
+def _record(win: str, axes, kind: int, value: str) -> str:
     e, s = axes
-    return F.struct(
-        F.col(win).alias("window"),
-        F.col(e).alias("east"),
-        F.col(s).alias("south"),
-        F.lit(kind).alias("kind"),
-        value.cast("double").alias("revenue"),
+    return (
+        f"named_struct('window', {win}, 'east', {e}, 'south', {s}, "
+        f"'kind', {kind}, 'revenue', CAST({value} AS DOUBLE))"
     )
 
 
@@ -135,31 +136,25 @@ def area_stats(
         .withColumn("_dwin", window_end("dropoff_datetime", length))
         .withColumn("_pwin", window_start("pickup_datetime", length))
     )
-    none = F.lit(None)
-    recs = F.array(_record("_dwin", END_AXES, _DROP, none), _record("_pwin", START_AXES, _PICK, none))
+    drop = _record("_dwin", END_AXES, _DROP, "NULL")
+    pick = _record("_pwin", START_AXES, _PICK, "NULL")
+    recs = f"array({drop}, {pick})"
     if with_profit:
-        both = F.array(
-            _record("_dwin", END_AXES, _DROP, none),
-            _record("_pwin", START_AXES, _PICK, none),
-            _record("_dwin", START_AXES, _PROFIT, revenue()),
-        )
-        short = F.lit(True) if max_secs is None else F.col("trip_time_in_secs") <= F.lit(max_secs)
-        recs = F.when(short, both).otherwise(recs)
-    kind = F.col("kind")
+        prof = _record("_dwin", START_AXES, _PROFIT, "fare_amount + tip_amount")
+        short = "TRUE" if max_secs is None else f"trip_time_in_secs <= {int(max_secs)}"
+        recs = f"CASE WHEN {short} THEN array({drop}, {pick}, {prof}) ELSE {recs} END"
     aggs = [
-        F.count_if(kind == _DROP).alias("dropoff_count"),
-        F.count_if(kind == _PICK).alias("pickup_count"),
+        F.expr(f"count_if(kind = {_DROP})").alias("dropoff_count"),
+        F.expr(f"count_if(kind = {_PICK})").alias("pickup_count"),
     ]
     if with_profit:
         aggs += [
-            F.count_if(kind == _PROFIT).alias("n_profit"),
-            F.percentile_approx(F.when(kind == _PROFIT, F.col("revenue")), 0.5, accuracy).alias("profit"),
+            F.expr(f"count_if(kind = {_PROFIT})").alias("n_profit"),
+            F.expr(f"percentile_approx(CASE WHEN kind = {_PROFIT} THEN revenue END, 0.5, {int(accuracy)})").alias(
+                "profit"
+            ),
         ]
-    return t.select(F.inline(recs)).groupBy(*_KEY).agg(*aggs)
-
-
-def _empty() -> Column:
-    return F.col("dropoff_count") - F.col("pickup_count")
+    return t.selectExpr(f"inline({recs})").groupBy(*_KEY).agg(*aggs)
 
 
 def empty_cabs(trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "observed") -> DataFrame:

@@ -3,17 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cabgrid.functions.grid import (
-    axis_or_outside,
-    bbox_prefilter,
-    cell_id,
-    cell_of_point,
-    east_index,
-    in_grid,
-    route_of_trip,
-    south_index,
-)
+from cabgrid.functions.grid import cell_of_point, route_of_trip, sql
 
 START_AXES = ("start_east", "start_south")
 END_AXES = ("end_east", "end_south")
@@ -24,10 +16,10 @@ def with_axes(trips: DataFrame, semantics: str = "observed") -> DataFrame:
     """Adds the four integer axis indices of pickup and drop-off."""
     return trips.withColumns(
         {
-            "start_east": east_index("pickup_longitude", semantics),
-            "start_south": south_index("pickup_latitude", semantics),
-            "end_east": east_index("dropoff_longitude", semantics),
-            "end_south": south_index("dropoff_latitude", semantics),
+            "start_east": F.expr(sql.east_index("pickup_longitude", semantics)),
+            "start_south": F.expr(sql.south_index("pickup_latitude", semantics)),
+            "end_east": F.expr(sql.east_index("dropoff_longitude", semantics)),
+            "end_south": F.expr(sql.south_index("dropoff_latitude", semantics)),
         }
     )
 
@@ -38,11 +30,12 @@ def in_grid_trips(trips: DataFrame, semantics: str = "observed") -> DataFrame:
     The bounding box goes first: on a Parquet or CSV source it reaches the
     reader as pushed filters. The exact rule on the indices follows.
     """
-    pre = bbox_prefilter("pickup_latitude", "pickup_longitude", semantics) & bbox_prefilter(
-        "dropoff_latitude", "dropoff_longitude", semantics
+    pre = (
+        f"{sql.bbox_prefilter('pickup_latitude', 'pickup_longitude', semantics)} AND "
+        f"{sql.bbox_prefilter('dropoff_latitude', 'dropoff_longitude', semantics)}"
     )
     t = with_axes(trips.where(pre), semantics)
-    return t.where(in_grid(*START_AXES, semantics) & in_grid(*END_AXES, semantics))
+    return t.where(f"{sql.in_grid(*START_AXES, semantics=semantics)} AND {sql.in_grid(*END_AXES, semantics=semantics)}")
 
 
 def with_cells(trips: DataFrame, semantics: str = "observed") -> DataFrame:
@@ -65,12 +58,14 @@ def with_axis_codes(df: DataFrame, columns: dict[str, tuple[str, str]], semantic
     """
     out = {}
     for name, (axis, src) in columns.items():
-        idx = south_index(src, semantics) if axis == "lat" else east_index(src, semantics)
-        out[name] = axis_or_outside(idx, semantics)
+        idx = sql.south_index(src, semantics) if axis == "lat" else sql.east_index(src, semantics)
+        out[name] = F.expr(sql.axis_or_outside(idx, semantics))
     return df.withColumns(out)
 
 
 def outlier_filter(trips: DataFrame, semantics: str = "observed") -> DataFrame:
     """Trips with both cells inside, plus the two cell ids (P5 as in the original)."""
     t = in_grid_trips(trips, semantics)
-    return t.withColumns({"cell_start": cell_id(*START_AXES), "cell_end": cell_id(*END_AXES)}).drop(*AXES)
+    return t.withColumns(
+        {"cell_start": F.expr(sql.cell_id(*START_AXES)), "cell_end": F.expr(sql.cell_id(*END_AXES))}
+    ).drop(*AXES)

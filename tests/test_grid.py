@@ -45,7 +45,7 @@ def test_edge_points(spark):
 
 def test_axis_sentinel_and_null(spark):
     df = spark.createDataFrame([(lat(301),), (lat(12),), (None,)], "lat double")
-    got = [r[0] for r in df.select(G.axis_or_outside(G.south_index("lat"))).collect()]
+    got = [r[0] for r in df.select(G.axis_or_outside(G.sql.south_index("lat"))).collect()]
     assert got == [999, 12, None]
 
 
@@ -86,7 +86,7 @@ coords = st.tuples(
 def test_bbox_is_superset_of_grid(spark, points):
     df = spark.createDataFrame(points, "lat double, lon double")
     for sem in G.SEMANTICS:
-        inside = G.in_grid(G.east_index("lon", sem), G.south_index("lat", sem), sem)
+        inside = G.in_grid(G.sql.east_index("lon", sem), G.sql.south_index("lat", sem), sem)
         bad = df.where(inside & ~G.bbox_prefilter("lat", "lon", sem)).count()
         assert bad == 0
 
