@@ -181,22 +181,13 @@ def empty_taxis(
     """
     t = in_grid_trips(trips, semantics)
     e, s = END_AXES
-    events = F.array(
-        F.struct(
-            F.col("dropoff_datetime").alias("time"),
-            F.lit(True).alias("is_drop"),
-            F.col(e).alias("east"),
-            F.col(s).alias("south"),
-        ),
-        F.struct(
-            F.col("pickup_datetime").alias("time"),
-            F.lit(False).alias("is_drop"),
-            F.lit(None).cast("bigint").alias("east"),
-            F.lit(None).cast("bigint").alias("south"),
-        ),
+    events = (
+        f"array(named_struct('time', dropoff_datetime, 'is_drop', TRUE, 'east', {e}, 'south', {s}), "
+        "named_struct('time', pickup_datetime, 'is_drop', FALSE, "
+        "'east', CAST(NULL AS BIGINT), 'south', CAST(NULL AS BIGINT)))"
     )
     per_taxi = (
-        t.select("medallion", F.inline(events))
+        t.selectExpr("medallion", f"inline({events})")
         .withColumn("window", window_end("time", horizon, length))
         .groupBy("window", "medallion")
         .agg(
