@@ -34,8 +34,8 @@ def _trips(spark: SparkSession, sf: str) -> DataFrame:
     return load_trips(spark, sf)
 
 
-def _counts(spark, sf, semantics="observed"):
-    return routes.route_counts(_trips(spark, sf), semantics=semantics)
+def _counts(spark, sf):
+    return routes.route_counts(_trips(spark, sf))
 
 
 # --- grid, projections, filters ------------------------------------------
@@ -51,16 +51,8 @@ def route_of_trip(spark, sf):
 
 
 def cell_axes(spark, sf):
-    t = cells.with_axis_codes(
-        _trips(spark, sf),
-        {
-            "pickup_east": ("lon", "pickup_longitude"),
-            "pickup_south": ("lat", "pickup_latitude"),
-            "dropoff_east": ("lon", "dropoff_longitude"),
-            "dropoff_south": ("lat", "dropoff_latitude"),
-        },
-    )
-    return t.select("trip_id", "pickup_east", "pickup_south", "dropoff_east", "dropoff_south")
+    t = cells.with_axis_codes(_trips(spark, sf), scol.AXIS_CODES)
+    return t.select("trip_id", *scol.AXIS_CODES)
 
 
 def outlier_filter(spark, sf):
