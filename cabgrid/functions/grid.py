@@ -13,9 +13,10 @@ hundreds of small ``Column`` calls. Two rule sets exist:
 * ``intended``: what their comments describe. Cell 1.1 is centred on the
   origin, indices run 1..300, anything else is outside.
 
-A null coordinate gives a null index, a null cell and a null route; the
-outlier filter then drops the row. Division is by the cell size, never
-multiplication by its inverse, so boundary points round like the original.
+A null, NaN or infinite coordinate gives a null index, a null cell and a
+null route; the outlier filter then drops the row. Division is by the cell
+size, never multiplication by its inverse, so boundary points round like
+the original.
 """
 
 from __future__ import annotations
@@ -49,22 +50,34 @@ def _d(x: float) -> str:
     return f"{x!r}D"
 
 
+def _finite(x: str) -> str:
+    """``x``, or null when NaN or infinite.
+
+    ``FLOOR(NaN)`` is 0 in Spark and ``FLOOR(-Infinity)`` the smallest
+    bigint, which the observed rule (no lower east bound) would accept: a
+    corrupt coordinate must drop its row like a missing one instead.
+    """
+    return f"(CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN NULL ELSE ({x}) END)"
+
+
 class sql:
     """The rules as Spark SQL text; arguments are SQL expressions (e.g. column names)."""
 
     @staticmethod
     def south_index(lat: str, semantics: str = "observed") -> str:
         _check(semantics)
+        lat = _finite(lat)
         if semantics == "observed":
-            return f"FLOOR(ABS({_d(LAT0)} - ({lat})) / {_d(DLAT)})"
-        return f"(FLOOR(({_d(LAT0)} - ({lat})) / {_d(DLAT)} + 0.5D) + 1)"
+            return f"FLOOR(ABS({_d(LAT0)} - {lat}) / {_d(DLAT)})"
+        return f"(FLOOR(({_d(LAT0)} - {lat}) / {_d(DLAT)} + 0.5D) + 1)"
 
     @staticmethod
     def east_index(lon: str, semantics: str = "observed") -> str:
         _check(semantics)
+        lon = _finite(lon)
         if semantics == "observed":
-            return f"FLOOR((({lon}) - {_d(LON0)}) / {_d(DLON)})"
-        return f"(FLOOR((({lon}) - {_d(LON0)}) / {_d(DLON)} + 0.5D) + 1)"
+            return f"FLOOR(({lon} - {_d(LON0)}) / {_d(DLON)})"
+        return f"(FLOOR(({lon} - {_d(LON0)}) / {_d(DLON)} + 0.5D) + 1)"
 
     @staticmethod
     def index_in_grid(idx: str, semantics: str = "observed") -> str:

@@ -29,6 +29,9 @@ EDGE_POINTS = [
     (lat(301), lon(300), "999.999"),
     (None, -74.0, None),
     (41.0, None, None),
+    (float("nan"), -74.0, None),
+    (41.0, float("-inf"), None),
+    (float("inf"), -74.0, None),
 ]
 
 
