@@ -19,6 +19,12 @@ from cabgrid.sources.files import read_csv, write_csv
 from cabgrid.streaming import routes as sroutes
 
 
+# Window times are UTC wall-clock values; written like the original outputs
+# (``2013-01-01T00:30:00.000Z``) and read back with the same pattern.
+OUTPUT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+_OUT = {"timestampNTZFormat": OUTPUT_TS_FORMAT}
+
+
 def _reliable(df: DataFrame) -> DataFrame:
     checkpoint_root(df.sparkSession)  # makes sure a checkpoint folder is set
     return df.checkpoint(eager=True)
@@ -37,10 +43,8 @@ def frequent_routes_job(
     trips = read_csv(spark, trips_path)
     counts = _reliable(routes.route_counts(trips, length, semantics=semantics))
     outputs = {"rankings": f"{out_dir}/rankings", "window_counts": f"{out_dir}/window_counts"}
-    write_csv(routes.topk_routes(counts, k), outputs["rankings"], order_by=["window_end", "rank"])
-    write_csv(
-        routes.window_trip_totals(counts, semantics), outputs["window_counts"], single_file=True
-    )
+    write_csv(routes.topk_routes(counts, k), outputs["rankings"], order_by=["window_end", "rank"], **_OUT)
+    write_csv(routes.window_trip_totals(counts, semantics), outputs["window_counts"], single_file=True, **_OUT)
     return outputs
 
 
@@ -61,9 +65,15 @@ def profitable_areas_job(
         "profitability": f"{out_dir}/profitability",
         "profitability_per_window": f"{out_dir}/profitability_per_window",
     }
-    write_csv(areas.topk_cells(prof, k), outputs["profitability"], order_by=["window", "rank"], single_file=True)
     write_csv(
-        areas.profitability_per_window(prof), outputs["profitability_per_window"], order_by=["window"], single_file=True
+        areas.topk_cells(prof, k), outputs["profitability"], order_by=["window", "rank"], single_file=True, **_OUT
+    )
+    write_csv(
+        areas.profitability_per_window(prof),
+        outputs["profitability_per_window"],
+        order_by=["window"],
+        single_file=True,
+        **_OUT,
     )
     return outputs
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from cabgrid.__main__ import main
 from cabgrid.operators import areas, routes
 from cabgrid.plans import jobs
+from cabgrid.plans.jobs import OUTPUT_TS_FORMAT
 from cabgrid.plans import queries as Q
 from cabgrid.session import scratch_path
 from cabgrid.sources.files import read_csv, write_csv
@@ -30,8 +31,11 @@ def _trip_files(spark, trips):
 
 def test_frequent_routes_job(spark, trips_small):
     out = jobs.frequent_routes_job(spark, _trip_files(spark, trips_small), scratch_path(spark, "job-out"))
-    ranked = read_csv(spark, out["rankings"], RANKING_SCHEMA)
-    totals = read_csv(spark, out["window_counts"], T._parse_datatype_string(TOTALS_SCHEMA))
+    fmt = {"timestampNTZFormat": OUTPUT_TS_FORMAT}
+    ranked = read_csv(spark, out["rankings"], RANKING_SCHEMA, **fmt)
+    totals = read_csv(spark, out["window_counts"], T._parse_datatype_string(TOTALS_SCHEMA), **fmt)
+    first = spark.read.text(out["window_counts"]).first()[0]
+    assert first.endswith(".000Z") and first.count(",") == 3
     assert _same(ranked, Q.frequent_routes(trips_small))
     assert _same(totals, Q.window_trip_totals(trips_small))
 
@@ -39,8 +43,9 @@ def test_frequent_routes_job(spark, trips_small):
 def test_profitable_areas_job_via_cli(spark, trips_small):
     out_dir = scratch_path(spark, "job-out")
     main(["profitable-areas", _trip_files(spark, trips_small), out_dir, "--k", "3"])
-    top = read_csv(spark, f"{out_dir}/profitability", T._parse_datatype_string(PROF_SCHEMA))
-    per = read_csv(spark, f"{out_dir}/profitability_per_window", T._parse_datatype_string(PER_WINDOW_SCHEMA))
+    fmt = {"timestampNTZFormat": OUTPUT_TS_FORMAT}
+    top = read_csv(spark, f"{out_dir}/profitability", T._parse_datatype_string(PROF_SCHEMA), **fmt)
+    per = read_csv(spark, f"{out_dir}/profitability_per_window", T._parse_datatype_string(PER_WINDOW_SCHEMA), **fmt)
     assert _same(top, Q.profitable_cells(trips_small, 3))
     want = areas.profitability_per_window(areas.profitability(trips_small))
     r = lambda df: df.select("window", F.round("avg_profitability", 9).alias("a"))
