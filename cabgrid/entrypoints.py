@@ -168,6 +168,10 @@ def profitable_cells_intended(spark, sf):
     return Q.profitable_cells(_trips(spark, sf), K, max_secs=None, semantics="intended")
 
 
+def profitable_cells_sliding(spark, sf):
+    return Q.profitable_cells(_trips(spark, sf), K, max_secs=None, semantics="intended", slide="5 minutes")
+
+
 # --- time-of-day profiles --------------------------------------------------
 
 
@@ -330,6 +334,7 @@ QUERIES = {
         profitability_per_window,
         empty_taxis_intended,
         profitable_cells_intended,
+        profitable_cells_sliding,
         route_daytime_profile,
         busiest_times,
         cell_daytime_profile,

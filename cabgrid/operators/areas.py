@@ -87,15 +87,19 @@ def area_profit(
     max_secs: int | None = SHORT_TRIP_SECS,
     accuracy: int = MEDIAN_ACCURACY,
     semantics: str = "observed",
+    slide: str | None = None,
 ) -> DataFrame:
-    """``window, cell, profit``: median fare + tip of short trips by start cell."""
+    """``window, cell, profit``: median fare + tip of short trips by start cell.
+
+    With ``slide``, windows of ``length`` end every ``slide`` (sliding).
+    """
     t = in_grid_trips(trips, semantics)
     if max_secs is not None:
         t = short_trips(t, max_secs)
     e, s = START_AXES
     return (
         t.select(
-            window_end("dropoff_datetime", length).alias("window"),
+            window_end("dropoff_datetime", length, slide).alias("window"),
             F.col(e).alias("east"),
             F.col(s).alias("south"),
             revenue().alias("total_profit"),
@@ -168,7 +172,8 @@ def empty_taxis(
 ) -> DataFrame:
     """Intended empty-taxi rule (D3): ``window, cell, empty_cabs``.
 
-    At every window end T (a multiple of ``length``), a taxi is empty in the
+    At every window end T (a multiple of ``length``, the evaluation step), a
+    taxi is empty in the
     cell of its latest drop-off in [T - ``horizon``, T) when it has no pickup
     after that drop-off and before T.
 
@@ -213,18 +218,23 @@ def profitability(
     accuracy: int = MEDIAN_ACCURACY,
     semantics: str = "observed",
     horizon: str = EMPTY_HORIZON,
+    slide: str | None = None,
 ) -> DataFrame:
     """``window, cell, profitability`` = profit / empty cabs.
 
     ``observed`` counts empty cabs as drop-offs minus next-window pickups
-    (fused single aggregate); ``intended`` uses ``empty_taxis``.
+    (fused single aggregate); ``intended`` uses ``empty_taxis``. With
+    ``slide`` (intended only), both are evaluated every ``slide``: profit
+    over the last ``length``, empty taxis over the last ``horizon`` (D5).
     """
     if semantics == "intended":
-        empty = empty_taxis(trips, length, horizon, semantics)
-        profit = area_profit(trips, length, max_secs, accuracy, semantics)
+        empty = empty_taxis(trips, slide or length, horizon, semantics)
+        profit = area_profit(trips, length, max_secs, accuracy, semantics, slide)
         return empty.join(profit, ["window", "cell"]).select(
             "window", "cell", (F.col("profit") / F.col("empty_cabs")).alias("profitability")
         )
+    if slide is not None:
+        raise ValueError("observed empty cabs pair each window with the next one; slide needs semantics='intended'")
     stats = area_stats(trips, length, max_secs, accuracy, True, semantics)
     return stats.where((_empty() > 0) & (F.col("n_profit") > 0)).select(
         "window", _cell(), (F.col("profit") / _empty()).alias("profitability")

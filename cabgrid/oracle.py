@@ -147,13 +147,21 @@ perwin AS (
   SELECT "window", avg(profitability) AS avg_profitability FROM prof GROUP BY "window")"""
 
 
-# Intended empty taxis: a drop-off at d lies in the 30 minute windows ending at
-# the two 15 minute marks in (d, d + 30 min].
-EMPTY_INTENDED = f"""
+def _in_windows(ts: str, step: int, length: int) -> str:
+    """The ends of the ``length``-minute windows every ``step`` minutes that hold ``ts``.
+
+    Used with ``CROSS JOIN range(0, length / step) AS r(i)``: the ends are the
+    multiples of ``step`` in (ts, ts + length].
+    """
+    return f"(time_bucket(INTERVAL '{step} minutes', {ts}) + to_minutes({step} * (1 + i)))"
+
+
+def _empty_intended(step: int = 15, horizon: int = 30) -> str:
+    """Intended empty taxis, evaluated every ``step`` minutes over the last ``horizon``."""
+    return f"""
 dwin AS (
-  SELECT medallion, {_bucket_end("dropoff_datetime", 15)} AS "window", dropoff_datetime, ee, es FROM ig
-  UNION ALL
-  SELECT medallion, {_bucket_end("dropoff_datetime", 15)} + INTERVAL '15 minutes', dropoff_datetime, ee, es FROM ig),
+  SELECT medallion, {_in_windows("dropoff_datetime", step, horizon)} AS "window", dropoff_datetime, ee, es
+  FROM ig CROSS JOIN range(0, {horizon // step}) AS r(i)),
 latest AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY "window", medallion
@@ -166,18 +174,22 @@ idle AS (
 empty AS (
   SELECT "window", {_cell("ee", "es")} AS cell, count(*) AS empty_cabs FROM idle GROUP BY ALL)"""
 
-AREAS_INTENDED = f"""
+
+def _areas_intended(k: int = 10, length: int = 15, step: int = 15) -> str:
+    """Intended profitability: all trips, profit over the last ``length`` minutes every ``step``."""
+    return f"""
 profit AS (
-  SELECT {_bucket_end("dropoff_datetime", 15)} AS "window", {_cell("se", "ss")} AS cell,
+  SELECT {_in_windows("dropoff_datetime", step, length)} AS "window", {_cell("se", "ss")} AS cell,
     quantile_disc(fare_amount + tip_amount, 0.5) AS profit
-  FROM ig GROUP BY ALL),
+  FROM ig CROSS JOIN range(0, {length // step}) AS r(i) GROUP BY ALL),
 prof AS (
   SELECT e."window", e.cell, p.profit / e.empty_cabs AS profitability
   FROM empty e JOIN profit p ON e."window" = p."window" AND e.cell = p.cell),
 topc AS (
   SELECT "window", cell, profitability, CAST(rn AS INTEGER) AS rank FROM (
     SELECT *, row_number() OVER (PARTITION BY "window" ORDER BY profitability DESC, cell) AS rn FROM prof)
-  WHERE rn <= {{k}})"""
+  WHERE rn <= {k})"""
+
 
 # Sliding 30 minute windows every 15 minutes: two window ends per trip.
 RC_SLIDING = f"""
@@ -262,9 +274,11 @@ ORACLE_SQL = {
     "topk_cells_k3": _areas(k=3) + "SELECT * FROM topc",
     "profitability_per_window": _areas()
     + 'SELECT "window", round(avg_profitability, 9) AS avg_profitability FROM perwin',
-    "profitable_cells_intended": _with(TRIPS, _grid(True), EMPTY_INTENDED, AREAS_INTENDED.format(k=10))
+    "profitable_cells_intended": _with(TRIPS, _grid(True), _empty_intended(), _areas_intended())
+    + "SELECT * FROM topc",
+    "profitable_cells_sliding": _with(TRIPS, _grid(True), _empty_intended(5, 30), _areas_intended(10, 15, 5))
     + "SELECT * FROM topc",
-    "empty_taxis_intended": _with(TRIPS, _grid(True), EMPTY_INTENDED) + "SELECT * FROM empty",
+    "empty_taxis_intended": _with(TRIPS, _grid(True), _empty_intended()) + "SELECT * FROM empty",
     "topk_routes_sliding": _with(TRIPS, _grid(), RC_SLIDING) + TOPK_ROUTES.format(k=10) + "\nSELECT * FROM topk",
     # time-of-day profiles
     "route_daytime_profile": BASE[:-1]

@@ -36,9 +36,10 @@ def profitable_cells(
     length: str = areas.AREA_WINDOW,
     max_secs: int | None = areas.SHORT_TRIP_SECS,
     semantics: str = "observed",
+    slide: str | None = None,
 ) -> DataFrame:
     """Q2: ``window, cell, profitability, rank`` for the top ``k`` cells per window."""
-    return areas.topk_cells(areas.profitability(trips, length, max_secs, semantics=semantics), k)
+    return areas.topk_cells(areas.profitability(trips, length, max_secs, semantics=semantics, slide=slide), k)
 
 
 def profitability_per_window(
