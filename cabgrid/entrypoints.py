@@ -202,7 +202,7 @@ def scan_trips_csv(spark, sf):
 
 def sink_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "ranked-csv")
-    write_csv(Q.frequent_routes(_trips(spark, sf), K), path, order_by=["window_end", "rank"], single_file=True)
+    write_csv(Q.frequent_routes(_trips(spark, sf), K), path, order_by=["window_end", "rank"])
     return read_csv(spark, path, schema=RANKING_SCHEMA)
 
 

@@ -51,8 +51,9 @@ def write_csv(
     """CSV sink.
 
     ``order_by`` sorts globally (range partitioning): part files read in part
-    order give the sorted table. ``single_file`` coalesces to one task and is
-    meant for small, already reduced outputs only (ranked top-k rows).
+    order give the sorted table, written by many tasks. ``single_file``
+    coalesces to one task: only for outputs with a small proven bound, since
+    it sends the whole result through one writer.
     The default mode fails when the folder exists, like the original.
     """
     out = df.orderBy(*order_by) if order_by else df
