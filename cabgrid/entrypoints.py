@@ -24,8 +24,9 @@ from cabgrid.streaming import columns as scol
 from cabgrid.streaming import routes as sroutes
 
 K = 10
-# First rows read of every trip and fare file (the original's ``nrows``).
-ROWS_PER_FILE = 2000
+# First rows read of every trip and fare file (the original's ``nrows``); the
+# files hold fixture.ROWS_PER_FILE rows each.
+FILE_ROW_LIMIT = 2000
 WATERMARK = "30 minutes"
 STREAM_TIMEOUT_S = 900
 
@@ -214,12 +215,12 @@ def _trip_fare_files(spark, sf):
 
 def merge_fare_trip(spark, sf):
     trip_dir, fare_dir = _trip_fare_files(spark, sf)
-    return prepare_trips(spark, trip_dir, fare_dir, pair_on="day")
+    return prepare_trips(spark, trip_dir, fare_dir, pair_on="chunk")
 
 
 def scan_limit_per_file(spark, sf):
     trip_dir, fare_dir = _trip_fare_files(spark, sf)
-    return prepare_trips(spark, trip_dir, fare_dir, rows_per_file=ROWS_PER_FILE, pair_on="day")
+    return prepare_trips(spark, trip_dir, fare_dir, rows_per_file=FILE_ROW_LIMIT, pair_on="chunk")
 
 
 def positional_zip(spark, sf):

@@ -8,6 +8,10 @@ the same double arithmetic.
 
 from __future__ import annotations
 
+from cabgrid.sources.fixture import ROWS_PER_FILE
+
+FILE_ROW_LIMIT = 2000  # equal to entrypoints.FILE_ROW_LIMIT
+
 
 def _lon(c: str) -> str:
     return f"(-74.91358::DOUBLE + 0.005986::DOUBLE * (({c}) + 0.5::DOUBLE))"
@@ -310,7 +314,8 @@ ORACLE_SQL = {
 
 
 _CLOSED = """ WHERE window_end <= (SELECT max(dropoff_datetime) FROM ig) - INTERVAL '30 minutes'"""
-_DAY = "CAST(dropoff_datetime AS DATE)"
+# Files of the file-based queries hold trip_id div ROWS_PER_FILE (sources/fixture.py).
+_CHUNK = f"(trip_id // {ROWS_PER_FILE})"
 
 ORACLE_SQL.update(
     {
@@ -320,10 +325,11 @@ ORACLE_SQL.update(
         "merge_fare_trip": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
         "scan_limit_per_file": _with(TRIPS)
         + f"""SELECT * EXCLUDE (trip_id, pos) FROM (
-            SELECT *, row_number() OVER (PARTITION BY {_DAY} ORDER BY trip_id) AS pos FROM trips)
-          WHERE pos <= 2000""",
+            SELECT *, row_number() OVER (PARTITION BY {_CHUNK} ORDER BY trip_id) AS pos FROM trips)
+          WHERE pos <= {FILE_ROW_LIMIT}""",
         "positional_zip": _GRID_ALL
-        + f"""SELECT CAST({_DAY} AS VARCHAR) AS file_key, row_number() OVER (PARTITION BY {_DAY} ORDER BY trip_id) - 1 AS row_pos,
+        + f"""SELECT CAST({_CHUNK} AS VARCHAR) AS file_key,
+            row_number() OVER (PARTITION BY {_CHUNK} ORDER BY trip_id) - 1 AS row_pos,
             dropoff_datetime, {_axis('se')} AS pickup_east, {_axis('ss')} AS pickup_south,
             {_axis('ee')} AS dropoff_east, {_axis('es')} AS dropoff_south
           FROM grid""",
@@ -338,6 +344,6 @@ ORACLE_SQL.update(
             {_axis('ee')} AS dropoff_east, {_axis('es')} AS dropoff_south FROM grid""",
         "stream_batch_counts": _with(TRIPS)
         + f"""SELECT count(*) AS num_rows, min(dropoff_datetime) AS first_time, max(dropoff_datetime) AS last_time
-          FROM trips GROUP BY {_DAY}""",
+          FROM trips GROUP BY {_CHUNK}""",
     }
 )

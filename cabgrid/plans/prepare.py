@@ -6,7 +6,7 @@ position, strips blanks from header names, keeps the 17 canonical columns
 (trip values win for shared names) and concatenates all pairs.
 
 Here both folders are read once each, in parallel; files pair on a key taken
-from the path (a partition column such as ``day``, or the digits at the end
+from the path (a partition column such as ``chunk``, or the digits at the end
 of the file name) instead of listing order, which is arbitrary on a cluster.
 The positional join is a full outer join on (pair key, row position).
 """
@@ -23,7 +23,7 @@ from cabgrid.sources.schema import TRIP_SCHEMA
 def file_pair_key(pair_on: str | None) -> Column:
     """The pairing key of a file.
 
-    With ``pair_on``, a partition column both folders share (``day=...``).
+    With ``pair_on``, a partition column both folders share (``chunk=...``).
     Otherwise the last number in the file name, where a Spark-written
     ``part-*`` file stands for its folder: ``trip_data_7.csv`` and
     ``trip_fare_7.csv/part-00000-....csv`` both give ``7``.
@@ -53,7 +53,7 @@ def prepare_trips(
     return cast_to_schema(merged, TRIP_SCHEMA)
 
 
-def read_column_files(spark: SparkSession, root: str, columns: list[str], pair_on: str | None = "day") -> DataFrame:
+def read_column_files(spark: SparkSession, root: str, columns: list[str], pair_on: str | None = "chunk") -> DataFrame:
     """Zips one-value-per-line column folders back into rows by position.
 
     Instead of a chain of joins, the columns are stacked as (key, column,

@@ -88,50 +88,58 @@ def load_trips(spark, sf_dir: str, with_id: bool = True) -> DataFrame:
 #
 # The original reads trip and fare CSV files, one value per line column
 # files and a folder of CSV files for its stream. These writers produce that
-# layout from any trip DataFrame with Spark, one file per drop-off day:
-# ``<dir>/day=YYYY-MM-DD/part-*.csv``, rows in ``trip_id`` order.
+# layout from any trip DataFrame with Spark: ``<dir>/chunk=<k>/part-*.csv``
+# holds trips with ``trip_id div rows_per_file = k`` in ``trip_id`` order.
+# One file is written by one task, and a chunk holds at most
+# ``rows_per_file`` rows whatever the data size: no task gets an unbounded
+# group.
 
 TRIP_SIDE = TRIP_COLUMNS[:10]  # medallion .. dropoff_latitude
 FARE_SIDE = ["medallion", "hack_license", "pickup_datetime"] + TRIP_COLUMNS[10:]
+ROWS_PER_FILE = 2500
 
 
-def _by_day(trips: DataFrame) -> DataFrame:
-    # Sorting by (day, trip_id) also satisfies the writer's ordering by the
+def _chunked(trips: DataFrame, rows_per_file: int) -> DataFrame:
+    # Sorting by (chunk, trip_id) also satisfies the writer's ordering by the
     # partition column, so no second sort can reorder rows inside a file.
-    t = trips.withColumn("day", F.to_date("dropoff_datetime"))
-    return t.repartition("day").sortWithinPartitions("day", "trip_id")
+    t = trips.withColumn("chunk", F.expr(f"trip_id div {int(rows_per_file)}"))
+    return t.repartition("chunk").sortWithinPartitions("chunk", "trip_id")
 
 
-def write_trip_fare_files(trips: DataFrame, trip_dir: str, fare_dir: str) -> None:
+def write_trip_fare_files(
+    trips: DataFrame, trip_dir: str, fare_dir: str, rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Trip files and fare files with headers, paired by folder and row position.
 
     Fare headers after the first carry a leading blank, as in the public
     fare files; the writer must not trim them. Both writes share one shuffle
     (persisted; lost blocks are recomputed from lineage).
     """
-    t = _by_day(trips).persist(StorageLevel.MEMORY_AND_DISK)
+    t = _chunked(trips, rows_per_file).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        t.select("day", *TRIP_SIDE).write.partitionBy("day").option("header", True).csv(trip_dir)
-        fare = t.select("day", *[F.col(c).alias(c if i == 0 else f" {c}") for i, c in enumerate(FARE_SIDE)])
-        fare.write.partitionBy("day").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(fare_dir)
+        t.select("chunk", *TRIP_SIDE).write.partitionBy("chunk").option("header", True).csv(trip_dir)
+        fare = t.select("chunk", *[F.col(c).alias(c if i == 0 else f" {c}") for i, c in enumerate(FARE_SIDE)])
+        fare.write.partitionBy("chunk").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(fare_dir)
     finally:
         t.unpersist()
 
 
-def write_column_files(trips: DataFrame, root: str, columns: list[str]) -> None:
-    """One folder per column, one value per line (``<root>/<column>/day=.../``)."""
-    t = _by_day(trips.select("trip_id", *columns)).persist(StorageLevel.MEMORY_AND_DISK)
+def write_column_files(trips: DataFrame, root: str, columns: list[str], rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One folder per column, one value per line (``<root>/<column>/chunk=.../``)."""
+    t = _chunked(trips.select("trip_id", *columns), rows_per_file).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for c in columns:
-            t.select("day", F.col(c).cast("string").alias("value")).write.partitionBy("day").text(f"{root}/{c}")
+            t.select("chunk", F.col(c).cast("string").alias("value")).write.partitionBy("chunk").text(f"{root}/{c}")
     finally:
         t.unpersist()
 
 
-def write_stream_files(trips: DataFrame, path: str, columns: list[str] | None = None) -> None:
+def write_stream_files(
+    trips: DataFrame, path: str, columns: list[str] | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Headerless CSV files for a file stream; timestamps as UTC text with ``Z``."""
     from cabgrid.functions.timewin import utc_text
 
-    t = _by_day(trips)
+    t = _chunked(trips, rows_per_file)
     cols = [utc_text(c).alias(c) if c.endswith("_datetime") else F.col(c) for c in (columns or TRIP_COLUMNS)]
-    t.select("day", *cols).write.partitionBy("day").csv(path)
+    t.select("chunk", *cols).write.partitionBy("chunk").csv(path)

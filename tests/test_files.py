@@ -71,13 +71,13 @@ def test_fare_headers_blanks_stripped_and_trip_wins(spark, trips_small):
     fixture.write_trip_fare_files(trips_small, trip_dir, fare_dir)
     raw = spark.read.option("header", True).csv(fare_dir)
     assert " hack_license" in raw.columns
-    merged = prepare_trips(spark, trip_dir, fare_dir, pair_on="day")
+    merged = prepare_trips(spark, trip_dir, fare_dir, pair_on="chunk")
     assert merged.columns == TRIP_COLUMNS
     want = trips_small.select(*TRIP_COLUMNS)
     assert merged.exceptAll(want).count() == 0 and want.exceptAll(merged).count() == 0
-    limited = prepare_trips(spark, trip_dir, fare_dir, rows_per_file=100, pair_on="day")
-    days = trips_small.select(F.to_date("dropoff_datetime")).distinct().count()
-    assert limited.count() == 100 * days
+    limited = prepare_trips(spark, trip_dir, fare_dir, rows_per_file=100, pair_on="chunk")
+    files = trips_small.select(F.expr(f"trip_id div {fixture.ROWS_PER_FILE}")).distinct().count()
+    assert limited.count() == 100 * files
 
 
 def test_pairing_by_file_name_digits(spark, trips_small):
