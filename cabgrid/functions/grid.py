@@ -13,8 +13,8 @@ hundreds of small ``Column`` calls. Two rule sets exist:
 * ``intended``: what their comments describe. Cell 1.1 is centred on the
   origin, indices run 1..300, anything else is outside.
 
-A null, NaN or infinite coordinate gives a null index, a null cell and a
-null route; the outlier filter then drops the row. Division is by the cell
+A null or NaN coordinate gives a null index, a null cell and a null route;
+the outlier filter drops such rows, and rows with infinite coordinates. Division is by the cell
 size, never multiplication by its inverse, so boundary points round like
 the original.
 """
@@ -50,14 +50,15 @@ def _d(x: float) -> str:
     return f"{x!r}D"
 
 
-def _finite(x: str) -> str:
-    """``x``, or null when NaN or infinite.
+def _not_nan(x: str) -> str:
+    """``x`` with NaN as null, referencing ``x`` once.
 
-    ``FLOOR(NaN)`` is 0 in Spark and ``FLOOR(-Infinity)`` the smallest
-    bigint, which the observed rule (no lower east bound) would accept: a
-    corrupt coordinate must drop its row like a missing one instead.
+    ``FLOOR(NaN)`` is 0 in Spark: a NaN coordinate would land in a real cell.
+    (An infinite one gives an index beyond the grid, except a longitude of
+    -Infinity in the observed rule, which has no lower east bound; the
+    outlier filter's bounding box drops it.)
     """
-    return f"(CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN NULL ELSE ({x}) END)"
+    return f"nanvl({x}, CAST(NULL AS DOUBLE))"
 
 
 class sql:
@@ -66,7 +67,7 @@ class sql:
     @staticmethod
     def south_index(lat: str, semantics: str = "observed") -> str:
         _check(semantics)
-        lat = _finite(lat)
+        lat = _not_nan(lat)
         if semantics == "observed":
             return f"FLOOR(ABS({_d(LAT0)} - {lat}) / {_d(DLAT)})"
         return f"(FLOOR(({_d(LAT0)} - {lat}) / {_d(DLAT)} + 0.5D) + 1)"
@@ -74,7 +75,7 @@ class sql:
     @staticmethod
     def east_index(lon: str, semantics: str = "observed") -> str:
         _check(semantics)
-        lon = _finite(lon)
+        lon = _not_nan(lon)
         if semantics == "observed":
             return f"FLOOR(({lon} - {_d(LON0)}) / {_d(DLON)})"
         return f"(FLOOR(({lon} - {_d(LON0)}) / {_d(DLON)} + 0.5D) + 1)"
@@ -121,7 +122,8 @@ class sql:
         if semantics == "observed":
             span = (LAST + 1) * DLAT + _MARGIN
             lat_ok = f"(({lat}) BETWEEN {_d(LAT0 - span)} AND {_d(LAT0 + span)})"
-            return f"({lat_ok} AND ({lon}) < {_d(LON0 + (LAST + 1) * DLON + _MARGIN)})"
+            lon_ok = f"({lon}) > double('-Infinity') AND ({lon}) < {_d(LON0 + (LAST + 1) * DLON + _MARGIN)}"
+            return f"({lat_ok} AND {lon_ok})"
         lat_lo, lat_hi = LAT0 - (LAST - 0.5) * DLAT - _MARGIN, LAT0 + 0.5 * DLAT + _MARGIN
         lon_lo, lon_hi = LON0 - 0.5 * DLON - _MARGIN, LON0 + (LAST - 0.5) * DLON + _MARGIN
         return (

@@ -30,8 +30,8 @@ EDGE_POINTS = [
     (None, -74.0, None),
     (41.0, None, None),
     (float("nan"), -74.0, None),
-    (41.0, float("-inf"), None),
-    (float("inf"), -74.0, None),
+    (41.0, float("nan"), None),
+    (float("inf"), -74.0, "999.999"),
 ]
 
 
@@ -46,6 +46,21 @@ def test_edge_points(spark):
         assert got == want
 
 
+def test_outlier_filter_drops_non_finite(spark):
+    from cabgrid.operators.cells import in_grid_trips
+
+    rows = [
+        (lat(160), lon(150), lat(161), lon(151)),
+        (float("nan"), lon(150), lat(161), lon(151)),
+        (lat(160), float("-inf"), lat(161), lon(151)),
+        (lat(160), lon(150), float("inf"), lon(151)),
+    ]
+    df = spark.createDataFrame(
+        rows, "pickup_latitude double, pickup_longitude double, dropoff_latitude double, dropoff_longitude double"
+    )
+    assert in_grid_trips(df).count() == 1
+
+
 def test_axis_sentinel_and_null(spark):
     df = spark.createDataFrame([(lat(301),), (lat(12),), (None,)], "lat double")
     got = [r[0] for r in df.select(G.axis_or_outside(G.sql.south_index("lat"))).collect()]

@@ -73,3 +73,13 @@ def test_fused_areas_equal_separate_aggregates(trips_small):
 def test_profitability_positive_and_topk_bounded(trips_small):
     top = Q.profitable_cells(trips_small, 3)
     assert top.where((F.col("rank") > 3) | (F.col("profitability") <= 0)).count() == 0
+
+
+def test_profiles_sorted_by_time_then_rank(trips_small):
+    from cabgrid.operators import profiles
+
+    prof = profiles.route_daytime_profile(Q.frequent_routes(trips_small, 10), 10).collect()
+    keys = [(r.endtime, r.local_rank) for r in prof]
+    assert keys == sorted(keys) and len(keys) > 0
+    busy = [r.endtime for r in profiles.busiest_times(Q.window_trip_totals(trips_small)).collect()]
+    assert busy == sorted(busy)
