@@ -4,11 +4,9 @@ Inputs are already small (top-k rows or one row per window); the profile
 groups them by ``HH:mm`` of the window end, so it stays distributed and never
 goes through the driver.
 
-Outputs are sorted. A profile has at most one row per minute of the day
-(per ranked item, at most ``k``), whatever the data size: that proven bound
-lets the final sort run in one task (``repartition(1)`` + local sort) instead
-of a range shuffle with its sampling job; the stages before it stay parallel.
-Without ``k`` the bound is gone and a global ``orderBy`` is used.
+Outputs are sorted with a global ``orderBy`` (range partitioning). A
+profile has at most one row per minute of the day and ranked item, so this
+last sort is small whatever the data size.
 """
 
 from __future__ import annotations
@@ -22,17 +20,12 @@ from cabgrid.functions.timewin import time_of_day
 MEAN_DIGITS = 9
 
 
-def _sorted_bounded(df: DataFrame, *cols: str) -> DataFrame:
-    """Sort of an output bounded by minutes of the day x k rows: one task."""
-    return df.repartition(1).sortWithinPartitions(*cols)
-
-
 def _local_rank(df: DataFrame, key: str, value: str, item: str, k: int | None) -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.desc(value), F.asc(item))
     out = df.withColumn("local_rank", F.row_number().over(w))
-    if k is None:
-        return out.orderBy(key, "local_rank")
-    return _sorted_bounded(out.where(F.col("local_rank") <= k), key, "local_rank")
+    if k is not None:
+        out = out.where(F.col("local_rank") <= k)
+    return out.orderBy(key, "local_rank")
 
 
 def route_daytime_profile(ranked: DataFrame, k: int | None = 10) -> DataFrame:
@@ -46,7 +39,7 @@ def route_daytime_profile(ranked: DataFrame, k: int | None = 10) -> DataFrame:
 def busiest_times(totals: DataFrame) -> DataFrame:
     """``endtime, avg_top_count``: mean count of the kept row per time of day."""
     prof = totals.groupBy(time_of_day("window_end").alias("endtime")).agg(F.avg("count").alias("avg_top_count"))
-    return _sorted_bounded(prof, "endtime")
+    return prof.orderBy("endtime")
 
 
 def cell_daytime_profile(ranked_cells: DataFrame, k: int | None = 10, digits: int = MEAN_DIGITS) -> DataFrame:
@@ -62,4 +55,4 @@ def profitable_times(per_window: DataFrame, digits: int = MEAN_DIGITS) -> DataFr
     prof = per_window.groupBy(time_of_day("window").alias("time")).agg(
         F.round(F.avg("avg_profitability"), digits).alias("avg_profitability")
     )
-    return _sorted_bounded(prof, "time")
+    return prof.orderBy("time")
