@@ -118,3 +118,33 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) >= 16000
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 << 20
     assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]
+
+
+def _cell_py(la, lo):
+    """Brute force of the observed rule in plain Python floats (IEEE doubles, like Spark)."""
+    import math
+
+    south = math.floor(abs(G.LAT0 - la) / G.DLAT)
+    east = math.floor((lo - G.LON0) / G.DLON)
+    return f"{east}.{south}" if east <= G.LAST and south <= G.LAST else G.OUTSIDE_CELL
+
+
+edge = st.tuples(st.integers(-5, 305), st.integers(-5, 305), st.integers(-3, 3), st.integers(-3, 3))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(edge, min_size=1, max_size=300))
+def test_cells_match_brute_force_at_cell_edges(spark, specs):
+    import math
+
+    pts = []
+    for row, col, dr, dc in specs:
+        la = G.LAT0 - row * G.DLAT  # exactly on a row edge, then a few ulps off
+        lo = G.LON0 + col * G.DLON
+        for _ in range(abs(dr)):
+            la = math.nextafter(la, math.copysign(math.inf, dr))
+        for _ in range(abs(dc)):
+            lo = math.nextafter(lo, math.copysign(math.inf, dc))
+        pts.append((la, lo, _cell_py(la, lo)))
+    for got, want in _cells(spark, pts):
+        assert got == want
