@@ -14,9 +14,9 @@ hundreds of small ``Column`` calls. Two rule sets exist:
   origin, indices run 1..300, anything else is outside.
 
 A null or NaN coordinate gives a null index, a null cell and a null route;
-the outlier filter drops such rows, and rows with infinite coordinates. Division is by the cell
-size, never multiplication by its inverse, so boundary points round like
-the original.
+the outlier filter drops such rows, and rows with infinite coordinates.
+Division is by the cell size, never multiplication by its inverse, so
+boundary points round like the original.
 """
 
 from __future__ import annotations
