@@ -35,7 +35,8 @@ def in_grid_trips(trips: DataFrame, semantics: str = "observed") -> DataFrame:
         f"{sql.bbox_prefilter('dropoff_latitude', 'dropoff_longitude', semantics)}"
     )
     t = with_axes(trips.where(pre), semantics)
-    return t.where(f"{sql.in_grid(*START_AXES, semantics=semantics)} AND {sql.in_grid(*END_AXES, semantics=semantics)}")
+    inside = f"{sql.in_grid(*START_AXES, semantics=semantics)} AND {sql.in_grid(*END_AXES, semantics=semantics)}"
+    return t.where(inside)
 
 
 def with_cells(trips: DataFrame, semantics: str = "observed") -> DataFrame:

@@ -230,7 +230,8 @@ _GRID_ALL = _with(TRIPS, _grid())
 ORACLE_SQL = {
     # grid, projections, filters
     "cell_of_point": _GRID_ALL
-    + f"SELECT trip_id, {_cell_or_outside('se', 'ss')} AS cell_start, {_cell_or_outside('ee', 'es')} AS cell_end FROM grid",
+    + f"""SELECT trip_id, {_cell_or_outside('se', 'ss')} AS cell_start,
+         {_cell_or_outside('ee', 'es')} AS cell_end FROM grid""",
     "route_of_trip": _GRID_ALL
     + f"""SELECT trip_id, CASE WHEN (se <= 300 AND ss <= 300 AND ee <= 300 AND es <= 300) THEN {ROUTE}
          WHEN NOT (se <= 300 AND ss <= 300 AND ee <= 300 AND es <= 300) THEN '999.999->999.999' END AS route

@@ -16,7 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabgrid.sources.files import cast_to_schema, limit_per_file, read_csv, strip_blanks, with_file_position
+from cabgrid.sources.files import (
+    cast_to_schema,
+    limit_per_file,
+    read_csv,
+    strip_blanks,
+    union_all,
+    with_file_position,
+)
 from cabgrid.sources.schema import TRIP_SCHEMA
 
 
@@ -60,8 +67,6 @@ def read_column_files(spark: SparkSession, root: str, columns: list[str], pair_o
     value) rows and pivoted back with one aggregate: a single shuffle. Like
     the inner joins of the original, a position must exist in every column.
     """
-    from cabgrid.sources.files import union_all
-
     parts = []
     for c in columns:
         df = with_file_position(spark.read.text(f"{root}/{c}")).withColumn("_pair", file_pair_key(pair_on))

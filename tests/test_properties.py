@@ -26,7 +26,8 @@ def test_ranks_are_dense_from_one_and_bounded(trips_small):
 def test_one_total_per_window_and_closed_form(trips_small):
     counts = routes.route_counts(trips_small)
     totals = routes.window_trip_totals(counts)
-    assert totals.count() == totals.select("window_end").distinct().count() == counts.select("window_end").distinct().count()
+    n_windows = counts.select("window_end").distinct().count()
+    assert totals.count() == totals.select("window_end").distinct().count() == n_windows
     # the kept row is rank 1 of the frequent-routes ranking
     top1 = routes.topk_routes(counts, 1).select("window_end", "route", "count")
     assert totals.select("window_end", "route", "count").exceptAll(top1).count() == 0
