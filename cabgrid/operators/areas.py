@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabgrid.functions.grid import cell_id
+from cabgrid.functions.grid import cell_id, sql
 from cabgrid.functions.timewin import window_end, window_start
 from cabgrid.operators.cells import END_AXES, START_AXES, in_grid_trips
 
@@ -41,8 +41,9 @@ def _cell() -> Column:
     return cell_id("east", "south").alias("cell")
 
 
-def _empty() -> Column:
-    return F.col("dropoff_count") - F.col("pickup_count")
+# Empty cabs of the observed rule, over the columns of ``area_stats``.
+_EMPTY = "(dropoff_count - pickup_count)"
+_CELL_SQL = f"{sql.cell_id('east', 'south')} AS cell"
 
 
 def revenue() -> Column:
@@ -164,7 +165,7 @@ def area_stats(
 def empty_cabs(trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "observed") -> DataFrame:
     """``window, cell, empty_cabs`` where drop-offs exceed next-window pickups."""
     stats = area_stats(trips, length, with_profit=False, semantics=semantics)
-    return stats.where(_empty() > 0).select("window", _cell(), _empty().alias("empty_cabs"))
+    return stats.where(f"{_EMPTY} > 0").selectExpr("window", _CELL_SQL, f"{_EMPTY} AS empty_cabs")
 
 
 def empty_taxis(
@@ -236,8 +237,8 @@ def profitability(
     if slide is not None:
         raise ValueError("observed empty cabs pair each window with the next one; slide needs semantics='intended'")
     stats = area_stats(trips, length, max_secs, accuracy, True, semantics)
-    return stats.where((_empty() > 0) & (F.col("n_profit") > 0)).select(
-        "window", _cell(), (F.col("profit") / _empty()).alias("profitability")
+    return stats.where(f"{_EMPTY} > 0 AND n_profit > 0").selectExpr(
+        "window", _CELL_SQL, f"profit / {_EMPTY} AS profitability"
     )
 
 
