@@ -15,10 +15,16 @@ from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
+    """The context's checkpoint folder, registering it first when needed.
+
+    ``DataFrame.checkpoint`` needs the SparkContext's folder set: a folder
+    given only as a session setting is registered from that setting, and a
+    local temporary folder is used only when none is configured at all.
+    """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir()
     if not root:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cabgrid-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cabgrid-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 
