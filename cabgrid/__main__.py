@@ -1,8 +1,8 @@
 """Command line: ``spark-submit -m cabgrid <job> ...`` or ``python -m cabgrid <job> ...``.
 
-    frequent-routes   TRIPS_GLOB OUT_DIR [--k 10] [--semantics observed]
-    profitable-areas  TRIPS_GLOB OUT_DIR [--k 10] [--semantics observed]
-    prepare           TRIP_DIR FARE_DIR OUT_DIR [--rows-per-file N]
+    frequent-routes   TRIPS OUT_DIR [--k 10] [--semantics observed] [--input-format csv|parquet]
+    profitable-areas  TRIPS OUT_DIR [--k 10] [--semantics observed] [--input-format csv|parquet]
+    prepare           TRIP_DIR FARE_DIR OUT_DIR [--rows-per-file N] [--output-format csv|parquet]
     stream-routes     IN_DIR OUT_DIR CHECKPOINT [--k 10] [--max-files-per-trigger N] [--interval "3 seconds"]
 
 The session comes from ``spark-submit``/``spark-defaults.conf`` (master,
@@ -28,11 +28,13 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("out")
         s.add_argument("--k", type=int, default=10)
         s.add_argument("--semantics", choices=("observed", "intended"), default="observed")
+        s.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
     s = sub.add_parser("prepare")
     s.add_argument("trip_dir")
     s.add_argument("fare_dir")
     s.add_argument("out")
     s.add_argument("--rows-per-file", type=int)
+    s.add_argument("--output-format", choices=("csv", "parquet"), default="csv")
     s = sub.add_parser("stream-routes")
     s.add_argument("in_dir")
     s.add_argument("out")
@@ -44,11 +46,13 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"cabgrid-{a.job}").getOrCreate()
     if a.job == "frequent-routes":
-        out = jobs.frequent_routes_job(spark, a.trips, a.out, a.k, semantics=a.semantics)
+        out = jobs.frequent_routes_job(spark, a.trips, a.out, a.k, semantics=a.semantics, input_format=a.input_format)
     elif a.job == "profitable-areas":
-        out = jobs.profitable_areas_job(spark, a.trips, a.out, a.k, semantics=a.semantics)
+        out = jobs.profitable_areas_job(
+            spark, a.trips, a.out, a.k, semantics=a.semantics, input_format=a.input_format
+        )
     elif a.job == "prepare":
-        out = jobs.prepare_job(spark, a.trip_dir, a.fare_dir, a.out, a.rows_per_file)
+        out = jobs.prepare_job(spark, a.trip_dir, a.fare_dir, a.out, a.rows_per_file, a.output_format)
     else:
         trigger = {"processingTime": a.interval} if a.interval else None
         q = jobs.stream_routes_job(

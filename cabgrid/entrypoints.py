@@ -17,7 +17,7 @@ from cabgrid.plans import queries as Q
 from cabgrid.plans.prepare import prepare_trips, read_column_files
 from cabgrid.session import scratch_path
 from cabgrid.sources import fixture
-from cabgrid.sources.files import read_csv, union_all, write_csv
+from cabgrid.sources.files import read_csv, read_trips, union_all, write_csv, write_trips_parquet
 from cabgrid.sources.fixture import load_trips
 from cabgrid.sources.schema import COLUMN_STREAM_COLUMNS, RANKING_SCHEMA, TRIP_COLUMNS
 from cabgrid.streaming import columns as scol
@@ -205,6 +205,12 @@ def scan_trips_csv(spark, sf):
     return read_csv(spark, f"{path}/*.csv")
 
 
+def scan_trips_parquet(spark, sf):
+    path = scratch_path(spark, "trips-parquet")
+    write_trips_parquet(_trips(spark, sf).select(*TRIP_COLUMNS), path)
+    return read_trips(spark, path, "parquet").select(*TRIP_COLUMNS, F.col("dropoff_date").cast("string"))
+
+
 def sink_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "ranked-csv")
     write_csv(Q.frequent_routes(_trips(spark, sf), K), path, order_by=["window_end", "rank"])
@@ -345,6 +351,7 @@ QUERIES = {
         cell_daytime_profile,
         profitable_times,
         scan_trips_csv,
+        scan_trips_parquet,
         sink_csv_roundtrip,
         merge_fare_trip,
         scan_limit_per_file,

@@ -64,3 +64,20 @@ def test_stream_routes_job(spark, trips_small):
     got = spark.read.parquet(out).count()
     counts = routes.route_counts(trips_small)
     assert 0 < got <= routes.topk_routes(counts).count()
+
+
+def test_parquet_store_prunes_columns_and_pushes_the_bounding_box(spark, trips_small):
+    from cabgrid.sources.files import read_trips, write_trips_parquet
+
+    path = scratch_path(spark, "store")
+    write_trips_parquet(trips_small.select(*TRIP_COLUMNS), path)
+    top = Q.frequent_routes(read_trips(spark, path, "parquet"))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "PushedFilters: [" in scan and "pickup_latitude" in scan.split("PushedFilters: [", 1)[1]
+    read_schema = scan.split("ReadSchema: struct<", 1)[1]
+    assert "fare_amount" not in read_schema and "medallion" not in read_schema  # 5 of 17 columns read
+    assert _same(top, Q.frequent_routes(trips_small))
+    out = jobs.frequent_routes_job(spark, path, scratch_path(spark, "job-out"), input_format="parquet")
+    fmt = {"timestampNTZFormat": OUTPUT_TS_FORMAT}
+    assert _same(read_csv(spark, out["rankings"], RANKING_SCHEMA, **fmt), Q.frequent_routes(trips_small))
