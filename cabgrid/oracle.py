@@ -154,10 +154,11 @@ perwin AS (
 def _in_windows(ts: str, step: int, length: int) -> str:
     """The ends of the ``length``-minute windows every ``step`` minutes that hold ``ts``.
 
-    Used with ``CROSS JOIN range(0, length / step) AS r(i)``: the ends are the
-    multiples of ``step`` in (ts, ts + length].
+    One row per window end, by ``unnest`` in the select list: the multiples of
+    ``step`` in (ts, ts + length], ``length / step`` of them.
     """
-    return f"(time_bucket(INTERVAL '{step} minutes', {ts}) + to_minutes({step} * (1 + i)))"
+    first = f"time_bucket(INTERVAL '{step} minutes', {ts}) + INTERVAL '{step} minutes'"
+    return f"unnest(generate_series({first}, {first} + to_minutes({length - step}), INTERVAL '{step} minutes'))"
 
 
 def _empty_intended(step: int = 15, horizon: int = 30) -> str:
@@ -165,7 +166,7 @@ def _empty_intended(step: int = 15, horizon: int = 30) -> str:
     return f"""
 dwin AS (
   SELECT medallion, {_in_windows("dropoff_datetime", step, horizon)} AS "window", dropoff_datetime, ee, es
-  FROM ig CROSS JOIN range(0, {horizon // step}) AS r(i)),
+  FROM ig),
 latest AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY "window", medallion
@@ -182,10 +183,12 @@ empty AS (
 def _areas_intended(k: int = 10, length: int = 15, step: int = 15) -> str:
     """Intended profitability: all trips, profit over the last ``length`` minutes every ``step``."""
     return f"""
-profit AS (
+pwin AS (
   SELECT {_in_windows("dropoff_datetime", step, length)} AS "window", {_cell("se", "ss")} AS cell,
-    quantile_disc(fare_amount + tip_amount, 0.5) AS profit
-  FROM ig CROSS JOIN range(0, {length // step}) AS r(i) GROUP BY ALL),
+    fare_amount + tip_amount AS revenue
+  FROM ig),
+profit AS (
+  SELECT "window", cell, quantile_disc(revenue, 0.5) AS profit FROM pwin GROUP BY ALL),
 prof AS (
   SELECT e."window", e.cell, p.profit / e.empty_cabs AS profitability
   FROM empty e JOIN profit p ON e."window" = p."window" AND e.cell = p.cell),
