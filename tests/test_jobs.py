@@ -81,3 +81,31 @@ def test_parquet_store_prunes_columns_and_pushes_the_bounding_box(spark, trips_s
     out = jobs.frequent_routes_job(spark, path, scratch_path(spark, "job-out"), input_format="parquet")
     fmt = {"timestampNTZFormat": OUTPUT_TS_FORMAT}
     assert _same(read_csv(spark, out["rankings"], RANKING_SCHEMA, **fmt), Q.frequent_routes(trips_small))
+
+
+def test_prepare_job_via_cli_to_parquet_store_and_csv(spark, trips_small):
+    from cabgrid.sources import fixture
+    from cabgrid.sources.files import read_trips
+
+    trip_dir, fare_dir = scratch_path(spark, "prep-trip"), scratch_path(spark, "prep-fare")
+    fixture.write_trip_fare_files(trips_small, trip_dir, fare_dir)
+    want = trips_small.select(*TRIP_COLUMNS)
+
+    store = scratch_path(spark, "prep-store")
+    main(["prepare", trip_dir, fare_dir, store, "--output-format", "parquet"])
+    got = read_trips(spark, store, "parquet").select(*TRIP_COLUMNS)
+    assert _same(got, want)
+
+    out = scratch_path(spark, "prep-csv")
+    jobs.prepare_job(spark, trip_dir, fare_dir, out, rows_per_file=100)
+    back = read_csv(spark, out)
+    files = trips_small.select(F.expr(f"trip_id div {fixture.ROWS_PER_FILE}")).distinct().count()
+    assert back.count() == 100 * files
+    import os
+
+    local = out.removeprefix("file:")
+    times = []
+    for part in sorted(p for p in os.listdir(local) if p.startswith("part-")):  # concatenated in name order
+        with open(os.path.join(local, part)) as fh:
+            times += [line.split(",")[3] for line in fh if line.strip()]
+    assert len(times) == back.count() and times == sorted(times)
