@@ -24,8 +24,15 @@ def window_start(ts, length: str, slide: str | None = None) -> Column:
 
 
 def time_of_day(ts) -> Column:
-    """``HH:mm`` text of a timestamp: the daily profile key."""
-    return F.date_format(_c(ts), "HH:mm")
+    """``HH:mm`` text of a timestamp: the daily profile key.
+
+    Built from ``hour``/``minute``, which read a ``TIMESTAMP_NTZ`` as it is;
+    ``date_format`` would first cast it to the session zone, and a wall-clock
+    time inside a daylight-saving gap (02:30 on a spring-forward day in New
+    York) would come out an hour later.
+    """
+    c = _c(ts)
+    return F.format_string("%02d:%02d", F.hour(c), F.minute(c))
 
 
 def utc_wallclock(ts) -> Column:
@@ -41,6 +48,7 @@ def utc_text(ts) -> Column:
     """ISO text with an explicit ``Z`` for a zone-free timestamp.
 
     Written to files that a stream later reads as instants, so the reading
-    session's zone cannot shift the value.
+    session's zone cannot shift the value. Built from the zone-free string
+    cast (``date_format`` would pass through the session zone first).
     """
-    return F.concat(F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    return F.concat(F.regexp_replace(_c(ts).cast("string"), " ", "T"), F.lit("Z"))

@@ -84,3 +84,30 @@ def test_profiles_sorted_by_time_then_rank(trips_small):
     assert keys == sorted(keys) and len(keys) > 0
     busy = [r.endtime for r in profiles.busiest_times(Q.window_trip_totals(trips_small)).collect()]
     assert busy == sorted(busy)
+
+
+def test_time_of_day_ignores_session_zone_gaps(spark):
+    from cabgrid.functions.timewin import time_of_day
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:00' AS t, TIMESTAMP_NTZ '2024-11-03 01:30:00' AS u")
+        got = df.select(time_of_day("t"), time_of_day("u")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(got) == ("02:30", "01:30")
+
+
+def test_utc_text_ignores_session_zone_gaps(spark):
+    from cabgrid.functions.timewin import utc_text
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:00.25' AS t")
+        got = df.select(utc_text("t")).first()[0]
+        back = spark.createDataFrame([(got,)], "s string").selectExpr("CAST(s AS TIMESTAMP) AS i")
+        wall = back.selectExpr("timestampadd(MICROSECOND, unix_micros(i), TIMESTAMP_NTZ '1970-01-01 00:00:00')").first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == "2024-03-10T02:30:00.25Z"
+    assert str(wall) == "2024-03-10 02:30:00.250000"
