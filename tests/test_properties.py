@@ -111,3 +111,18 @@ def test_utc_text_ignores_session_zone_gaps(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == "2024-03-10T02:30:00.25Z"
     assert str(wall) == "2024-03-10 02:30:00.250000"
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+
+    keys = ["topk_routes", "topk_cells", "route_daytime_profile", "profitable_times", "scan_trips_csv"]
+    want = {k: sorted(E.queries()[k](spark, SF_SMALL).collect()) for k in keys}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {k: sorted(E.queries()[k](spark, SF_SMALL).collect()) for k in keys}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for k in keys:
+        assert got[k] == want[k], k
