@@ -10,6 +10,10 @@
 * Top-k needs ``row_number``, which streams refuse; ``topk_batch_writer``
   ranks each micro-batch of closed windows in ``foreachBatch``. Writes go to
   ``batch_id=<n>`` folders with overwrite, so a replayed batch is idempotent.
+  That is one folder per micro-batch: with short triggers, compact old
+  batches periodically (read them, rewrite by window date) or trigger less
+  often; each window appears in exactly one batch, so compaction is a plain
+  union.
 * Sinks and checkpoints live under the shared checkpoint folder, so a
   restarted query resumes after a lost driver or executor.
 
