@@ -1,7 +1,7 @@
 """Headline query timings: prints one JSON line.
 
     BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-    BENCH_REPEAT (default 3: the median run is reported).
+    BENCH_REPEAT (default 5: the median run is reported).
 
 Each query runs to completion into the ``noop`` sink, so every row is
 computed and nothing is collected. One warm-up pass loads the JVM code paths
@@ -38,7 +38,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("cabgrid-bench")
