@@ -17,7 +17,15 @@ from cabgrid.plans import queries as Q
 from cabgrid.plans.prepare import prepare_trips, read_column_files
 from cabgrid.session import scratch_path
 from cabgrid.sources import fixture
-from cabgrid.sources.files import read_csv, read_trips, union_all, write_csv, write_trips_parquet
+from cabgrid.sources.files import (
+    read_csv,
+    read_per_window,
+    read_trips,
+    union_all,
+    write_csv,
+    write_per_window,
+    write_trips_parquet,
+)
 from cabgrid.sources.fixture import load_trips
 from cabgrid.sources.schema import COLUMN_STREAM_COLUMNS, RANKING_SCHEMA, TRIP_COLUMNS
 from cabgrid.streaming import columns as scol
@@ -217,6 +225,12 @@ def sink_csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema=RANKING_SCHEMA)
 
 
+def sink_per_window(spark, sf):
+    path = scratch_path(spark, "per-window")
+    write_per_window(Q.frequent_routes(_trips(spark, sf), K), path)
+    return read_per_window(spark, path, RANKING_SCHEMA)
+
+
 def _trip_fare_files(spark, sf):
     trip_dir, fare_dir = scratch_path(spark, "trip-files"), scratch_path(spark, "fare-files")
     fixture.write_trip_fare_files(_trips(spark, sf), trip_dir, fare_dir)
@@ -353,6 +367,7 @@ QUERIES = {
         scan_trips_csv,
         scan_trips_parquet,
         sink_csv_roundtrip,
+        sink_per_window,
         merge_fare_trip,
         scan_limit_per_file,
         positional_zip,

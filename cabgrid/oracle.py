@@ -328,6 +328,7 @@ ORACLE_SQL.update(
         "scan_trips_parquet": _with(TRIPS)
         + "SELECT * EXCLUDE (trip_id), CAST(CAST(dropoff_datetime AS DATE) AS VARCHAR) AS dropoff_date FROM trips",
         "sink_csv_roundtrip": ORACLE_SQL["topk_routes"],
+        "sink_per_window": ORACLE_SQL["topk_routes"],
         "merge_fare_trip": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
         "scan_limit_per_file": _with(TRIPS)
         + f"""SELECT * EXCLUDE (trip_id, pos) FROM (

@@ -100,3 +100,14 @@ def test_scan_glob_reads_declared_types(spark, trips_small):
     assert dict(back.dtypes)["trip_time_in_secs"] == "int"
     assert dict(back.dtypes)["dropoff_datetime"] == "timestamp_ntz"
     assert back.exceptAll(trips_small.select(*TRIP_COLUMNS)).count() == 0
+
+
+def test_per_window_sink_writes_one_folder_per_window(spark, trips_small):
+    from cabgrid.plans import queries as Q
+    from cabgrid.sources.files import write_per_window
+
+    path = scratch_path(spark, "per-window-layout")
+    ranked = Q.frequent_routes(trips_small)
+    write_per_window(ranked, path)
+    folders = [p for p in os.listdir(_local(path)) if p.startswith("window_end=")]
+    assert len(folders) == ranked.select("window_end").distinct().count() > 1

@@ -117,7 +117,14 @@ def test_results_do_not_depend_on_session_zone(spark):
     import __spark_entry__ as E
     from conftest import SF_SMALL
 
-    keys = ["topk_routes", "topk_cells", "route_daytime_profile", "profitable_times", "scan_trips_csv"]
+    keys = [
+        "topk_routes",
+        "topk_cells",
+        "route_daytime_profile",
+        "profitable_times",
+        "scan_trips_csv",
+        "sink_per_window",
+    ]
     want = {k: sorted(E.queries()[k](spark, SF_SMALL).collect()) for k in keys}
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
