@@ -1,4 +1,8 @@
-"""Spark result against DuckDB oracle: column names, row count, exact row multiset."""
+"""Spark result against DuckDB oracle: column names, row count, exact row multiset.
+
+    python tests/compare.py [SF_DIR] [KEY...]             compare with the oracle
+    python tests/compare.py --explain [SF_DIR] KEY...     print formatted physical plans
+"""
 
 from __future__ import annotations
 
@@ -70,8 +74,11 @@ if __name__ == "__main__":
 
     import __spark_entry__ as E
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = set(sys.argv[2:])
+    args = sys.argv[1:]
+    explain = "--explain" in args
+    args = [a for a in args if a != "--explain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    only = set(args[1:])
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
@@ -82,6 +89,11 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
     qs, sqls = E.queries(), E.oracle_sql()
+    if explain:  # python tests/compare.py --explain SF_DIR KEY...: formatted physical plans only
+        for name in sorted(only or qs):
+            print(f"===== {name}")
+            qs[name](spark, sf).explain("formatted")
+        sys.exit(0)
     bad = 0
     for name, fn in qs.items():
         if only and name not in only:
