@@ -5,19 +5,23 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from cabgrid import entrypoints as ep
 from compare import compare
 from conftest import SF_ORACLE
 
 SQL = E.oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_oracle(spark, duck_oracle, name):
-    assert name in SQL, f"{name} has no oracle SQL"
     ok, msg = compare(E.queries()[name](spark, SF_ORACLE), duck_oracle, SQL[name])
     assert ok, msg
 
 
+def test_every_trip_query_has_oracle_sql():
+    assert not set(ep.QUERIES) - set(SQL)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["route", "count", "rank", "window_end"]
