@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabgrid.session import checkpoint_root
+from cabgrid.session import checkpoint_root, scratch_path
 
 #: Fixed value: a word is a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,8 +38,10 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), raw_text(text_col).alias("raw"))
 
 
-def same_document(left: DataFrame, right: DataFrame) -> Column:
-    return left["id"].eqNullSafe(right["id"]) & (left["th"] == right["th"])
+def join_documents(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right`` for the same document (``id``, ``th``)."""
+    right = right.withColumnsRenamed({"id": "right_id", "th": "right_th"})
+    return left.join(right, F.expr("id <=> right_id AND th = right_th"), how).drop("right_id", "right_th")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -48,6 +50,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder as compressed Parquet: its lineage ends here."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of whole rows with about ``max_bytes`` of a binary column."""
     for batch in batches:

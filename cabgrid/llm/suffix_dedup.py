@@ -33,13 +33,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabgrid.llm.common import keyed, same_document, slices, whole_groups
+from cabgrid.llm.common import join_documents, keyed, slices, whole_groups, written
 
 #: Bytes of a string that counts as a repeat, and of an anchor.
-LENGTH, GRAM = 200, 80
+LENGTH, GRAM = 200, 48
 #: Strings of one anchor; a window holds the bytes of them all.
 STRINGS = LENGTH - GRAM + 1
 WIDTH = LENGTH + STRINGS - 1
+#: Strings of a window that are compared together where its hash is split.
+STEP = 17
 #: Classes of one hash that a task takes; more are split.
 PART = 1024
 
@@ -110,68 +112,54 @@ def _grouped(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
+def _bounds(pos: int, n: int) -> tuple[int, int]:
+    """The bytes of the window of an anchor, within its text."""
+    return max(0, pos - STRINGS + 1), min(n, pos + LENGTH)
+
+
 def find_anchors(docs: DataFrame) -> DataFrame:
-    """``id``, ``th``, ``pos``, ``h`` of all anchors."""
+    """``id``, ``th``, ``pos``, ``h`` of all anchors, and the ``digest`` of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = _Rolling()
         for b in slices(batches, "raw", 1 << 23):
             for first, parts in _grouped(b.column("raw")):
                 row, pos, h = anchors(parts, rolling)
+                digests = np.empty(len(row), np.uint64)
+                for k, (i, p) in enumerate(zip(row.tolist(), pos.tolist())):
+                    start, end = _bounds(p, len(parts[i]))
+                    digests[k] = xxhash.xxh3_64_intdigest(parts[i][start:end], p - start)
                 rows = pa.array(row + first)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(rows), b.column("th").take(rows), pa.array(pos.astype(np.int32)), pa.array(h)],
-                    ["id", "th", "pos", "h"],
-                )
-
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, th int, pos int, h bigint")
-
+                    [b.column("id").take(rows), b.column("th").take(rows), pa.array(pos.astype(np.int32)), pa.array(h),
+                     pa.array(digests.view(np.int64))],
+                    ["id", "th", "pos", "h", "digest"],
+                )
 
-def _bounds(pos: int, n: int) -> tuple[int, int]:
-    """The bytes of the window of an anchor, within its text."""
-    return max(0, pos - STRINGS + 1), min(n, pos + LENGTH)
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, th int, pos int, h bigint, digest bigint"
+    return docs.mapInArrow(run, schema)
 
 
-def _windows(joined: DataFrame, with_text: bool) -> DataFrame:
-    """A row per anchor in ``found`` of each text: ``id``, ``th``, ``pos``, ``h`` and its window's digest, or the window."""
-    schema = f"id {joined.schema['id'].dataType.simpleString()}, th int, pos int, h bigint, digest bigint"
+def _windows(texts: DataFrame) -> DataFrame:
+    """The windows that stand for the classes to compare: those of ``found`` with a number of ``parts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "raw", 1 << 22):
-            rows, pos, h, digests, texts, before, several, parts = [], [], [], [], [], [], [], []
-            for i, (x, found) in enumerate(zip(b.column("raw"), b.column("found").to_pylist())):
+            rows = []
+            for x, found in zip(b.column("raw"), b.column("found").to_pylist()):
                 raw = x.as_py()
                 for a in found:
-                    p = a["pos"]
-                    start, end = _bounds(p, len(raw))
-                    rows.append(i)
-                    pos.append(p)
-                    h.append(a["h"])
-                    if with_text:
-                        digests.append(a["digest"])
-                        several.append(a["several"])
-                        parts.append(a["parts"])
-                        before.append(p - start)
-                        texts.append(raw[start:end])
-                    else:
-                        digests.append(xxhash.xxh3_64_intdigest(raw[start:end], p - start))
-            if with_text:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h, pa.int64()), pa.array(digests, pa.int64()), pa.array(parts, pa.int32()),
-                     pa.array(several, pa.bool_()), pa.array(before, pa.int32()), pa.array(texts, pa.binary())],
-                    ["h", "digest", "parts", "several", "before", "window"],
-                )
-            else:
-                rows = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(rows), b.column("th").take(rows), pa.array(pos, pa.int32()), pa.array(h, pa.int64()),
-                     pa.array(np.array(digests, np.uint64).view(np.int64))],
-                    ["id", "th", "pos", "h", "digest"],
-                )
-
-    if with_text:
-        schema = "h bigint, digest bigint, parts int, several boolean, before int, window binary"
-    return joined.mapInArrow(run, schema)
+                    if a["parts"] is not None:
+                        start, end = _bounds(a["pos"], len(raw))
+                        rows.append((a["h"], a["digest"], a["parts"], a["several"], a["pos"] - start, raw[start:end]))
+            if rows:
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    names = ["h", "digest", "parts", "several", "before", "window"]
+    return texts.select("raw", "found").mapInArrow(
+        run, "h bigint, digest bigint, parts int, several boolean, before int, window binary"
+    )
 
 
 def match_columns(symbols: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -213,7 +201,7 @@ def match_columns(symbols: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
 
 
 def _column_matches(windows: DataFrame) -> DataFrame:
-    """Per class: ``h``, ``digest``, ``found`` (bits of its strings that recur in its part), and ``ask`` if its hash is split."""
+    """Per class: ``h``, ``digest``, ``found`` (bits of its strings that recur in its part); if its hash is split, ``window`` and ``cores`` too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["h", "part"], 4 * PART):
@@ -227,28 +215,43 @@ def _column_matches(windows: DataFrame) -> DataFrame:
             found = match_columns(symbols, first, last)
             inside = (first[:, None] <= np.arange(STRINGS)) & (last[:, None] >= np.arange(STRINGS) + LENGTH)
             found |= inside & t.column("several").to_numpy(zero_copy_only=False)[:, None]
-            ask: list = [()] * len(texts)  # the strings of split hashes meet those of the other parts by hash
-            for i in np.flatnonzero(t.column("parts").to_numpy() > 1):
-                ask[i] = [
-                    {"string": c, "hash": xxhash.xxh3_64_intdigest(symbols[i, c : c + LENGTH].tobytes()) - (1 << 63)}
-                    for c in np.flatnonzero(inside[i]).tolist()
-                ]
             bits = np.packbits(found, axis=1)
-            item = pa.struct([("string", pa.int32()), ("hash", pa.int64())])
+            split = t.column("parts").to_numpy() > 1
+            cores: list = [None] * len(texts)
+            for i in np.flatnonzero(split):
+                last_string = min(STRINGS, int(last[i]) - LENGTH + 1)
+                cores[i] = [
+                    {"step": k, "core": xxhash.xxh3_64_intdigest(symbols[i, c + STEP - 1 : c + LENGTH].tobytes(), k) - (1 << 63),
+                     "open": bool((inside[i, c : c + STEP] & ~found[i, c : c + STEP]).any())}
+                    for k, c in enumerate(range(0, STRINGS, STEP))
+                    if inside[i, c : c + STEP].any() and first[i] <= c + STEP - 1 and c < last_string
+                ]
+            core = pa.struct([("step", pa.int32()), ("core", pa.int64()), ("open", pa.bool_())])
             yield pa.RecordBatch.from_arrays(
                 [t.column("h").combine_chunks(), t.column("digest").combine_chunks(),
-                 pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(ask, pa.list_(item))],
-                ["h", "digest", "found", "ask"],
+                 pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(before, pa.int32()),
+                 pa.array([x if y else None for x, y in zip(texts, split)], pa.binary()), pa.array(cores, pa.list_(core))],
+                ["h", "digest", "found", "before", "window", "cores"],
             )
 
-    schema = "h bigint, digest bigint, found binary, ask array<struct<string: int, hash: bigint>>"
-    return windows.mapInArrow(run, schema)
+    return windows.mapInArrow(
+        run,
+        "h bigint, digest bigint, found binary, before int, window binary, cores array<struct<step: int, core: bigint, open: boolean>>",
+    )
+
 
+def _members(docs: DataFrame) -> DataFrame:
+    """``id``, ``th`` and ``found`` of the texts with anchors whose hash recurs.
 
-def _matches(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """``h``, ``digest``, ``found``, ``more`` for the classes that have to be compared; in all others every string recurs."""
+    ``found`` lists (pos, h, digest, several, parts) per anchor: ``h`` and
+    ``digest`` are null if all strings of the window recur, and ``parts`` is
+    null unless this window stands for its class in the comparison.
+    """
+    anchors = find_anchors(docs)
+    twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    members = written(anchors.join(twice, "h").select(*anchors.columns), "anchors")
     classes = members.groupBy("h", "digest").agg(
-        F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("id", "th", "pos"))
+        F.count(F.lit(1)).alias("n"), *(F.first(c).alias(f"first_{c}") for c in ("id", "th", "pos"))
     )
     mixed = (
         classes.groupBy("h")
@@ -256,15 +259,37 @@ def _matches(members: DataFrame, docs: DataFrame) -> DataFrame:
         .where("classes > 1 AND fewest = 1")
         .select("h", F.ceil(F.col("classes") / PART).cast("int").alias("parts"))
     )
-    wanted = classes.join(mixed, "h")
-    wanted = wanted.groupBy("id", "th").agg(
-        F.collect_list(F.struct("pos", "h", "digest", (F.col("n") > 1).alias("several"), "parts")).alias("found")
+    open_classes = classes.join(mixed, "h").withColumnsRenamed({"h": "h2", "digest": "digest2"})
+    stands = F.col("id").eqNullSafe(F.col("first_id")) & F.col("th").eqNullSafe(F.col("first_th"))
+    stands &= F.col("pos").eqNullSafe(F.col("first_pos"))
+    entry = F.struct(
+        "pos",
+        F.col("h2").alias("h"),
+        F.col("digest2").alias("digest"),
+        (F.col("n") > 1).alias("several"),
+        F.when(stands, F.col("parts")).alias("parts"),
+    )
+    joined = members.join(open_classes, (members["h"] == F.col("h2")) & (members["digest"] == F.col("digest2")), "left")
+    return joined.groupBy("id", "th").agg(F.collect_set(entry).alias("found"))
+
+
+def _matches(texts: DataFrame) -> DataFrame:
+    """``h``, ``digest``, ``found``, ``more`` of the classes compared: the strings that recur in their part, and beyond it."""
+    windows = _windows(texts).withColumn("part", F.pmod("digest", "parts")).repartition("h", "part")
+    matches = written(_column_matches(windows.sortWithinPartitions("h", "part", "digest")), "matches")
+    # Strings of split hashes, over all parts. The STEP strings from each step on have a core of bytes in common; only
+    # windows whose core is another one's too, where one of them has a string not found yet, compare these strings.
+    split = matches.where("window IS NOT NULL")
+    cores = split.select("h", "digest", F.explode("cores").alias("c")).select("h", "digest", "c.step", "c.core", "c.open")
+    again = cores.groupBy("h", "step", "core").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any_open"))
+    again = again.where("n > 1 AND any_open").select("h", "step", "core")
+    asking = cores.join(again, ["h", "step", "core"]).select("h", "digest", "step")
+    string = F.explode(F.expr(f"sequence(step * {STEP}, least(step * {STEP} + {STEP}, {STRINGS}) - 1)"))
+    ask = split.select("h", "digest", "before", "window").join(asking, ["h", "digest"]).withColumn("string", string)
+    ask = ask.withColumn("at", F.col("string") - (STRINGS - 1) + F.col("before"))
+    ask = ask.where(f"at >= 0 AND at + {LENGTH} <= length(window)").select(
+        "h", "digest", "string", F.expr(f"xxhash64(substring(window, at + 1, {LENGTH}))").alias("hash")
     )
-    texts = docs.join(wanted, same_document(docs, wanted)).select(docs["id"], docs["th"], "raw", "found")
-    windows = _windows(texts, with_text=True).dropDuplicates(["h", "digest"])
-    windows = windows.withColumn("part", F.pmod("digest", "parts")).repartition("h", "part").sortWithinPartitions("h", "part")
-    matches = _column_matches(windows).repartition("h", "digest")
-    ask = matches.select("h", "digest", F.explode("ask").alias("a")).select("h", "digest", "a.string", "a.hash")
     again = ask.groupBy("h", "string", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     more = ask.join(again, ["h", "string", "hash"]).groupBy("h", "digest").agg(F.collect_set("string").alias("more"))
     return matches.select("h", "digest", "found").join(more, ["h", "digest"], "left")
@@ -281,18 +306,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     their strings recur; an empty table gives an empty result.
 
     Everything moves by equality joins and aggregates that combine map-side
-    or that adaptive execution splits; the text is shuffled once, and only
-    documents with removed bytes are cut.
+    or that adaptive execution splits. The whole text is shuffled once; after
+    that only texts with a recurring anchor are, and those are written to the
+    shared folder.
     """
     docs = keyed(docs, id_col, text_col)
-    found = find_anchors(docs)
-    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    held = found.join(twice, "h").groupBy("id", "th").agg(F.collect_set(F.struct("pos", "h")).alias("found"))
-    texts = docs.join(held, same_document(docs, held)).select(docs["id"], docs["th"], "raw", "found")
-    members = _windows(texts, with_text=False)
-    verdicts = members.join(_matches(members, docs), ["h", "digest"], "left")
-    marks = verdicts.groupBy("id", "th").agg(F.collect_set(F.struct("pos", "found", "more")).alias("marks"))
-    marked = docs.join(marks, same_document(docs, marks)).select(docs["id"], docs["th"], "raw", "marks")
+    members = _members(docs)
+    texts = join_documents(docs, members)
+    texts = written(texts, "repeats")
+    opened = texts.select("id", "th", F.explode("found").alias("a")).where("a.h IS NOT NULL")
+    opened = opened.select("id", "th", "a.pos", "a.h", "a.digest").distinct()
+    marks = opened.join(_matches(texts), ["h", "digest"])
+    marks = marks.groupBy("id", "th").agg(F.collect_set(F.struct("pos", "found", "more")).alias("marks"))
+    marked = join_documents(texts, marks, "left")
     id_type = docs.schema["id"].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
     names = ["id", "th", "n_removed", "spans", "kept", "kept_sha256"]
@@ -300,16 +326,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "raw", 1 << 22):
             rows = []
-            for x, marks in zip(b.column("raw"), b.column("marks").to_pylist()):
+            for x, found, marks in zip(b.column("raw"), b.column("found").to_pylist(), b.column("marks").to_pylist()):
                 raw = x.as_py()
                 edge = np.zeros(len(raw) + 1, np.int32)
-                for a in marks:
-                    start, end = _bounds(a["pos"], len(raw))
-                    if a["found"] is None:
-                        if end - start >= LENGTH:
-                            edge[start] += 1
-                            edge[end] -= 1
-                        continue
+                for start, end in (_bounds(a["pos"], len(raw)) for a in found if a["h"] is None):
+                    if end - start >= LENGTH:
+                        edge[start] += 1
+                        edge[end] -= 1
+                for a in marks or ():
                     strings = np.flatnonzero(np.unpackbits(np.frombuffer(a["found"], np.uint8), count=STRINGS))
                     at = np.union1d(strings, np.array(a["more"] or (), np.int64)) + a["pos"] - STRINGS + 1
                     np.add.at(edge, at, 1)
@@ -328,8 +352,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = f"id {id_type}, th int, n_removed bigint, spans array<struct<start: bigint, length: bigint>>, kept binary, kept_sha256 string"
     cut = marked.mapInArrow(run, schema).where("n_removed > 0").dropDuplicates(["id", "th"])
     whole = docs.select("id", "th", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("sha256"))
-    return whole.join(cut, same_document(whole, cut), "left").select(
-        whole["id"].alias(id_col),
+    return join_documents(whole, cut, "left").select(
+        F.col("id").alias(id_col),
         "n_bytes",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("spans", F.array().cast("array<struct<start: bigint, length: bigint>>")).alias("spans"),
