@@ -1,6 +1,6 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-A 64-bit fingerprint is cut into ``max_bits // 2 + 1`` segments, so that of two
+A 64-bit fingerprint is cut into ``max_bits // 2 + 1`` segments (two at least), so that of two
 fingerprints within ``max_bits`` one segment differs by one bit at most. Every
 segment is indexed once for each of its bits, with that bit as a wildcard; an
 equality join on these variants finds all candidates and a bit count verifies
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
     """(first bit, width) of each segment."""
-    n = max_bits // 2 + 1
+    n = max(2, max_bits // 2 + 1)
     cuts = [round(i * 64 / n) for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
@@ -76,7 +76,7 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     segments = _segments(max_bits)
     seg = lambda col, a, w: f"(shiftrightunsigned({col}, {a}) & {(1 << w) - 1}L)"
     variants = ", ".join(
-        f"{bit}L << 56 | ({seg('fp', a, w)} & {((1 << w) - 1) ^ (1 << (bit - a))}L)" if w <= 56 else f"(fp & ~(1L << {bit}))"
+        f"{bit}L << 56 | ({seg('fp', a, w)} & {((1 << w) - 1) ^ (1 << (bit - a))}L)"
         for a, w in segments
         for bit in range(a, a + w)
     )
