@@ -114,10 +114,10 @@ def area_profit(
 _DROP, _PICK, _PROFIT = 0, 1, 2
 
 
-def _record(win: str, axes, kind: int, value: str) -> str:
+def _record(time: str, axes, kind: int, value: str) -> str:
     e, s = axes
     return (
-        f"named_struct('window', {win}, 'east', {e}, 'south', {s}, "
+        f"named_struct('time', {time}, 'east', {e}, 'south', {s}, "
         f"'kind', {kind}, 'revenue', CAST({value} AS DOUBLE))"
     )
 
@@ -133,19 +133,14 @@ def area_stats(
     """One aggregate for drop-offs, next-window pickups and profit per (window, cell).
 
     Output: ``window, east, south, dropoff_count, pickup_count`` and, with
-    profit, ``n_profit`` (trips behind the median) and ``profit``.
+    profit, ``n_profit`` (trips behind the median) and ``profit``. A trip
+    counts on each side that has a time.
     """
-    t = (
-        in_grid_trips(trips, semantics)
-        # One window() per projection: Spark refuses two in one operator.
-        .withColumn("_dwin", window_end("dropoff_datetime", length))
-        .withColumn("_pwin", window_start("pickup_datetime", length))
-    )
-    drop = _record("_dwin", END_AXES, _DROP, "NULL")
-    pick = _record("_pwin", START_AXES, _PICK, "NULL")
+    drop = _record("dropoff_datetime", END_AXES, _DROP, "NULL")
+    pick = _record("pickup_datetime", START_AXES, _PICK, "NULL")
     recs = f"array({drop}, {pick})"
     if with_profit:
-        prof = _record("_dwin", START_AXES, _PROFIT, "fare_amount + tip_amount")
+        prof = _record("dropoff_datetime", START_AXES, _PROFIT, "fare_amount + tip_amount")
         short = "TRUE" if max_secs is None else f"trip_time_in_secs <= {int(max_secs)}"
         recs = f"CASE WHEN {short} THEN array({drop}, {pick}, {prof}) ELSE {recs} END"
     aggs = [
@@ -159,7 +154,10 @@ def area_stats(
                 "profit"
             ),
         ]
-    return t.selectExpr(f"inline({recs})").groupBy(*_KEY).agg(*aggs)
+    # Each record has its own time, so a trip without a pickup time still counts as a drop-off.
+    records = in_grid_trips(trips, semantics).selectExpr(f"inline({recs})").withColumn("_win", F.window("time", length))
+    window = F.when(F.col("kind") == _PICK, F.col("_win.start")).otherwise(F.col("_win.end"))
+    return records.withColumn("window", window).groupBy(*_KEY).agg(*aggs)
 
 
 def empty_cabs(trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "observed") -> DataFrame:

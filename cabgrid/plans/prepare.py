@@ -8,12 +8,13 @@ position, strips blanks from header names, keeps the 17 canonical columns
 Here both folders are read once each, in parallel; files pair on a key taken
 from the path (a partition column such as ``chunk``, or the digits at the end
 of the file name) instead of listing order, which is arbitrary on a cluster.
-The positional join is a full outer join on (pair key, row position).
+The positional join is a full outer join on (pair key, number of the file
+among those of the key, row position).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cabgrid.sources.files import (
@@ -40,9 +41,21 @@ def file_pair_key(pair_on: str | None) -> Column:
     return F.regexp_extract(F.col("source_file"), r"(\d+)\D*?(?:/part-[^/]*)?$", 1)
 
 
+def with_pair_key(df: DataFrame, pair_on: str | None) -> DataFrame:
+    """Adds ``_pair`` and ``_nth``: files of one key are numbered in the order of their paths.
+
+    So files with the same number in several folders pair one by one, as long
+    as both sides have the same folders.
+    """
+    df = df.withColumn("_pair", file_pair_key(pair_on))
+    nth = F.row_number().over(Window.partitionBy("_pair").orderBy("source_file"))
+    files = df.select("_pair", "source_file").distinct().withColumn("_nth", nth)
+    return df.join(files, ["_pair", "source_file"])
+
+
 def read_positioned(spark: SparkSession, path: str, pair_on: str | None, rows_per_file: int | None) -> DataFrame:
     df = with_file_position(read_csv(spark, path, schema=None, header=True))
-    df = strip_blanks(df).withColumn("_pair", file_pair_key(pair_on))
+    df = with_pair_key(strip_blanks(df), pair_on)
     return limit_per_file(df, rows_per_file) if rows_per_file is not None else df
 
 
@@ -56,7 +69,7 @@ def prepare_trips(
     trip = read_positioned(spark, trip_path, pair_on, rows_per_file)
     fare = read_positioned(spark, fare_path, pair_on, rows_per_file)
     fare_only = [c for c in fare.columns if c not in trip.columns]
-    merged = trip.join(fare.select("_pair", "row_pos", *fare_only), ["_pair", "row_pos"], "full")
+    merged = trip.join(fare.select("_pair", "_nth", "row_pos", *fare_only), ["_pair", "_nth", "row_pos"], "full")
     return cast_to_schema(merged, TRIP_SCHEMA)
 
 
@@ -69,9 +82,9 @@ def read_column_files(spark: SparkSession, root: str, columns: list[str], pair_o
     """
     parts = []
     for c in columns:
-        df = with_file_position(spark.read.text(f"{root}/{c}")).withColumn("_pair", file_pair_key(pair_on))
-        parts.append(df.select("_pair", "row_pos", F.lit(c).alias("_col"), F.col("value").alias("_v")))
+        df = with_pair_key(with_file_position(spark.read.text(f"{root}/{c}")), pair_on)
+        parts.append(df.select("_pair", "_nth", "row_pos", F.lit(c).alias("_col"), F.col("value").alias("_v")))
     stacked = union_all(parts)
     picks = [F.max(F.when(F.col("_col") == c, F.col("_v"))).alias(c) for c in columns]
-    rows = stacked.groupBy("_pair", "row_pos").agg(*picks, F.count(F.lit(1)).alias("_n"))
+    rows = stacked.groupBy("_pair", "_nth", "row_pos").agg(*picks, F.count(F.lit(1)).alias("_n"))
     return rows.where(F.col("_n") == len(columns)).drop("_n")

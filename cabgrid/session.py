@@ -18,13 +18,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The context's checkpoint folder, registering it first when needed.
 
     ``DataFrame.checkpoint`` needs the SparkContext's folder set: a folder
-    given only as a session setting is registered from that setting, and a
-    local temporary folder is used only when none is configured at all.
+    given only as a session setting is registered from that setting. Without
+    any, a local session gets a temporary folder and a cluster an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cabgrid-"))
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            root = tempfile.mkdtemp(prefix="cabgrid-")
+        sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 

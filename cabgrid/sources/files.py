@@ -23,12 +23,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabgrid.session import checkpoint_root
+from cabgrid.session import scratch_path
 from cabgrid.sources.schema import TRIP_SCHEMA
 
-# Most (file, block) rows broadcast to every task: ~130 bytes each, ~26 MB.
-BROADCAST_MAX_BLOCKS = 200_000
-
 
 def read_csv(
     spark: SparkSession,
@@ -75,16 +72,23 @@ def with_file_position(scan: DataFrame, file_col: str = "source_file", pos_col:
     """Adds the source file and the 0-based row position within it.
 
     ``scan`` must be a plain file scan: the metadata columns and the row ids
-    are taken right at the reader, before any shuffle. Runs one job at once:
-    the per-block row counts (a reliable checkpoint, sized before deciding
-    how to join them back).
+    are taken right at the reader, before any shuffle. Part files of a folder
+    that Spark wrote are one file, in the order of their names. The scan is
+    written once to the shared folder, and both the rows and the offsets of
+    their blocks come from there, so they belong together however later jobs
+    split their input. The join with the offsets (a row per input split) is
+    left to adaptive execution.
     """
+    spark = scan.sparkSession
     base = scan.select(
         "*",
-        F.col("_metadata.file_path").alias(file_col),
-        F.col("_metadata.file_block_start").alias("_block"),
+        F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias(file_col),
+        F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")).alias("_block"),
         F.monotonically_increasing_id().alias("_rid"),
     )
+    path = scratch_path(spark, "positions")
+    base.write.parquet(path)
+    base = spark.read.schema(base.schema).parquet(path)
     blocks = base.groupBy(file_col, "_block").agg(
         F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
@@ -92,10 +96,6 @@ def with_file_position(scan: DataFrame, file_col: str = "source_file", pos_col:
     offsets = blocks.select(
         file_col, "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )
-    checkpoint_root(scan.sparkSession)
-    offsets = offsets.checkpoint(eager=True)
-    if offsets.count() <= BROADCAST_MAX_BLOCKS:
-        offsets = F.broadcast(offsets)
     return (
         base.join(offsets, [file_col, "_block"])
         .withColumn(pos_col, F.col("_offset") + F.col("_rid") - F.col("_first"))
