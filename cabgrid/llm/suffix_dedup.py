@@ -201,7 +201,7 @@ def match_columns(symbols: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
 
 
 def _column_matches(windows: DataFrame) -> DataFrame:
-    """Per class: ``h``, ``digest``, ``found`` (bits of its strings that recur in its part); if its hash is split, ``window`` and ``cores`` too."""
+    """Per class: ``h``, ``digest``, ``runs`` (its strings that recur in its part); if its hash is split, ``window`` and ``cores`` too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["h", "part"], 4 * PART):
@@ -215,7 +215,13 @@ def _column_matches(windows: DataFrame) -> DataFrame:
             found = match_columns(symbols, first, last)
             inside = (first[:, None] <= np.arange(STRINGS)) & (last[:, None] >= np.arange(STRINGS) + LENGTH)
             found |= inside & t.column("several").to_numpy(zero_copy_only=False)[:, None]
-            bits = np.packbits(found, axis=1)
+            # runs of strings that recur, as (first, after the last)
+            edges = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+            row, begin = np.nonzero(edges == 1)
+            runs = pa.StructArray.from_arrays(
+                [pa.array(begin.astype(np.int32)), pa.array(np.nonzero(edges == -1)[1].astype(np.int32))], ["first", "after"]
+            )
+            runs = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)), runs)
             split = t.column("parts").to_numpy() > 1
             cores: list = [None] * len(texts)
             for i in np.flatnonzero(split):
@@ -229,14 +235,14 @@ def _column_matches(windows: DataFrame) -> DataFrame:
             core = pa.struct([("step", pa.int32()), ("core", pa.int64()), ("open", pa.bool_())])
             yield pa.RecordBatch.from_arrays(
                 [t.column("h").combine_chunks(), t.column("digest").combine_chunks(),
-                 pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(before, pa.int32()),
+                 runs, pa.array(before, pa.int32()),
                  pa.array([x if y else None for x, y in zip(texts, split)], pa.binary()), pa.array(cores, pa.list_(core))],
-                ["h", "digest", "found", "before", "window", "cores"],
+                ["h", "digest", "runs", "before", "window", "cores"],
             )
 
     return windows.mapInArrow(
         run,
-        "h bigint, digest bigint, found binary, before int, window binary, cores array<struct<step: int, core: bigint, open: boolean>>",
+        "h bigint, digest bigint, runs array<struct<first: int, after: int>>, before int, window binary, cores array<struct<step: int, core: bigint, open: boolean>>",
     )
 
 
@@ -251,7 +257,7 @@ def _members(docs: DataFrame) -> DataFrame:
     twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     members = written(anchors.join(twice, "h").select(*anchors.columns), "anchors")
     classes = members.groupBy("h", "digest").agg(
-        F.count(F.lit(1)).alias("n"), *(F.first(c).alias(f"first_{c}") for c in ("id", "th", "pos"))
+        F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("id", "th", "pos")).alias("stands")
     )
     mixed = (
         classes.groupBy("h")
@@ -260,21 +266,19 @@ def _members(docs: DataFrame) -> DataFrame:
         .select("h", F.ceil(F.col("classes") / PART).cast("int").alias("parts"))
     )
     open_classes = classes.join(mixed, "h").withColumnsRenamed({"h": "h2", "digest": "digest2"})
-    stands = F.col("id").eqNullSafe(F.col("first_id")) & F.col("th").eqNullSafe(F.col("first_th"))
-    stands &= F.col("pos").eqNullSafe(F.col("first_pos"))
     entry = F.struct(
         "pos",
         F.col("h2").alias("h"),
         F.col("digest2").alias("digest"),
         (F.col("n") > 1).alias("several"),
-        F.when(stands, F.col("parts")).alias("parts"),
+        F.when(F.col("stands") == F.xxhash64("id", "th", "pos"), F.col("parts")).alias("parts"),
     )
     joined = members.join(open_classes, (members["h"] == F.col("h2")) & (members["digest"] == F.col("digest2")), "left")
     return joined.groupBy("id", "th").agg(F.collect_set(entry).alias("found"))
 
 
 def _matches(texts: DataFrame) -> DataFrame:
-    """``h``, ``digest``, ``found``, ``more`` of the classes compared: the strings that recur in their part, and beyond it."""
+    """``h``, ``digest`` and ``runs`` of strings that recur, of the classes compared that have any."""
     windows = _windows(texts).withColumn("part", F.pmod("digest", "parts")).repartition("h", "part")
     matches = written(_column_matches(windows.sortWithinPartitions("h", "part", "digest")), "matches")
     # Strings of split hashes, over all parts. The STEP strings from each step on have a core of bytes in common; only
@@ -291,8 +295,17 @@ def _matches(texts: DataFrame) -> DataFrame:
         "h", "digest", "string", F.expr(f"xxhash64(substring(window, at + 1, {LENGTH}))").alias("hash")
     )
     again = ask.groupBy("h", "string", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    more = ask.join(again, ["h", "string", "hash"]).groupBy("h", "digest").agg(F.collect_set("string").alias("more"))
-    return matches.select("h", "digest", "found").join(more, ["h", "digest"], "left")
+    more = ask.join(again, ["h", "string", "hash"])
+    more = more.groupBy("h", "digest").agg(F.collect_set("string").alias("s"))
+    beyond = more.selectExpr(
+        "h",
+        "digest",
+        "zip_with(sort_array(filter(s, x -> NOT array_contains(s, x - 1))), sort_array(filter(s, x -> NOT array_contains(s, x + 1))),"
+        " (a, z) -> struct(a AS first, z + 1 AS after)) AS beyond",
+    )
+    both = matches.select("h", "digest", "runs").join(beyond, ["h", "digest"], "left")
+    runs = F.concat("runs", F.coalesce("beyond", F.array().cast("array<struct<first: int, after: int>>")))
+    return both.select("h", "digest", runs.alias("runs")).where("size(runs) > 0")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -315,10 +328,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = join_documents(docs, members)
     texts = written(texts, "repeats")
     opened = texts.select("id", "th", F.explode("found").alias("a")).where("a.h IS NOT NULL")
-    opened = opened.select("id", "th", "a.pos", "a.h", "a.digest").distinct()
-    marks = opened.join(_matches(texts), ["h", "digest"])
-    marks = marks.groupBy("id", "th").agg(F.collect_set(F.struct("pos", "found", "more")).alias("marks"))
-    marked = join_documents(texts, marks, "left")
+    marks = opened.select("id", "th", "a.pos", "a.h", "a.digest").join(_matches(texts), ["h", "digest"])
+    # the first byte of a run of strings and their number, as one number
+    mark = f"transform(runs, r -> CAST(pos - {STRINGS - 1} + r.first AS bigint) * 256 + r.after - r.first)"
+    marks = marks.groupBy("id", "th").agg(F.array_distinct(F.flatten(F.collect_list(F.expr(mark)))).alias("marks"))
+    every = F.expr("transform(filter(found, x -> x.h IS NULL), x -> x.pos)").alias("every")
+    mixed = F.exists("found", lambda x: x["h"].isNotNull())
+    marked = join_documents(texts.where(mixed).select("id", "th", "raw", every), marks, "left")
+    settled = texts.where(~mixed).select("id", "th", "raw", every, F.lit(None).cast("array<bigint>").alias("marks"))
+    marked = marked.unionByName(settled).withColumn("marks", F.coalesce("marks", F.array().cast("array<bigint>")))
     id_type = docs.schema["id"].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
     names = ["id", "th", "n_removed", "spans", "kept", "kept_sha256"]
@@ -326,18 +344,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "raw", 1 << 22):
             rows = []
-            for x, found, marks in zip(b.column("raw"), b.column("found").to_pylist(), b.column("marks").to_pylist()):
+            for x, every, marks in zip(b.column("raw"), b.column("every"), b.column("marks")):
                 raw = x.as_py()
                 edge = np.zeros(len(raw) + 1, np.int32)
-                for start, end in (_bounds(a["pos"], len(raw)) for a in found if a["h"] is None):
-                    if end - start >= LENGTH:
-                        edge[start] += 1
-                        edge[end] -= 1
-                for a in marks or ():
-                    strings = np.flatnonzero(np.unpackbits(np.frombuffer(a["found"], np.uint8), count=STRINGS))
-                    at = np.union1d(strings, np.array(a["more"] or (), np.int64)) + a["pos"] - STRINGS + 1
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + LENGTH, -1)
+                pos = every.values.to_numpy()
+                start, end = np.maximum(0, pos - STRINGS + 1), np.minimum(len(raw), pos + LENGTH)
+                long = end - start >= LENGTH
+                np.add.at(edge, start[long], 1)
+                np.add.at(edge, end[long], -1)
+                first, n = np.divmod(marks.values.to_numpy(), 256)
+                np.add.at(edge, first, 1)
+                np.add.at(edge, first + n - 1 + LENGTH, -1)
                 gone = np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]])
                 turns = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
                 spans = list(zip(turns[::2], turns[1::2]))
