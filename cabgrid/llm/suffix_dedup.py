@@ -140,6 +140,19 @@ def find_anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def count_anchors(docs: DataFrame) -> DataFrame:
+    """``h`` and ``n``: the hashes of all anchors and how often a slice of the texts has them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling = _Rolling()
+        for b in slices(batches, "raw", 1 << 23):
+            hashes = [anchors(parts, rolling)[2] for _, parts in _grouped(b.column("raw"))]
+            h, n = np.unique(np.concatenate([np.empty(0, np.int64), *hashes]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
+
+    return docs.select("raw").mapInArrow(run, "h bigint, n bigint")
+
+
 def _windows(texts: DataFrame) -> DataFrame:
     """The windows that stand for the classes to compare: those of ``found`` with a number of ``parts``."""
 
@@ -254,7 +267,7 @@ def _members(docs: DataFrame) -> DataFrame:
     null unless this window stands for its class in the comparison.
     """
     anchors = find_anchors(docs)
-    twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    twice = count_anchors(docs).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     members = written(anchors.join(twice, "h").select(*anchors.columns), "anchors")
     classes = members.groupBy("h", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("id", "th", "pos")).alias("stands")
