@@ -112,9 +112,9 @@ def _grouped(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
-def _bounds(pos: int, n: int) -> tuple[int, int]:
-    """The bytes of the window of an anchor, within its text."""
-    return max(0, pos - STRINGS + 1), min(n, pos + LENGTH)
+def _bounds(pos: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the windows of anchors, within their texts."""
+    return np.maximum(0, pos - STRINGS + 1), np.minimum(n, pos + LENGTH)
 
 
 def find_anchors(docs: DataFrame) -> DataFrame:
@@ -125,10 +125,10 @@ def find_anchors(docs: DataFrame) -> DataFrame:
         for b in slices(batches, "raw", 1 << 23):
             for first, parts in _grouped(b.column("raw")):
                 row, pos, h = anchors(parts, rolling)
-                digests = np.empty(len(row), np.uint64)
-                for k, (i, p) in enumerate(zip(row.tolist(), pos.tolist())):
-                    start, end = _bounds(p, len(parts[i]))
-                    digests[k] = xxhash.xxh3_64_intdigest(parts[i][start:end], p - start)
+                start, end = _bounds(pos, np.array([len(p) for p in parts], np.int64)[row])
+                places = zip(row.tolist(), start.tolist(), end.tolist(), (pos - start).tolist())
+                digest = xxhash.xxh3_64_intdigest
+                digests = np.fromiter((digest(parts[i][s:e], before) for i, s, e, before in places), np.uint64, len(row))
                 rows = pa.array(row + first)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").take(rows), b.column("th").take(rows), pa.array(pos.astype(np.int32)), pa.array(h),
@@ -158,16 +158,21 @@ def _windows(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "raw", 1 << 22):
-            rows = []
-            for x, found in zip(b.column("raw"), b.column("found").to_pylist()):
-                raw = x.as_py()
-                for a in found:
-                    if a["parts"] is not None:
-                        start, end = _bounds(a["pos"], len(raw))
-                        rows.append((a["h"], a["digest"], a["parts"], a["several"], a["pos"] - start, raw[start:end]))
-            if rows:
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            found, raws = b.column("found"), b.column("raw")
+            entries = found.flatten()
+            stands = np.flatnonzero(entries.field("parts").is_valid().to_numpy(zero_copy_only=False))
+            if not len(stands):
+                continue
+            entries = entries.take(pa.array(stands))
+            row = np.repeat(np.arange(b.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))[stands]
+            texts = {i: raws[i].as_py() for i in np.unique(row).tolist()}
+            sizes = np.array([len(texts.get(i, b"")) for i in range(b.num_rows)], np.int64)
+            pos = entries.field("pos").to_numpy().astype(np.int64)
+            start, end = _bounds(pos, sizes[row])
+            windows = [texts[i][s:e] for i, s, e in zip(row.tolist(), start.tolist(), end.tolist())]
+            given = [entries.field(c) for c in ("h", "digest", "parts", "several")]
+            before = pa.array((pos - start).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*given, before, pa.array(windows, pa.binary())], names)
 
     names = ["h", "digest", "parts", "several", "before", "window"]
     return texts.select("raw", "found").mapInArrow(
