@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabgrid.operators import areas, cells, frames, profiles, routes
-from cabgrid.operators.profiles import MEAN_DIGITS
 from cabgrid.plans import queries as Q
 from cabgrid.plans.prepare import prepare_trips, read_column_files
 from cabgrid.session import scratch_path
@@ -36,6 +35,8 @@ K = 10
 # files hold fixture.ROWS_PER_FILE rows each.
 FILE_ROW_LIMIT = 2000
 WATERMARK = "30 minutes"
+# Digits kept on means of doubles, here and in the SQL: summation order must not decide ranks.
+MEAN_DIGITS = 9
 
 
 def _trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,11 +197,11 @@ def busiest_times(spark, sf):
 
 
 def cell_daytime_profile(spark, sf):
-    return profiles.cell_daytime_profile(Q.profitable_cells(_trips(spark, sf), K), K)
+    return profiles.cell_daytime_profile(Q.profitable_cells(_trips(spark, sf), K), K, MEAN_DIGITS)
 
 
 def profitable_times(spark, sf):
-    return profiles.profitable_times(Q.profitability_per_window(_trips(spark, sf)))
+    return profiles.profitable_times(Q.profitability_per_window(_trips(spark, sf)), MEAN_DIGITS)
 
 
 # --- files: scans, sinks, preparation ------------------------------------
@@ -297,8 +298,15 @@ def stream_route_counts_complete(spark, sf):
     return sroutes.read_window_output(spark, out)
 
 
+def _end_stream(spark, sf, src) -> None:
+    last = _trips(spark, sf).agg(F.max("dropoff_datetime")).first()[0]
+    if last is not None:
+        sroutes.write_end_marker(spark, f"{src}/chunk=-1", last, WATERMARK)
+
+
 def stream_route_counts_append(spark, sf):
     src, out, ck = _stream_dirs(spark, sf)
+    _end_stream(spark, sf, src)
     counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src), watermark=WATERMARK)
     _run(sroutes.start(counts, "parquet", "append", ck, path=out))
     return sroutes.read_window_output(spark, out)
@@ -306,6 +314,7 @@ def stream_route_counts_append(spark, sf):
 
 def stream_topk_routes(spark, sf):
     src, out, ck = _stream_dirs(spark, sf)
+    _end_stream(spark, sf, src)
     counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src), watermark=WATERMARK)
     _run(sroutes.start(counts, sroutes.topk_batch_writer(out, K), "append", ck))
     return sroutes.read_window_output(spark, out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +24,21 @@ def window_start(ts, length: str, slide: str | None = None) -> Column:
     return F.window(_c(ts), length, slide or length).start
 
 
+def micros(length: str) -> int:
+    """Microseconds of a duration such as ``30 minutes``."""
+    return pd.Timedelta(length).value // 1000
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds of a zone-free timestamp since 1970-01-01 00:00, whatever the session zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(ts))
+
+
+def from_epoch_micros(us) -> Column:
+    """The inverse of ``epoch_micros``."""
+    return F.timestamp_add("MICROSECOND", _c(us), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def time_of_day(ts) -> Column:
     """``HH:mm`` text of a timestamp: the daily profile key.
 

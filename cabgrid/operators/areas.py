@@ -24,12 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabgrid.functions.grid import cell_id, sql
-from cabgrid.functions.timewin import window_end, window_start
+from cabgrid.functions.timewin import epoch_micros, from_epoch_micros, micros, window_end, window_start
 from cabgrid.operators.cells import END_AXES, START_AXES, in_grid_trips
 
 AREA_WINDOW = "15 minutes"
 # How far back the intended empty-taxi rule looks for a taxi's last drop-off.
 EMPTY_HORIZON = "30 minutes"
+# Horizons in a block of time: one task holds the events of one taxi and block.
+BLOCK_HORIZONS = 8
 SHORT_TRIP_SECS = 900
 # Accuracy of percentile_approx; Spark's default.
 MEDIAN_ACCURACY = 10000
@@ -94,6 +96,13 @@ def area_profit(
 
     With ``slide``, windows of ``length`` end every ``slide`` (sliding).
     """
+    return _area_profit(trips, length, max_secs, accuracy, semantics, slide).select("window", _cell(), "profit")
+
+
+def _area_profit(
+    trips: DataFrame, length: str, max_secs: int | None, accuracy: int, semantics: str, slide: str | None
+) -> DataFrame:
+    """``area_profit`` by axes: ``window, east, south, profit``."""
     t = in_grid_trips(trips, semantics)
     if max_secs is not None:
         t = short_trips(t, max_secs)
@@ -107,7 +116,6 @@ def area_profit(
         )
         .groupBy(*_KEY)
         .agg(F.percentile_approx("total_profit", 0.5, accuracy).alias("profit"))
-        .select("window", _cell(), "profit")
     )
 
 
@@ -169,44 +177,57 @@ def empty_cabs(trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "ob
 def empty_taxis(
     trips: DataFrame, length: str = AREA_WINDOW, horizon: str = EMPTY_HORIZON, semantics: str = "intended"
 ) -> DataFrame:
-    """Intended empty-taxi rule (D3): ``window, cell, empty_cabs``.
+    """Intended empty-taxi rule (D3): ``window, cell, empty_cabs``."""
+    return _empty_taxis(trips, length, horizon, semantics).select("window", _cell(), "empty_cabs")
+
+
+def _empty_taxis(trips: DataFrame, length: str, horizon: str, semantics: str) -> DataFrame:
+    """``empty_taxis`` by axes: ``window, east, south, empty_cabs``.
 
     At every window end T (a multiple of ``length``, the evaluation step), a
-    taxi is empty in the
-    cell of its latest drop-off in [T - ``horizon``, T) when it has no pickup
+    taxi is empty in the cell of its latest drop-off in [T - ``horizon``, T) when it has no pickup
     after that drop-off and before T.
 
-    "No later pickup" only needs the taxi's latest pickup in the same window,
-    so drop-offs and pickups become one stream of events (``inline``), each
-    assigned to its sliding windows, and a single partial-combinable
-    aggregate per (window, medallion) keeps the latest drop-off (with its
-    cell) and the latest pickup. No join: a medallion shared by a third of
-    all rows is combined map-side like any hot key.
+    So a drop-off counts from its time until the taxi's next event of either
+    kind, for ``horizon`` at most. The next event comes from one window
+    function per taxi and block of ``BLOCK_HORIZONS`` horizons; an event is
+    also copied to the block before if that one's drop-offs may need it, so at
+    most two copies of an event are shuffled whatever the step, and a
+    medallion shared by a third of all rows is split by time. The interval is
+    expanded straight into an aggregate by (window, cell) that combines
+    map-side.
     """
-    t = in_grid_trips(trips, semantics)
+    h, step = micros(horizon), micros(length)
+    size = BLOCK_HORIZONS * h
     e, s = END_AXES
+    # At equal times pickups come first: only a later one ends a drop-off's interval.
     events = (
         f"array(named_struct('time', dropoff_datetime, 'is_drop', TRUE, 'east', {e}, 'south', {s}), "
         "named_struct('time', pickup_datetime, 'is_drop', FALSE, "
         "'east', CAST(NULL AS BIGINT), 'south', CAST(NULL AS BIGINT)))"
     )
-    per_taxi = (
-        t.selectExpr("medallion", f"inline({events})")
-        .withColumn("window", window_end("time", horizon, length))
-        .groupBy("window", "medallion")
-        .agg(
-            F.max(F.when(F.col("is_drop"), F.struct("time", "east", "south"))).alias("last"),
-            F.max(F.when(~F.col("is_drop"), F.col("time"))).alias("last_pickup"),
-        )
-    )
-    idle = per_taxi.where(
-        F.col("last").isNotNull()
-        & (F.col("last_pickup").isNull() | (F.col("last_pickup") <= F.col("last.time")))
+    at, block = F.col("at"), F.floor(F.col("at") / F.lit(size))
+    blocks = F.when(F.pmod(at, F.lit(size)) < h, F.array(block, block - 1)).otherwise(F.array(block))
+    order = Window.partitionBy("medallion", "block").orderBy("at", "is_drop", "east", "south")
+    timed = (
+        in_grid_trips(trips, semantics)
+        .selectExpr("medallion", f"inline({events})")
+        .where("time IS NOT NULL")
+        .select("medallion", epoch_micros("time").alias("at"), "is_drop", "east", "south")
+        .withColumn("block", F.explode(blocks))
+        .withColumn("next", F.lead("at").over(order))
+        .where(F.col("is_drop") & (F.col("block") == block))
     )
+    # Window ends in (at, last], at multiples of the step plus what the horizon has over.
+    last = F.least(at + h, F.coalesce("next", at + h))
+    down = lambda x: x - F.pmod(x - h % step, F.lit(step))
+    first, last = down(at) + step, down(last)
+    ends = F.when(first <= last, F.sequence(first, last, F.lit(step)))
     return (
-        idle.groupBy("window", F.col("last.east").alias("east"), F.col("last.south").alias("south"))
+        timed.select(F.explode(ends).alias("us"), "east", "south")
+        .select(from_epoch_micros("us").alias("window"), "east", "south")
+        .groupBy(*_KEY)
         .agg(F.count(F.lit(1)).alias("empty_cabs"))
-        .select("window", _cell(), "empty_cabs")
     )
 
 
@@ -227,10 +248,11 @@ def profitability(
     over the last ``length``, empty taxis over the last ``horizon`` (D5).
     """
     if semantics == "intended":
-        empty = empty_taxis(trips, slide or length, horizon, semantics)
-        profit = area_profit(trips, length, max_secs, accuracy, semantics, slide)
-        return empty.join(profit, ["window", "cell"]).select(
-            "window", "cell", (F.col("profit") / F.col("empty_cabs")).alias("profitability")
+        # Both aggregates are partitioned by these keys already: the join shuffles nothing again.
+        empty = _empty_taxis(trips, slide or length, horizon, semantics)
+        profit = _area_profit(trips, length, max_secs, accuracy, semantics, slide)
+        return empty.join(profit, _KEY).select(
+            "window", _cell(), (F.col("profit") / F.col("empty_cabs")).alias("profitability")
         )
     if slide is not None:
         raise ValueError("observed empty cabs pair each window with the next one; slide needs semantics='intended'")

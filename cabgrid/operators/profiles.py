@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from cabgrid.functions.timewin import time_of_day
 
-# Digits kept on means of doubles: summation order must not decide ranks.
-MEAN_DIGITS = 9
+
+def _mean(value: str, digits: int | None):
+    return F.avg(value) if digits is None else F.round(F.avg(value), digits)
 
 
 def _local_rank(df: DataFrame, key: str, value: str, item: str, k: int | None) -> DataFrame:
@@ -42,17 +43,21 @@ def busiest_times(totals: DataFrame) -> DataFrame:
     return prof.orderBy("endtime")
 
 
-def cell_daytime_profile(ranked_cells: DataFrame, k: int | None = 10, digits: int = MEAN_DIGITS) -> DataFrame:
-    """``time, cell, avg_profitability, local_rank`` from ranked cells."""
+def cell_daytime_profile(ranked_cells: DataFrame, k: int | None = 10, digits: int | None = None) -> DataFrame:
+    """``time, cell, avg_profitability, local_rank`` from ranked cells.
+
+    With ``digits``, means are rounded before they are ranked, so that the
+    order of summation cannot decide a rank.
+    """
     prof = ranked_cells.groupBy(time_of_day("window").alias("time"), "cell").agg(
-        F.round(F.avg("profitability"), digits).alias("avg_profitability")
+        _mean("profitability", digits).alias("avg_profitability")
     )
     return _local_rank(prof, "time", "avg_profitability", "cell", k)
 
 
-def profitable_times(per_window: DataFrame, digits: int = MEAN_DIGITS) -> DataFrame:
+def profitable_times(per_window: DataFrame, digits: int | None = None) -> DataFrame:
     """``time, avg_profitability``: mean of window means per time of day."""
     prof = per_window.groupBy(time_of_day("window").alias("time")).agg(
-        F.round(F.avg("avg_profitability"), digits).alias("avg_profitability")
+        _mean("avg_profitability", digits).alias("avg_profitability")
     )
     return prof.orderBy("time")

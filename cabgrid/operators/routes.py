@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabgrid.functions.grid import route_of_axes
-from cabgrid.functions.timewin import window_end
+from cabgrid.functions.timewin import micros, window_end
 from cabgrid.operators.cells import AXES, in_grid_trips
 
 ROUTE_WINDOW = "30 minutes"
@@ -30,13 +30,22 @@ ROUTE_WINDOW = "30 minutes"
 def route_counts(
     trips: DataFrame, length: str = ROUTE_WINDOW, slide: str | None = None, semantics: str = "observed"
 ) -> DataFrame:
-    """Trips per (drop-off window, route): ``window_end, route, count``."""
-    t = in_grid_trips(trips, semantics).withColumn("window_end", window_end("dropoff_datetime", length, slide))
-    return (
-        t.groupBy("window_end", *AXES)
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select("window_end", route_of_axes(*AXES).alias("route"), "count")
-    )
+    """Trips per (drop-off window, route): ``window_end, route, count``.
+
+    Sliding windows that are whole numbers of slides add up panes of one
+    slide: a trip is counted once, and only the counts are copied into the
+    windows that hold their pane.
+    """
+    panes = slide is not None and micros(length) % micros(slide) == 0
+    end = window_end("dropoff_datetime", slide if panes else length, slide)
+    t = in_grid_trips(trips, semantics).withColumn("window_end", end)
+    counts = t.groupBy("window_end", *AXES).agg(F.count(F.lit(1)).alias("count"))
+    if panes and length != slide:
+        later = F.timestamp_add("MICROSECOND", F.lit(micros(length) - micros(slide)), "window_end")
+        ends = F.sequence("window_end", later, F.expr(f"INTERVAL {micros(slide)} MICROSECONDS"))
+        counts = counts.withColumn("window_end", F.explode(ends))
+        counts = counts.groupBy("window_end", *AXES).agg(F.sum("count").alias("count"))
+    return counts.select("window_end", route_of_axes(*AXES).alias("route"), "count")
 
 
 def topk_routes(counts: DataFrame, k: int = 10) -> DataFrame:

@@ -317,7 +317,6 @@ ORACLE_SQL = {
 }
 
 
-_CLOSED = """ WHERE window_end <= (SELECT max(dropoff_datetime) FROM ig) - INTERVAL '30 minutes'"""
 # Files of the file-based queries hold trip_id div ROWS_PER_FILE (sources/fixture.py).
 _CHUNK = f"(trip_id // {ROWS_PER_FILE})"
 
@@ -342,10 +341,10 @@ ORACLE_SQL.update(
           FROM grid""",
         "union_months": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
         "sorted_trips": _with(TRIPS) + "SELECT * FROM trips ORDER BY dropoff_datetime, trip_id",
-        # streams: complete mode equals batch; append mode equals batch on closed windows
+        # streams equal the batch result; in append mode an end marker closes the last windows
         "stream_route_counts_complete": ORACLE_SQL["route_counts"],
-        "stream_route_counts_append": BASE + """SELECT window_end, route, "count" FROM rc""" + _CLOSED,
-        "stream_topk_routes": BASE[:-1] + "," + TOPK_ROUTES.format(k=10) + "\nSELECT * FROM topk" + _CLOSED,
+        "stream_route_counts_append": ORACLE_SQL["route_counts"],
+        "stream_topk_routes": ORACLE_SQL["topk_routes"],
         "stream_cell_pairs": _GRID_ALL
         + f"""SELECT dropoff_datetime, {_axis('se')} AS pickup_east, {_axis('ss')} AS pickup_south,
             {_axis('ee')} AS dropoff_east, {_axis('es')} AS dropoff_south FROM grid""",

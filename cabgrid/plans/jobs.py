@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cabgrid.operators import areas, routes
+from cabgrid.operators import areas, profiles, routes
 from cabgrid.plans.prepare import prepare_trips
 from cabgrid.session import checkpoint_root
 from cabgrid.sources.files import read_trips, write_csv, write_trips_parquet
@@ -76,6 +76,22 @@ def profitable_areas_job(
     return outputs
 
 
+def daytime_profile_job(
+    spark: SparkSession,
+    trips_path: str,
+    out_dir: str,
+    k: int = 10,
+    length: str = routes.ROUTE_WINDOW,
+    semantics: str = "observed",
+    input_format: str = "csv",
+) -> str:
+    """Q3: ``endtime, route, avg_count, local_rank`` per time of day, as sorted CSV."""
+    counts = routes.route_counts(read_trips(spark, trips_path, input_format), length, semantics=semantics)
+    profile = profiles.route_daytime_profile(routes.topk_routes(counts, k), k)
+    write_csv(profile, out_dir, order_by=["endtime", "local_rank"])
+    return out_dir
+
+
 def prepare_job(
     spark: SparkSession,
     trip_path: str,
@@ -103,11 +119,19 @@ def stream_routes_job(
     out_dir: str,
     checkpoint: str,
     k: int = 10,
-    watermark: str = "30 minutes",
+    watermark: str | None = "30 minutes",
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
+    length: str = routes.ROUTE_WINDOW,
 ) -> StreamingQuery:
-    """Q5: top ``k`` routes of every closed window of a trip file stream, as Parquet."""
+    """Q5: top ``k`` routes of every closed window of a trip file stream, as Parquet.
+
+    Without a watermark no row is late: every batch replaces the ranking of
+    all windows so far, and the state grows with the stream.
+    """
     stream = sroutes.read_trip_stream(spark, in_dir, max_files_per_trigger=max_files_per_trigger)
-    counts = sroutes.stream_route_counts(stream, watermark=watermark)
+    counts = sroutes.stream_route_counts(stream, length, watermark=watermark)
+    if watermark is None:
+        writer = sroutes.complete_topk_writer(out_dir, k)
+        return sroutes.start(counts, writer, "complete", checkpoint, trigger=trigger)
     return sroutes.start(counts, sroutes.topk_batch_writer(out_dir, k), "append", checkpoint, trigger=trigger)

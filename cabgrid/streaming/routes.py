@@ -14,6 +14,8 @@
   batches periodically (read them, rewrite by window date) or trigger less
   often; each window appears in exactly one batch, so compaction is a plain
   union.
+* In append mode the last windows stay open until later rows arrive.
+  ``write_end_marker`` closes them at the end of a finite input.
 * Sinks and checkpoints live under the shared checkpoint folder, so a
   restarted query resumes after a lost driver or executor.
 
@@ -24,14 +26,15 @@ convert window ends back to UTC wall-clock ``TIMESTAMP_NTZ``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cabgrid.functions.grid import route_of_axes
-from cabgrid.functions.timewin import utc_wallclock
+from cabgrid.functions.grid import DLAT, DLON, LAT0, LON0, route_of_axes
+from cabgrid.functions.timewin import micros, utc_wallclock
 from cabgrid.operators.cells import AXES, in_grid_trips
 from cabgrid.operators.routes import ROUTE_WINDOW, topk_routes
 from cabgrid.sources.schema import STREAM_TRIP_SCHEMA
@@ -115,6 +118,42 @@ def topk_batch_writer(path: str, k: int = 10) -> Callable[[DataFrame, int], None
     return write
 
 
+def complete_topk_writer(path: str, k: int = 10) -> Callable[[DataFrame, int], None]:
+    """Top ``k`` routes of all windows so far: complete-mode batches replace the ranking."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        topk_routes(batch, k).write.mode("overwrite").parquet(path)
+
+    return write
+
+
+def write_end_marker(
+    spark: SparkSession, folder: str, last: datetime, watermark: str, length: str = ROUTE_WINDOW
+) -> None:
+    """Adds a file to a stream's input that closes all windows up to ``last``, the latest drop-off (UTC).
+
+    Its only row is a trip so much later that the watermark passes those
+    windows. The row's own window stays open, so append mode never emits it.
+    Only for the end of an input: rows that come after it are late.
+    """
+    at = last + timedelta(microseconds=micros(watermark) + 2 * micros(length))
+    lon, lat = repr(LON0 + DLON / 2), repr(LAT0 - DLAT / 2)
+    given = {
+        "dropoff_datetime": at.isoformat(timespec="seconds") + "Z",
+        "pickup_longitude": lon,
+        "pickup_latitude": lat,
+        "dropoff_longitude": lon,
+        "dropoff_latitude": lat,
+    }
+    row = [F.lit(given.get(f.name)).cast("string").alias(f.name) for f in STREAM_TRIP_SCHEMA.fields]
+    spark.range(1).select(*row).coalesce(1).write.mode("append").csv(folder)
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Late (window, route) groups that the watermark dropped, in the batches the query still reports."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
 def read_window_output(spark: SparkSession, path: str, time_cols=("window_end",)) -> DataFrame:
     """A sink's table with window ends as UTC wall-clock ``TIMESTAMP_NTZ``."""
     df = spark.read.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cabgrid.functions.timewin import utc_text
 from cabgrid.operators import routes
 from cabgrid.operators.cells import in_grid_trips
+from cabgrid.plans import jobs
 from cabgrid.session import scratch_path
 from cabgrid.sources.schema import TRIP_COLUMNS
 from cabgrid.streaming import routes as S
@@ -126,3 +127,26 @@ def test_restart_from_checkpoint_resumes_without_duplicates(spark, trips_small):
     assert got.groupBy("window_end", "route").count().where("count > 1").count() == 0
     want = _closed_batch(trips_small)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_end_marker_closes_all_windows_over_several_batches(spark, trips_small):
+    src, out = scratch_path(spark, "ended"), scratch_path(spark, "ended-out")
+    _write_chunks(trips_small, src, [0, 1, 2])
+    S.write_end_marker(spark, src, trips_small.agg(F.max("dropoff_datetime")).first()[0], "30 minutes")
+    got, dropped = _run_append(spark, src)
+    want = routes.route_counts(trips_small)
+    assert dropped == 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    q = jobs.stream_routes_job(spark, src, out, scratch_path(spark, "ck"), 10, "30 minutes", 1)
+    q.awaitTermination()
+    got, want = S.read_window_output(spark, out), routes.topk_routes(want)
+    got = got.select(want.columns)
+    assert S.dropped_rows(q) == 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_job_without_watermark_keeps_late_rows(spark, trips_small):
+    src, out = scratch_path(spark, "no-watermark"), scratch_path(spark, "no-watermark-out")
+    _write_chunks(trips_small, src, [2, 0, 1])
+    jobs.stream_routes_job(spark, src, out, scratch_path(spark, "ck"), 10, None, 1).awaitTermination()
+    want = routes.topk_routes(routes.route_counts(trips_small))
+    got = S.read_window_output(spark, out).select(want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
