@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--k", type=int, default=10)
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--interval", help="processing-time trigger; default: all available files, then stop")
-    s.add_argument("--no-watermark", dest="watermark", action="store_const", const=None)
+    s.add_argument("--no-watermark", dest="watermark", action="store_const", const=None, default="30 minutes")
     e = sub.add_parser("stream-end")
     e.add_argument("in_dir")
     e.add_argument("last", type=datetime.fromisoformat, help="latest drop-off of the input, UTC")

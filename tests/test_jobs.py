@@ -109,3 +109,28 @@ def test_prepare_job_via_cli_to_parquet_store_and_csv(spark, trips_small):
         with open(os.path.join(local, part)) as fh:
             times += [line.split(",")[3] for line in fh if line.strip()]
     assert len(times) == back.count() and times == sorted(times)
+
+
+def test_stream_and_profile_via_cli(spark, trips_small, monkeypatch):
+    from cabgrid.sources import fixture
+    from cabgrid.streaming import routes as sroutes
+
+    src, out = scratch_path(spark, "cli-stream-in"), scratch_path(spark, "cli-stream-out")
+    fixture.write_stream_files(trips_small, src)
+    last = trips_small.agg(F.max("dropoff_datetime")).first()[0]
+    main(["stream-end", f"{src}/chunk=-1", last.isoformat()])
+    main(["stream-routes", src, out, scratch_path(spark, "cli-stream-ck")])
+    want = Q.frequent_routes(trips_small)
+    assert _same(sroutes.read_window_output(spark, out).select(want.columns), want)
+    profile = scratch_path(spark, "cli-profile")
+    main(["daytime-profile", _trip_files(spark, trips_small), profile])
+    schema = T._parse_datatype_string("endtime string, route string, avg_count double, local_rank int")
+    assert _same(read_csv(spark, profile, schema), Q.daytime_profile(trips_small))
+    seen = []
+    monkeypatch.setattr(jobs, "stream_routes_job", lambda *a: seen.append(a[5]) or sroutes.start)
+    for flag in ([], ["--no-watermark"], ["--watermark", "2 hours"]):
+        try:
+            main(["stream-routes", src, out, "ck", *flag])
+        except AttributeError:  # the stand-in is no query
+            pass
+    assert seen == ["30 minutes", None, "2 hours"]
