@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from cabgrid.llm.common import checkpointed, raw_text, slices, text_hash
 
@@ -60,6 +61,11 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
+def line_hash(words: list[bytes]) -> int:
+    """A normalised line's hash, from its words in ASCII lower case."""
+    return _signed(xxhash.xxh3_64_intdigest(b" ".join(words)))
+
+
 def describe(raw: bytes) -> tuple:
     """The statistics of one text, its digest, and (hash, words) of each distinct normalised line."""
     words = raw.split()
@@ -67,7 +73,7 @@ def describe(raw: bytes) -> tuple:
     per_line: dict[int, int] = {}
     for x in lines:
         parts = x.lower().split()
-        key = _signed(xxhash.xxh3_64_intdigest(b" ".join(parts)))
+        key = line_hash(parts)
         per_line[key] = per_line.get(key, 0) + len(parts)
     return (
         len(words),
@@ -97,6 +103,10 @@ def described(docs: DataFrame, id_col: str, text_col: str, host: Column) -> Data
     )
 
 
+def _host(host_col: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit(""))
+
+
 def quality(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -106,14 +116,15 @@ def quality(
     max_share: float = 0.1,
     min_left: float = 0.3,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``text_hash``, statistics, ``n_common_words``, ``base_failed`` and ``kept``.
+    """One row per row of ``docs``: id, ``text_hash``, ``host``, statistics, ``n_common_words``, ``common_lines``, ``base_failed``, ``kept``.
 
     A normalised line (ASCII lower case, single spaces) is common on a host if
     over ``min_documents`` distinct documents of the host and over
     ``max_share`` of them have it; exact copies count as one document, so that
-    copying does not make content look like page furniture. Common lines are
-    removed, and a document is rejected if fewer than ten words, or less than
-    ``min_left`` of its words, are left. Base rules reject texts under ten
+    copying does not make content look like page furniture. A document is
+    rejected if fewer than ten words, or less than ``min_left`` of its words,
+    are left without its common lines; ``common_lines`` has their hashes (null:
+    none), by which ``without_common_lines`` removes them. Base rules reject texts under ten
     words and those with over 20 % of their words in repeated 5-word windows.
 
     Null and empty texts have no words and fail; documents without a host form
@@ -121,8 +132,7 @@ def quality(
     two steps that combine map-side: per host, text and line, then per host
     and line; no step gathers the documents of a line.
     """
-    host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit(""))
-    rows = checkpointed(described(docs, id_col, text_col, host))
+    rows = checkpointed(described(docs, id_col, text_col, _host(host_col)))
     texts = rows.select("host", "digest", F.explode("lines").alias("l")).select("host", "digest", "l.line", "l.words")
     texts = texts.groupBy("host", "digest", "line").agg(F.max("words").alias("words"))
     size = rows.select("host", "digest").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
@@ -134,7 +144,11 @@ def quality(
         .where(F.col("documents") > max_share * F.col("host_documents"))
         .select("host", "line")
     )
-    removed = texts.join(common, ["host", "line"]).groupBy("host", "digest").agg(F.sum("words").alias("n_common_words"))
+    removed = (
+        texts.join(common, ["host", "line"])
+        .groupBy("host", "digest")
+        .agg(F.sum("words").alias("n_common_words"), F.collect_list("line").alias("common_lines"))
+    )
     left = F.col("n_words") - F.col("n_common_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (
@@ -143,9 +157,39 @@ def quality(
         .select(
             F.col("id").alias(id_col),
             F.col("th").alias("text_hash"),
+            "host",
             *_STATS,
             "n_common_words",
+            "common_lines",
             failed.alias("base_failed"),
             (~failed & (left >= MIN_WORDS) & (left >= min_left * F.col("n_words"))).alias("kept"),
         )
     )
+
+
+def _cut(raw: pa.Array, lines: pa.Array) -> pa.Array:
+    """Texts without the lines of these hashes; null where there are none."""
+    out = []
+    for x, gone in zip(raw, lines):
+        gone = set(gone.as_py() or ())
+        left = (y for y in x.as_py().split(b"\n") if line_hash(y.lower().split()) not in gone) if gone else ()
+        out.append(b"\n".join(left) if gone else None)
+    return pa.array(out, pa.binary())
+
+
+def without_common_lines(
+    docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source"
+) -> DataFrame:
+    """Rows of ``docs`` whose document is in ``found`` (rows of ``quality``), with ``cut``: the text less its common lines.
+
+    ``cut`` is null if the document has no common line. A line goes with one
+    line end; all else, blank lines too, stays as it is.
+    """
+    names = ["quality_id", "quality_hash", "quality_host"]
+    found = found.select(
+        F.col(id_col).alias(names[0]), F.col("text_hash").alias(names[1]), F.col("host").alias(names[2]), F.col("common_lines").alias("quality_lines")
+    ).dropDuplicates(names)
+    rows = docs.withColumns({"own_hash": text_hash(text_col), "own_host": _host(host_col)})
+    same = F.col(id_col).eqNullSafe(F.col(names[0])) & (F.col("own_hash") == F.col(names[1])) & (F.col("own_host") == F.col(names[2]))
+    cut = F.arrow_udf(_cut, BinaryType())(raw_text(text_col), "quality_lines")
+    return rows.join(found, same).select(*docs.columns, cut.cast("string").alias("cut"))

@@ -44,7 +44,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents")).drop("text_hash")
+    return quality.quality(table(spark, sf_dir, "documents")).drop("text_hash", "host", "common_lines")
 
 
 def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

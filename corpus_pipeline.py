@@ -31,8 +31,11 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return _only(docs, quality.quality(docs).where("kept")).select(COLUMNS)
+    """Documents that the quality rules keep, without the lines that are common on their host."""
+    left = quality.without_common_lines(docs.select(COLUMNS), quality.quality(docs).where("kept"))
+    return left.withColumns(
+        {"n_chars": F.coalesce(F.length("cut").cast("long"), F.col("n_chars")), "text": F.coalesce("cut", "text")}
+    ).select(COLUMNS)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,6 +160,31 @@ def test_quality_rules(docs, empty, spark):
     assert kept[5]["n_common_words"] == 11
 
 
+def test_pipeline_cuts_common_lines(spark):
+    """Whole rows of the quality stage against a plain version of the rule."""
+    menu, rows = "home about contact  login\timprint privacy terms cookies jobs press help", []
+    for i in range(60):
+        host, line = ("h", "g", None)[i % 3], (menu, menu.upper())[i % 2]
+        rows.append((i, f"{prose(30, 300 + i)}\n\n{line}\n{prose(30, 400 + i)}\n" if i % 10 else menu, "en", host, 7))
+    rows += [(100 + i, f" {menu}\r\n{prose(40, 500 + i)}", "en", "h", 7) for i in range(25)]
+    rows += [(None, f"{menu}\n{prose(20, 600)}", "en", "h", 7), (None, prose(20, 601), "en", None, 7), (3, prose(20, 602), "en", "h", 7)]
+    # the same id and text on two hosts: the line is common on one of them
+    rows += [(200, f"{menu}\n{prose(20, 603)}", "en", host, 7) for host in ("h", "g")] + [rows[-1]]
+    texts, want = {(r[3], r[1]) for r in rows}, []
+    norm = lambda line: line.encode().lower().split()
+    seen = collections.Counter((h, line) for h, t in texts for line in {tuple(norm(x)) for x in t.split("\n")} if line)
+    size = collections.Counter(h for h, _ in texts)
+    for i, t, lang, h, n in rows:
+        common = lambda x: 20 < seen[h, tuple(norm(x))] > 0.1 * size[h]  # noqa: B023, E731
+        left = "\n".join(x for x in t.split("\n") if not common(x))
+        if len(left.split()) >= max(10, 0.3 * len(t.split())):
+            want.append((i, left, lang, h, n if left == t else len(left)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.keep_quality(spark, table, SF_SMALL).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+    assert 35 < sum(r["n_chars"] != 7 for r in got) < len(got) < len(rows)
+
+
 def test_near_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((12, 20))
