@@ -113,14 +113,15 @@ def quality(
     text_col: str = "text",
     host_col: str = "source",
     min_documents: int = 20,
-    max_share: float = 0.1,
+    max_share: float = 0.0,
     min_left: float = 0.3,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``text_hash``, ``host``, statistics, ``n_common_words``, ``common_lines``, ``base_failed``, ``kept``.
 
     A normalised line (ASCII lower case, single spaces) is common on a host if
-    over ``min_documents`` distinct documents of the host and over
-    ``max_share`` of them have it; exact copies count as one document, so that
+    over ``min_documents`` distinct documents of the host have it, however many
+    documents the host has (a ``max_share`` above 0 asks for over that share of
+    them as well, which spares more lines the larger the host); exact copies count as one document, so that
     copying does not make content look like page furniture. A document is
     rejected if fewer than ten words, or less than ``min_left`` of its words,
     are left without its common lines; ``common_lines`` has their hashes (null:

@@ -44,7 +44,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents")).drop("text_hash", "host", "common_lines")
+    """Statistics and verdicts by the rule of its SQL: a common line is in over 10 % of its host's texts as well."""
+    return quality.quality(table(spark, sf_dir, "documents"), max_share=0.1).drop("text_hash", "host", "common_lines")
 
 
 def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

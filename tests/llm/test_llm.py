@@ -173,9 +173,8 @@ def test_pipeline_cuts_common_lines(spark):
     texts, want = {(r[3], r[1]) for r in rows}, []
     norm = lambda line: line.encode().lower().split()
     seen = collections.Counter((h, line) for h, t in texts for line in {tuple(norm(x)) for x in t.split("\n")} if line)
-    size = collections.Counter(h for h, _ in texts)
     for i, t, lang, h, n in rows:
-        common = lambda x: 20 < seen[h, tuple(norm(x))] > 0.1 * size[h]  # noqa: B023, E731
+        common = lambda x: 20 < seen[h, tuple(norm(x))]  # noqa: B023, E731
         left = "\n".join(x for x in t.split("\n") if not common(x))
         if len(left.split()) >= max(10, 0.3 * len(t.split())):
             want.append((i, left, lang, h, n if left == t else len(left)))
@@ -185,6 +184,19 @@ def test_pipeline_cuts_common_lines(spark):
     assert 35 < sum(r["n_chars"] != 7 for r in got) < len(got) < len(rows)
 
 
+def test_pipeline_cuts_lines_of_large_hosts(spark):
+    """A line in 25 documents is common on a host of 25 and on one of 1000; in 20 documents it is not."""
+    line, rare, rows = "read more about this and all our other news here", "a line of few documents only", []
+    for host, n in (("small", 25), ("large", 1000)):
+        for i in range(n):
+            top = [*([line] if i < 25 else []), *([rare] if i < 20 else [])]
+            rows.append((len(rows), "\n".join([*top, prose(30, 2000 + len(rows))]), "en", host, 7))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"].split("\n") for r in corpus_pipeline.keep_quality(spark, table, SF_SMALL).collect()}
+    assert len(got) == len(rows) and not any(line in x for x in got.values())
+    assert sum(rare in x for x in got.values()) == 40
+
+
 def test_near_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((12, 20))
