@@ -10,6 +10,7 @@ from each other.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -56,14 +57,17 @@ class Tokens:
     The tokenizer cuts text at changes between letters, digits, other signs
     and white space (a space goes with what follows) before it merges bytes.
     Plain texts are cut so in numpy, and each distinct word is encoded once;
-    all other texts are encoded whole.
+    all other texts, and those that hold the content of an added token of the
+    file, are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.not_plain = "|".join([_NOT_PLAIN, *added])
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.known: dict[bytes, bytes] = {}
         self.kinds = _byte_classes()
@@ -76,7 +80,7 @@ class Tokens:
         return array("I", [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.letters))]).tobytes()
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        plain = pc.invert(pc.match_substring_regex(texts, _NOT_PLAIN)).to_numpy(zero_copy_only=False)
+        plain = pc.invert(pc.match_substring_regex(texts, self.not_plain)).to_numpy(zero_copy_only=False)
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
         odd = np.flatnonzero(~plain)
         for i, ids in zip(odd, self._whole([texts[int(i)].as_py() for i in odd])):
@@ -204,6 +208,7 @@ def pack(
     loss_tokens: int | None = None,
     loss: Callable[[str, np.ndarray], np.ndarray] | None = None,
     end_id: int = 0,
+    added_tokens: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -211,7 +216,9 @@ def pack(
 
     A document is the ids of its text by the ``tokenizers`` file ``tokenizer``
     and then ``end_id``; ``ids`` holds a piece's ids as little-endian unsigned
-    32-bit numbers. A sequence has at most ``tokens`` tokens, ``segments``
+    32-bit numbers. With ``added_tokens`` the content of an added token in a
+    text is that token's id, as in the file's own encoding; without it, such
+    content is cut as any other text. A sequence has at most ``tokens`` tokens, ``segments``
     pieces and ``loss_tokens`` (default: ``tokens``) loss-bearing tokens; its
     pieces lie gapless from offset 0. ``loss(text, ids)`` returns a flag for
     each id; without it every token bears loss. Sequences that cannot be
@@ -230,7 +237,7 @@ def pack(
     names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = Tokens(tokenizer), Packer(tokens, segments, limit)
+        encode, packer = Tokens(tokenizer, added_tokens), Packer(tokens, segments, limit)
         base = TaskContext.get().partitionId() << 33
 
         def table(pieces: list[tuple]) -> pa.RecordBatch:

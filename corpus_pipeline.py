@@ -65,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER)).select(
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), added_tokens=True).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 

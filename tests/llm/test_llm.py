@@ -103,6 +103,23 @@ def test_packing_covers_every_id_once(docs, spark):
             assert len(ids) == n and want[tuple(ids)] >= 1
 
 
+def test_packing_gives_added_tokens_their_ids(spark):
+    """The ids of the file's tokenizer as it is, in the query and in the pipeline's stage, for plain and other texts."""
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "it's  so <|endoftext|>\n\né", "a <|endoftext| b", prose(50, 7)]
+    assert tok.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    path = scratch_path(spark, "added-tokens")
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(f"{path}/documents.parquet")
+    for out in (QUERIES["op2_packing"](spark, path), corpus_pipeline.pack_tokens(spark, table, path)):
+        got = out.collect()
+        assert {r["doc_id"] for r in got} == set(range(len(texts)))
+        for r in got:
+            ids = np.array([*tok.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 0], "<u4")
+            assert r["doc_tokens"] == len(ids)
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
+
+
 def test_packer_keeps_every_limit():
     rng = np.random.default_rng(3)
     packer = packing.Packer(64, 4, 20)
