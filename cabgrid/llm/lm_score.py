@@ -2,9 +2,10 @@
 
 Every word is predicted from the words on both sides of it; a document's score
 is the sum of the conditional log-probabilities of all its words. The
-vocabulary comes from the word counts of all documents: the most frequent
-words have ids of their own, all others share hash buckets. The network is
-embeddings of the window, one hidden layer, and a softmax in two steps, class
+vocabulary is every word of all documents with its count: the most frequent
+words have ids of their own in the network, all others share hash buckets, and
+a word of a bucket has its count's share of the bucket's probability. The
+counts stay a table that is joined to the words. The network is embeddings of the window, one hidden layer, and a softmax in two steps, class
 and word of the class. Training is data-parallel: each task trains its copy on
 masked positions of all its documents, and the copies' weighted mean starts the
 next round.
@@ -18,13 +19,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabgrid.llm.common import slices
+from cabgrid.llm.common import checkpointed, slices
 
 #: Weights travel as whole numbers of so much, so that their sums do not depend on their order.
 UNIT = 1 << 24
+#: Occurrences that a word of a bucket counts for if the documents trained on do not have it.
+UNSEEN = 0.5
 
 
 @dataclass(frozen=True)
@@ -34,7 +38,7 @@ class Settings:
     window: int = 3  #: words on each side
     embedding: int = 16
     hidden: int = 32
-    masked: float = 0.06  #: part of the positions of every document that a round trains on
+    masked: float = 0.5  #: part of the positions of every document that a round trains on, each round another while any are left
     rounds: int = 2
     step: float = 0.08
     batch: int = 4096
@@ -94,13 +98,18 @@ class Ids:
         self.sorted = hashes[self.order]
         self.first, self.buckets, self.words = settings.ids - settings.buckets, settings.buckets, Words()
 
-    def of(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of the words of each text."""
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words per text, and the ids and hashes of all of them."""
         counts, h = self.words(texts)
         ids = ((h >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int32) + self.first
         if len(self.sorted):
             at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
             ids = np.where(self.sorted[at] == h, self.order[at], ids).astype(np.int32)
+        return counts, ids, h
+
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of the words of each text."""
+        counts, ids, _ = self.flat(texts)
         return np.split(ids, np.cumsum(counts)[:-1])
 
 
@@ -207,12 +216,18 @@ def _contexts(ids: np.ndarray, at: np.ndarray, settings: Settings) -> np.ndarray
     return padded[at[:, None] + sides]
 
 
+def _drawn(raw: bytes, n: int, number: int, settings: Settings) -> np.ndarray:
+    """The places of a text's ``n`` words that a round trains on."""
+    rng = np.random.Generator(np.random.PCG64(xxhash.xxh3_64_intdigest(raw, settings.seed)))
+    return np.flatnonzero((rng.random(n) - number * settings.masked) % 1 < settings.masked)
+
+
 def _raw(docs: DataFrame, text_col: str):
     return F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("raw")
 
 
-def vocabulary(docs: DataFrame, settings: Settings, text_col: str = "text") -> list[int]:
-    """Hashes of the most frequent words of all documents; as many as have ids of their own reach the driver."""
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word`` (its hash) and ``n`` of every word of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -222,13 +237,22 @@ def vocabulary(docs: DataFrame, settings: Settings, text_col: str = "text") -> l
             h, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    counts = docs.select(_raw(docs, text_col)).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(_raw(docs, text_col)).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, settings: Settings, text_col: str = "text", counts: DataFrame | None = None) -> list[int]:
+    """Hashes of the most frequent words of all documents; as many as have ids of their own reach the driver."""
+    counts = word_counts(docs, text_col) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(settings.ids - settings.buckets)
     return [r["word"] for r in top.collect()]
 
 
 def train(docs: DataFrame, words: list[int], settings: Settings, text_col: str = "text") -> np.ndarray:
-    """Weights after all rounds; a round trains on a seeded part of the positions of every document."""
+    """Weights after all rounds; a round trains on a seeded part of the positions of every document.
+
+    The rounds' parts lie one after the other on a circle of seeded draws, so
+    ``rounds * masked`` = 1 trains once on every position.
+    """
     flat = Network(settings).flat
 
     def trained(flat: np.ndarray, number: int):
@@ -238,8 +262,7 @@ def train(docs: DataFrame, words: list[int], settings: Settings, text_col: str =
             n = done = 0
             for b in slices(batches, "raw", 1 << 17):
                 for x, doc in zip(b.column("raw"), ids.of(b.column("raw"))):
-                    rng = np.random.Generator(np.random.PCG64(xxhash.xxh3_64_intdigest(x.as_buffer(), settings.seed + number)))
-                    at = np.flatnonzero(rng.random(len(doc), np.float32) < settings.masked)
+                    at = _drawn(x.as_buffer(), len(doc), number, settings)
                     held.append((_contexts(doc, at, settings), doc[at]))
                     n += len(at)
                     if n >= settings.batch:
@@ -269,29 +292,98 @@ def train(docs: DataFrame, words: list[int], settings: Settings, text_col: str =
     return flat
 
 
+def _totals(counts: DataFrame, words: list[int], settings: Settings) -> np.ndarray:
+    """Occurrences of the words of each bucket; one number per bucket reaches the driver."""
+    bucket = F.shiftrightunsigned("word", 20) % settings.buckets
+    found = counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect()
+    totals = np.zeros(settings.buckets, np.int64)
+    for r in found:
+        totals[r["bucket"]] = r["n"]
+    for r in counts.where(F.col("word").isin(words)).collect() if words else []:
+        totals[((r["word"] % (1 << 64)) >> 20) % settings.buckets] -= r["n"]
+    return totals
+
+
 def score(
-    docs: DataFrame, words: list[int], flat: np.ndarray, settings: Settings, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    words: list[int],
+    flat: np.ndarray,
+    settings: Settings,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """``doc_id``, ``n_words``, ``log_likelihood``, ``mean_log_likelihood`` (null without words) per row of ``docs``."""
+    """``doc_id``, ``n_words``, ``log_likelihood``, ``mean_log_likelihood`` (null without words) per row of ``docs``.
+
+    With ``counts`` (``word_counts`` of the documents trained on) a word of a
+    bucket has its bucket's probability times its share of the bucket's
+    occurrences; a word that is not in the table counts as half an occurrence,
+    which every bucket has to spare. Each distinct bucket word of a document is
+    a row that meets its count by the word's hash. Without ``counts`` such
+    words have the probability of the whole bucket.
+    """
+    shared = counts is not None
+    totals = np.log(_totals(counts, words, settings) + UNSEEN) if shared else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, ids = Network(settings, flat), Ids(words, settings)
+        row = TaskContext.get().partitionId() << 33
         for b in slices(batches, "raw", 1 << 17):
-            docs = ids.of(b.column("raw"))
-            lengths = np.array([len(d) for d in docs])
+            lengths, found_ids, hashes = ids.flat(b.column("raw"))
+            docs = np.split(found_ids, np.cumsum(lengths)[:-1])
             gap = np.full(settings.window, settings.ids, np.int32)
             found = network.log_probabilities(np.concatenate([v for d in docs for v in (d, gap)]))
-            sums = np.concatenate([[0.0], np.cumsum(found, dtype=np.float64)])
+            at = np.flatnonzero(found_ids >= ids.first) if shared else np.empty(0, np.int64)
+            found = found.astype(np.float64)
+            if shared:
+                found[at] -= totals[found_ids[at] - ids.first]
+            sums = np.concatenate([[0.0], np.cumsum(found)])
             ends = np.cumsum(lengths)
-            total = sums[ends] - sums[ends - lengths]
-            mean = [t / n if n else None for t, n in zip(total.tolist(), lengths.tolist())]
+            n, keys = len(lengths), row + np.arange(len(lengths))
+            row += n
+            # a row per document, under a word of its own that counts no times, and one per bucket word of it
+            owner, h = np.repeat(np.arange(n), lengths)[at], hashes[at]
+            order = np.lexsort((h, owner))
+            owner, h = owner[order], h[order]
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])]))
+            times = np.diff(np.append(first, len(h)))
+            own = keys.astype(np.uint64) * np.uint64(_BASE)
+            nulls = pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(lengths, pa.int64()), pa.array(total), pa.array(mean, pa.float64())],
-                ["id", "n_words", "log_likelihood", "mean_log_likelihood"],
+                [
+                    pa.array(np.concatenate([keys, keys[owner[first]]])),
+                    pa.array(np.concatenate([own, h[first]]).view(np.int64)),
+                    pa.array(np.concatenate([np.zeros(n, np.int64), times])),
+                    pa.concat_arrays([b.column("id"), pa.nulls(len(first), b.column("id").type)]),
+                    pa.concat_arrays([pa.array(lengths, pa.int64()), nulls[0]]),
+                    pa.concat_arrays([pa.array(sums[ends] - sums[ends - lengths]), nulls[1]]),
+                ],
+                ["row", "word", "times", "id", "n_words", "likelihood"],
             )
 
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, n_words bigint, log_likelihood double, mean_log_likelihood double"
-    return docs.select(F.col(id_col).alias("id"), _raw(docs, text_col)).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    schema = f"row bigint, word bigint, times bigint, id {docs.schema[id_col].dataType.simpleString()}, n_words bigint, likelihood double"
+    rows = docs.select(F.col(id_col).alias("id"), _raw(docs, text_col)).mapInArrow(run, schema)
+    total = F.col("likelihood")
+    if shared:
+        part = lambda n: F.round(F.log(n) * UNIT).cast("long")
+        logs = counts.select(F.col("word").alias("seen"), part(F.col("n")).alias("part"))
+        rows = (
+            rows.join(logs, F.col("word") == F.col("seen"), "left")
+            .groupBy("row")
+            .agg(
+                F.max("id").alias("id"),
+                F.max("n_words").alias("n_words"),
+                F.max("likelihood").alias("likelihood"),
+                F.sum(F.col("times") * F.coalesce("part", part(F.lit(UNSEEN)))).alias("parts"),
+            )
+        )
+        total = total + F.col("parts") / UNIT
+    return rows.select(
+        F.col("id").alias(id_col),
+        "n_words",
+        total.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_likelihood"),
+    )
 
 
 def lm_scores(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,9 +392,10 @@ def lm_scores(docs: DataFrame, settings: Settings = Settings(), id_col: str = "d
     Words are runs of characters that are not ASCII white space, A-Z in lower
     case. Null and empty texts have no words, the score 0 and the mean null;
     rows that repeat an id are scored each; an empty table gives an empty
-    result. To score other documents than those trained on, call the three
-    steps. The driver holds the vocabulary and the weights, whose sizes
-    ``Settings`` fixes.
+    result. To score other documents than those trained on, call the steps. The
+    driver holds the words with ids of their own and the weights, whose sizes
+    ``Settings`` fixes; the counts of all words are a table.
     """
-    words = vocabulary(docs, settings, text_col)
-    return score(docs, words, train(docs, words, settings, text_col), settings, id_col, text_col)
+    counts = checkpointed(word_counts(docs, text_col))
+    words = vocabulary(docs, settings, text_col, counts)
+    return score(docs, words, train(docs, words, settings, text_col), settings, id_col, text_col, counts)

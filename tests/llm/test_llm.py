@@ -352,6 +352,46 @@ def test_lm_learns_both_sides(spark, docs, empty):
     assert lm_score.lm_scores(empty, settings).count() == 0
 
 
+def test_lm_scores_every_word_by_its_own_count(spark, docs):
+    settings = lm_score.Settings(classes=4, buckets=3)
+    counts = lm_score.word_counts(docs)
+    words = lm_score.vocabulary(docs, settings, counts=counts)
+    flat = lm_score.train(docs, words, settings)
+    texts = [*(r["text"] for r in docs.select("text").collect()), "the zzzz yyyy of zzzz", prose(30, 9) + " qqqq"]
+    new = spark.createDataFrame([*enumerate(texts), (0, texts[9]), (None, texts[9])], "doc_id long, text string")
+    got = lm_score.score(new, words, flat, settings, counts=counts).collect()
+    # the same in plain Python: the network's log-probability of the id, and the word's share of its bucket
+    hashed = lm_score.Words()
+    seen = collections.Counter(w for _, raw in raws(docs) for w in raw.lower().split())
+    names = {w: int(hashed(pa.array([w], pa.binary()))[1].view(np.int64)[0]) for w in {*seen, *(w for t in texts for w in (t or "").encode().lower().split())}}
+    bucket = {w: (names[w] % 2**64 >> 20) % 3 for w in names if names[w] not in words}
+    total = collections.Counter()
+    for w in bucket:
+        total[bucket[w]] += seen[w]
+    network, want = lm_score.Network(settings, flat), []
+    for i, t in [*enumerate(texts), (0, texts[9]), (None, texts[9])]:
+        line = (t or "").encode().lower().split()
+        ids = np.array([words.index(names[w]) if w not in bucket else 13 + bucket[w] for w in line], np.int32)
+        x = float(network.log_probabilities(ids).sum(dtype=float)) + sum(np.log((seen[w] or 0.5) / (total[bucket[w]] + 0.5)) for w in line if w in bucket)
+        want.append((-1 if i is None else i, len(line), x))
+    got = sorted((-1 if r[0] is None else r[0], r["n_words"], r["log_likelihood"]) for r in got)
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-3 * (1 + a[1])
+    # a seen word costs less than a misspelt one that shares its bucket
+    word = next(w.decode() for w in bucket if seen[w] > 2)
+    shares = lambda w: int(hashed(pa.array([w.encode()], pa.binary()))[1][0]) // 2**20 % 3 == bucket[word.encode()]
+    pair = word, next(w for w in (f"{word}x{k}" for k in range(99)) if shares(w))
+    two = spark.createDataFrame([(i, f"the {w} of") for i, w in enumerate(pair)], "doc_id long, text string")
+    cost = {r["doc_id"]: r["log_likelihood"] for r in lm_score.score(two, words, flat, settings, counts=counts).collect()}
+    assert cost[0] > cost[1] + 1
+
+
+def test_lm_trains_on_every_position():
+    settings = lm_score.Settings()
+    drawn = [lm_score._drawn(b"x y z", 5000, k, settings) for k in range(settings.rounds)]
+    assert sorted(np.concatenate(drawn).tolist()) == list(range(5000)) and min(map(len, drawn)) > 2000
+
+
 def test_pipeline_stages(spark, docs, empty):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
