@@ -78,7 +78,7 @@ STAGES = [
     ("packing", pack_tokens),
 ]
 
-#: SQL has no XXH64, gear hash or tokenizer: the stages are tested against brute force.
+#: SQL has no XXH64, gear hash or tokenizer. Whole rows of the quality stage are tested against a plain version; the others less.
 ORACLE_SQL = None
 
 
