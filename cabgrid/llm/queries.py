@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabgrid.llm import chat, chunk_dedup, embed_dedup, lm_score, mixing, packing, quality, simhash, suffix_dedup, warc
+from cabgrid.llm import (
+    centroids,
+    chat,
+    chunk_dedup,
+    embed_dedup,
+    lexical_search,
+    lm_score,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 from cabgrid.llm.common import table
 from cabgrid.session import scratch_path
 
@@ -100,6 +114,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=1024)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -119,6 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chunk_dedup,
         op9_simhash,
         op10_lm_score,
+        op11_lexical_search,
+        op12_token_counts,
+        op13_centroids,
         pipeline,
     )
 }

@@ -123,4 +123,78 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM placed
 """
 
-ORACLE_SQL = {"op3_warc": _OP3, "op4_quality": _OP4, "op6_chat": _OP6, "op7_mixing": _OP7}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _terms(text: str) -> str:
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{pattern}')"
+
+
+_OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS ts FROM documents
+), total AS (
+  SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d
+), tf AS (
+  SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS t FROM d) GROUP BY ALL
+), df AS (
+  SELECT t, count(*) AS df FROM tf GROUP BY t
+), weight AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM df, total
+), item AS (
+  SELECT i, item_id, unnest(list_distinct(ts)) AS t
+  FROM (SELECT row_number() OVER () AS i, item_id, {_terms('text')} AS ts FROM benchmark)
+), scored AS (
+  SELECT i, item_id, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item JOIN tf USING (t) JOIN weight USING (t), total GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rn FROM scored WHERE score > 0
+)
+SELECT item_id, rn::INTEGER AS rank, doc_id, score FROM ranked WHERE rn <= 10
+"""
+
+
+def _clusters(k: int = 40, rounds: int = 5, size: int = 64) -> str:
+    """Each round as two tables: the assignment, and the centroids that it makes."""
+
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT r, c, d FROM (
+    SELECT k.r, c.c, list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM kept k, c{i} c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+
+    def moved(i: int) -> str:
+        return f"""m{i} AS MATERIALIZED (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY p) AS v FROM (
+    SELECT c, p, sum(v[p])::BIGINT AS s, count(*) AS n
+    FROM a{i - 1} JOIN kept USING (r), range(1, {size + 1}) AS d(p) GROUP BY c, p)
+  GROUP BY c),
+c{i} AS MATERIALIZED (SELECT c, coalesce(m.v, o.v) AS v FROM c{i - 1} o LEFT JOIN m{i} m USING (c))"""
+
+    steps = [assigned(0)] + [x for i in range(1, rounds + 1) for x in (moved(i), assigned(i))]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: abs(x::DOUBLE) <= 524288)) = {size}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v
+  FROM kept QUALIFY c < {k}
+), {", ".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(f.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} f USING (c)
+"""
+
+
+ORACLE_SQL = {
+    "op3_warc": _OP3,
+    "op4_quality": _OP4,
+    "op6_chat": _OP6,
+    "op7_mixing": _OP7,
+    "op11_lexical_search": _OP11,
+    "op13_centroids": _clusters(),
+}
