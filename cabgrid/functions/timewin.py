@@ -29,6 +29,12 @@ def micros(length: str) -> int:
     return pd.Timedelta(length).value // 1000
 
 
+def pane_windows(pane_end: str, length: str, slide: str) -> Column:
+    """Ends of the windows of ``length`` that hold the pane of one ``slide`` ending at ``pane_end``."""
+    later = F.timestamp_add("MICROSECOND", F.lit(micros(length) - micros(slide)), pane_end)
+    return F.sequence(pane_end, later, F.expr(f"INTERVAL {micros(slide)} MICROSECONDS"))
+
+
 def epoch_micros(ts) -> Column:
     """Microseconds of a zone-free timestamp since 1970-01-01 00:00, whatever the session zone."""
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(ts))

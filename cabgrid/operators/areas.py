@@ -6,16 +6,17 @@ Observed rules of the original, per 15 minute window and cell:
 * pickups: trips whose pickup falls in the *next* window, by start cell
   (the original joins drop-off window end to pickup window start);
 * empty cabs = drop-offs - pickups (missing pickups count 0), kept when > 0;
-* profit = approximate median of fare + tip over trips of at most 900 s
+* profit = median (an element, not interpolated) of fare + tip over trips of at most 900 s
   that ended in the window, by *start* cell;
 * profitability = profit / empty cabs, on cells that have both.
 
 The single-purpose operators (``dropoff_counts``, ``pickup_counts``,
 ``area_profit``) are plain aggregates. ``empty_cabs`` and ``profitability``
 fuse them: each trip emits up to three keyed records (``inline`` of an array
-of structs, one scan), and one aggregate keyed by (window, cell) computes all
-counts and the median together. The two joins of the original disappear, and
-the trip table is scanned once instead of three times.
+of structs, one scan) that are counted by (window, cell, amount); a running
+sum over the amounts of a cell gives its exact median, and the same aggregate
+adds up the other counts. The two joins of the original disappear, and the
+trip table is scanned once instead of three times.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabgrid.functions.grid import cell_id, sql
-from cabgrid.functions.timewin import epoch_micros, from_epoch_micros, micros, window_end, window_start
+from cabgrid.functions.timewin import epoch_micros, from_epoch_micros, micros, pane_windows, window_end, window_start
 from cabgrid.operators.cells import END_AXES, START_AXES, in_grid_trips
+from cabgrid.operators.medians import median_of_counts
 
 AREA_WINDOW = "15 minutes"
 # How far back the intended empty-taxi rule looks for a taxi's last drop-off.
@@ -33,8 +35,6 @@ EMPTY_HORIZON = "30 minutes"
 # Horizons in a block of time: one task holds the events of one taxi and block.
 BLOCK_HORIZONS = 8
 SHORT_TRIP_SECS = 900
-# Accuracy of percentile_approx; Spark's default.
-MEDIAN_ACCURACY = 10000
 
 _KEY = ["window", "east", "south"]
 
@@ -88,7 +88,6 @@ def area_profit(
     trips: DataFrame,
     length: str = AREA_WINDOW,
     max_secs: int | None = SHORT_TRIP_SECS,
-    accuracy: int = MEDIAN_ACCURACY,
     semantics: str = "observed",
     slide: str | None = None,
 ) -> DataFrame:
@@ -96,27 +95,35 @@ def area_profit(
 
     With ``slide``, windows of ``length`` end every ``slide`` (sliding).
     """
-    return _area_profit(trips, length, max_secs, accuracy, semantics, slide).select("window", _cell(), "profit")
+    return _area_profit(trips, length, max_secs, semantics, slide).select("window", _cell(), "profit")
 
 
 def _area_profit(
-    trips: DataFrame, length: str, max_secs: int | None, accuracy: int, semantics: str, slide: str | None
+    trips: DataFrame, length: str, max_secs: int | None, semantics: str, slide: str | None
 ) -> DataFrame:
-    """``area_profit`` by axes: ``window, east, south, profit``."""
+    """``area_profit`` by axes: ``window, east, south, profit``.
+
+    Sliding windows that are whole numbers of slides share the counts of
+    panes of one slide, which are copied into the windows that hold them.
+    """
     t = in_grid_trips(trips, semantics)
     if max_secs is not None:
         t = short_trips(t, max_secs)
     e, s = START_AXES
-    return (
+    panes = slide is not None and micros(length) % micros(slide) == 0
+    counts = (
         t.select(
-            window_end("dropoff_datetime", length, slide).alias("window"),
+            window_end("dropoff_datetime", slide if panes else length, slide).alias("window"),
             F.col(e).alias("east"),
             F.col(s).alias("south"),
-            revenue().alias("total_profit"),
+            revenue().alias("revenue"),
         )
-        .groupBy(*_KEY)
-        .agg(F.percentile_approx("total_profit", 0.5, accuracy).alias("profit"))
+        .groupBy(*_KEY, "revenue")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    if panes and length != slide:
+        counts = counts.withColumn("window", F.explode(pane_windows("window", length, slide)))
+    return median_of_counts(counts, _KEY, "revenue", "n", name="profit")
 
 
 _DROP, _PICK, _PROFIT = 0, 1, 2
@@ -134,11 +141,10 @@ def area_stats(
     trips: DataFrame,
     length: str = AREA_WINDOW,
     max_secs: int | None = SHORT_TRIP_SECS,
-    accuracy: int = MEDIAN_ACCURACY,
     with_profit: bool = True,
     semantics: str = "observed",
 ) -> DataFrame:
-    """One aggregate for drop-offs, next-window pickups and profit per (window, cell).
+    """Drop-offs, next-window pickups and profit per (window, cell), from one scan.
 
     Output: ``window, east, south, dropoff_count, pickup_count`` and, with
     profit, ``n_profit`` (trips behind the median) and ``profit``. A trip
@@ -151,21 +157,17 @@ def area_stats(
         prof = _record("dropoff_datetime", START_AXES, _PROFIT, "fare_amount + tip_amount")
         short = "TRUE" if max_secs is None else f"trip_time_in_secs <= {int(max_secs)}"
         recs = f"CASE WHEN {short} THEN array({drop}, {pick}, {prof}) ELSE {recs} END"
-    aggs = [
-        F.expr(f"count_if(kind = {_DROP})").alias("dropoff_count"),
-        F.expr(f"count_if(kind = {_PICK})").alias("pickup_count"),
-    ]
-    if with_profit:
-        aggs += [
-            F.expr(f"count_if(kind = {_PROFIT})").alias("n_profit"),
-            F.expr(f"percentile_approx(CASE WHEN kind = {_PROFIT} THEN revenue END, 0.5, {int(accuracy)})").alias(
-                "profit"
-            ),
-        ]
+    kinds = {"dropoff_count": _DROP, "pickup_count": _PICK} | ({"n_profit": _PROFIT} if with_profit else {})
+    counts = [F.expr(f"count_if(kind = {kind})").alias(name) for name, kind in kinds.items()]
     # Each record has its own time, so a trip without a pickup time still counts as a drop-off.
     records = in_grid_trips(trips, semantics).selectExpr(f"inline({recs})").withColumn("_win", F.window("time", length))
     window = F.when(F.col("kind") == _PICK, F.col("_win.start")).otherwise(F.col("_win.end"))
-    return records.withColumn("window", window).groupBy(*_KEY).agg(*aggs)
+    records = records.withColumn("window", window)
+    if not with_profit:
+        return records.groupBy(*_KEY).agg(*counts)
+    by_amount = records.groupBy(*_KEY, "revenue").agg(*counts)
+    sums = [F.sum(name).alias(name) for name in kinds]
+    return median_of_counts(by_amount, _KEY, "revenue", "n_profit", *sums, name="profit")
 
 
 def empty_cabs(trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "observed") -> DataFrame:
@@ -235,7 +237,6 @@ def profitability(
     trips: DataFrame,
     length: str = AREA_WINDOW,
     max_secs: int | None = SHORT_TRIP_SECS,
-    accuracy: int = MEDIAN_ACCURACY,
     semantics: str = "observed",
     horizon: str = EMPTY_HORIZON,
     slide: str | None = None,
@@ -250,13 +251,13 @@ def profitability(
     if semantics == "intended":
         # Both aggregates are partitioned by these keys already: the join shuffles nothing again.
         empty = _empty_taxis(trips, slide or length, horizon, semantics)
-        profit = _area_profit(trips, length, max_secs, accuracy, semantics, slide)
+        profit = _area_profit(trips, length, max_secs, semantics, slide)
         return empty.join(profit, _KEY).select(
             "window", _cell(), (F.col("profit") / F.col("empty_cabs")).alias("profitability")
         )
     if slide is not None:
         raise ValueError("observed empty cabs pair each window with the next one; slide needs semantics='intended'")
-    stats = area_stats(trips, length, max_secs, accuracy, True, semantics)
+    stats = area_stats(trips, length, max_secs, True, semantics)
     return stats.where(f"{_EMPTY} > 0 AND n_profit > 0").selectExpr(
         "window", _CELL_SQL, f"profit / {_EMPTY} AS profitability"
     )

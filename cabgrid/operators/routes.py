@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabgrid.functions.grid import route_of_axes
-from cabgrid.functions.timewin import micros, window_end
+from cabgrid.functions.timewin import micros, pane_windows, window_end
 from cabgrid.operators.cells import AXES, in_grid_trips
 
 ROUTE_WINDOW = "30 minutes"
@@ -41,9 +41,7 @@ def route_counts(
     t = in_grid_trips(trips, semantics).withColumn("window_end", end)
     counts = t.groupBy("window_end", *AXES).agg(F.count(F.lit(1)).alias("count"))
     if panes and length != slide:
-        later = F.timestamp_add("MICROSECOND", F.lit(micros(length) - micros(slide)), "window_end")
-        ends = F.sequence("window_end", later, F.expr(f"INTERVAL {micros(slide)} MICROSECONDS"))
-        counts = counts.withColumn("window_end", F.explode(ends))
+        counts = counts.withColumn("window_end", F.explode(pane_windows("window_end", length, slide)))
         counts = counts.groupBy("window_end", *AXES).agg(F.sum("count").alias("count"))
     return counts.select("window_end", route_of_axes(*AXES).alias("route"), "count")
 

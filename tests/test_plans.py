@@ -95,7 +95,8 @@ def _shuffled_records(df) -> int:
 def test_sliding_plans_shuffle_few_records_per_trip(spark, static_plans, name):
     from conftest import SF_ORACLE
 
-    # Every 5 minutes, a (window, cell) has so few trips here that its aggregates combine little.
-    bound = 5 if name == "profitable_cells_sliding" else 4
+    # An exact median takes a second shuffle, of the (window, cell, amount) counts, and nearly every amount here is
+    # another one; every 5 minutes, a (window, cell) has so few trips that its aggregates combine little.
+    bound = {"profitable_cells_intended": 5, "profitable_cells_sliding": 9}.get(name, 4)
     trips = spark.read.parquet(f"{SF_ORACLE}/events.parquet").count()
     assert _shuffled_records(E.queries()[name](spark, SF_ORACLE)) < bound * trips
