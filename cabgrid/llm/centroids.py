@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabgrid.llm.common import written
@@ -156,13 +156,13 @@ def cluster_vectors(
     named = vectors.sparkSession.createDataFrame(list(enumerate(digests)), "cluster int, centroid_sha256 string")
     total = F.sum(F.col("distance").cast("decimal(38,0)"))
     sums = assigned.groupBy("cluster").agg(total.alias("s"))
-    per_cluster = named.join(sums, "cluster").select(
-        "cluster", "centroid_sha256", F.col("s").try_cast("long").alias("cluster_inertia")
+    everywhere = Window.partitionBy(F.lit(0))  # a row per centroid
+    per_cluster = (
+        named.join(sums, "cluster")
+        .withColumn("inertia", F.sum("s").over(everywhere).try_cast("long"))
+        .withColumn("cluster_inertia", F.col("s").try_cast("long"))
     )
-    overall = sums.agg(F.sum("s").try_cast("long").alias("inertia"))
-    # a row per centroid, and one
     return (
         assigned.join(F.broadcast(per_cluster), "cluster")
-        .join(F.broadcast(overall))
         .select(F.col("id").alias(id_col), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
     )
