@@ -5,8 +5,8 @@
     daytime-profile   TRIPS OUT_DIR [--k 10] [--length ...] [--semantics observed] [--input-format csv|parquet]
     prepare           TRIP_DIR FARE_DIR OUT_DIR [--rows-per-file N] [--output-format csv|parquet]
     stream-routes     IN_DIR OUT_DIR CHECKPOINT [--k 10] [--max-files-per-trigger N] [--interval "3 seconds"]
-                      [--length "30 minutes"] [--watermark "30 minutes" | --no-watermark]
-    stream-end        IN_DIR LAST_DROPOFF [--length ...] [--watermark ...]   (closes the last windows)
+                      [--max-bytes-per-trigger 512m] [--length "30 minutes"] [--watermark "30 minutes" | --no-watermark]
+    stream-open       CHECKPOINT OUT_DIR [--k 10]   (a finite input ended: the windows still open, from the state)
 
 The session comes from ``spark-submit``/``spark-defaults.conf`` (master,
 memory, ``spark.checkpoint.dir``); nothing here is hard-coded.
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import argparse
 import json
-from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -50,14 +49,15 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("checkpoint")
     s.add_argument("--k", type=int, default=10)
     s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--max-bytes-per-trigger")
     s.add_argument("--interval", help="processing-time trigger; default: all available files, then stop")
-    s.add_argument("--no-watermark", dest="watermark", action="store_const", const=None, default="30 minutes")
-    e = sub.add_parser("stream-end")
-    e.add_argument("in_dir")
-    e.add_argument("last", type=datetime.fromisoformat, help="latest drop-off of the input, UTC")
-    for x in (s, e):
-        x.add_argument("--length", default=ROUTE_WINDOW)
-        x.add_argument("--watermark", default="30 minutes")
+    s.add_argument("--watermark", default="30 minutes")
+    s.add_argument("--no-watermark", dest="watermark", action="store_const", const=None)
+    s.add_argument("--length", default=ROUTE_WINDOW)
+    s = sub.add_parser("stream-open")
+    s.add_argument("checkpoint")
+    s.add_argument("out")
+    s.add_argument("--k", type=int, default=10)
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"cabgrid-{a.job}").getOrCreate()
@@ -69,13 +69,22 @@ def main(argv: list[str] | None = None) -> None:
         out = jobs.daytime_profile_job(spark, a.trips, a.out, a.k, a.length, a.semantics, a.input_format)
     elif a.job == "prepare":
         out = jobs.prepare_job(spark, a.trip_dir, a.fare_dir, a.out, a.rows_per_file, a.output_format)
-    elif a.job == "stream-end":
-        sroutes.write_end_marker(spark, a.in_dir, a.last, a.watermark, a.length)
-        out = a.in_dir
+    elif a.job == "stream-open":
+        sroutes.write_open_windows(spark, a.checkpoint, a.out, a.k)
+        out = a.out
     else:
         trigger = {"processingTime": a.interval} if a.interval else None
         q = jobs.stream_routes_job(
-            spark, a.in_dir, a.out, a.checkpoint, a.k, a.watermark, a.max_files_per_trigger, trigger, a.length
+            spark,
+            a.in_dir,
+            a.out,
+            a.checkpoint,
+            a.k,
+            a.watermark,
+            a.max_files_per_trigger,
+            trigger,
+            a.length,
+            a.max_bytes_per_trigger,
         )
         q.awaitTermination()
         out = {"routes": a.out, "late_groups_dropped": sroutes.dropped_rows(q)}

@@ -11,12 +11,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabgrid.functions.timewin import utc_wallclock
 from cabgrid.operators import areas, cells, frames, profiles, routes
 from cabgrid.plans import queries as Q
-from cabgrid.plans.prepare import prepare_trips, read_column_files
+from cabgrid.plans.prepare import prepare_trips, prepare_trips_by_keys, read_column_files
 from cabgrid.session import scratch_path
 from cabgrid.sources import fixture
 from cabgrid.sources.files import (
+    join_parts,
     read_csv,
     read_per_window,
     read_trips,
@@ -28,7 +30,9 @@ from cabgrid.sources.files import (
 from cabgrid.sources.fixture import load_trips
 from cabgrid.sources.schema import COLUMN_STREAM_COLUMNS, RANKING_SCHEMA, TRIP_COLUMNS
 from cabgrid.streaming import columns as scol
+from cabgrid.streaming import late as slate
 from cabgrid.streaming import routes as sroutes
+from cabgrid.streaming import versions as sversions
 
 K = 10
 # First rows read of every trip and fare file (the original's ``nrows``); the
@@ -225,6 +229,13 @@ def sink_csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema=RANKING_SCHEMA)
 
 
+def sink_single_csv(spark, sf):
+    """The ranking as one file: many tasks write it sorted, then the file system joins the parts."""
+    path = scratch_path(spark, "ranked-parts")
+    write_csv(Q.frequent_routes(_trips(spark, sf), K), path, order_by=["window_end", "rank"])
+    return read_csv(spark, join_parts(spark, path, f"{path}.csv"), schema=RANKING_SCHEMA)
+
+
 def sink_per_window(spark, sf):
     path = scratch_path(spark, "per-window")
     write_per_window(Q.frequent_routes(_trips(spark, sf), K), path)
@@ -242,6 +253,13 @@ def merge_fare_trip(spark, sf):
     return prepare_trips(spark, trip_dir, fare_dir, pair_on="chunk")
 
 
+def merge_fare_trip_keys(spark, sf):
+    """Trips and fares whose files and rows are in no common order."""
+    trip_dir, fare_dir = scratch_path(spark, "trip-files"), scratch_path(spark, "fare-files")
+    fixture.write_unordered_trip_fare_files(_trips(spark, sf), trip_dir, fare_dir)
+    return prepare_trips_by_keys(spark, trip_dir, fare_dir)
+
+
 def scan_limit_per_file(spark, sf):
     trip_dir, fare_dir = _trip_fare_files(spark, sf)
     return prepare_trips(spark, trip_dir, fare_dir, rows_per_file=FILE_ROW_LIMIT, pair_on="chunk")
@@ -251,9 +269,14 @@ def positional_zip(spark, sf):
     root = scratch_path(spark, "column-files")
     fixture.write_column_files(_trips(spark, sf), root, COLUMN_STREAM_COLUMNS)
     rows = read_column_files(spark, root, COLUMN_STREAM_COLUMNS)
+    return _zipped(rows.withColumnRenamed("_pair", "file_key"))
+
+
+def _zipped(rows):
+    """Typed cell axes of rows of text columns."""
     typed = rows.select(
-        F.col("_pair").alias("file_key"),
-        "row_pos",
+        "file_key",
+        F.col("row_pos").cast("long").alias("row_pos"),
         F.col("dropoff_datetime").try_cast("timestamp_ntz").alias("dropoff_datetime"),
         *[F.col(c).try_cast("double").alias(c) for c in COLUMN_STREAM_COLUMNS[1:]],
     )
@@ -298,28 +321,125 @@ def stream_route_counts_complete(spark, sf):
     return sroutes.read_window_output(spark, out)
 
 
-def _end_stream(spark, sf, src) -> None:
-    last = _trips(spark, sf).agg(F.max("dropoff_datetime")).first()[0]
-    if last is not None:
-        sroutes.write_end_marker(spark, f"{src}/chunk=-1", last, WATERMARK)
-
-
 def stream_route_counts_append(spark, sf):
+    """Windows as the watermark closes them and, as the input ends, the open ones from the state."""
     src, out, ck = _stream_dirs(spark, sf)
-    _end_stream(spark, sf, src)
     counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src), watermark=WATERMARK)
     _run(sroutes.start(counts, "parquet", "append", ck, path=out))
-    return sroutes.read_window_output(spark, out)
+    return sroutes.read_window_output(spark, out).unionByName(sroutes.open_windows(spark, ck))
 
 
 def stream_topk_routes(spark, sf):
     src, out, ck = _stream_dirs(spark, sf)
-    _end_stream(spark, sf, src)
     counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src), watermark=WATERMARK)
     _run(sroutes.start(counts, sroutes.topk_batch_writer(out, K), "append", ck))
+    last = scratch_path(spark, "stream-open")
+    sroutes.write_open_windows(spark, ck, last, K)
+    return sroutes.read_window_output(spark, out).unionByName(sroutes.read_window_output(spark, last))
+
+
+def _update_stream(spark, sf, k=None):
+    """The folder of an update-mode stream whose input comes in two parts, the later trips first."""
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    for src in _two_arrivals(spark, sf):
+        counts = sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src))
+        _run(sroutes.start(counts, sversions.update_writer(out, k), "update", ck))
+    return out
+
+
+def _two_arrivals(spark, sf):
+    """A stream's folder, yielded when the later half of the trips has come and again with the earlier half."""
+    src = scratch_path(spark, "stream-in")
+    trips = _trips(spark, sf)
+    half = trips.agg(F.max("trip_id")).first()[0] or 0
+    for part in (F.col("trip_id") > half // 2, F.col("trip_id") <= half // 2):
+        fixture.write_stream_files(trips.where(part), src, mode="append")
+        yield src
+
+
+def stream_route_counts_update(spark, sf):
+    """Each batch rewrites the days it changed, as a new version."""
+    path = _update_stream(spark, sf)
+    return sversions.read_latest(spark, f"{path}/counts").withColumn("window_end", utc_wallclock("window_end"))
+
+
+def stream_topk_routes_update(spark, sf):
+    path = _update_stream(spark, sf, K)
+    ranking = sversions.read_latest(spark, f"{path}/ranking", sversions.RANKING)
+    return ranking.withColumn("window_end", utc_wallclock("window_end"))
+
+
+def stream_late_rows(spark, sf):
+    """Half of the trips come behind the watermark: closed windows, late rows and open windows are the whole."""
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    for src in _two_arrivals(spark, sf):
+        both = slate.counts_and_arrivals(sroutes.read_trip_stream(spark, src), WATERMARK)
+        _run(sroutes.start(both, slate.arrivals_writer(out), "append", ck))
+    return slate.merged_counts(spark, out, WATERMARK).unionByName(sroutes.open_windows(spark, ck))
+
+
+def stream_late_side_table(spark, sf):
+    """What the side table holds: the counts that a watermark alone would have dropped."""
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    for src in _two_arrivals(spark, sf):
+        both = slate.counts_and_arrivals(sroutes.read_trip_stream(spark, src), WATERMARK)
+        _run(sroutes.start(both, slate.arrivals_writer(out), "append", ck))
+    return slate.late_counts(spark, out, WATERMARK)
+
+
+def stream_route_counts_bytes(spark, sf):
+    """Intake by bytes under a processing-time trigger: an eighth of the input a batch, a megabyte at least."""
+    src, out, ck = _stream_dirs(spark, sf)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(src)
+    limit = max(1 << 20, (files.agg(F.sum("length")).first()[0] or 0) // 8)
+    stream = sroutes.read_trip_stream(spark, src, max_bytes_per_trigger=limit)
+    counts = sroutes.stream_route_counts(stream, watermark=None)
+    query = sroutes.start(counts, sversions.update_writer(out), "update", ck, trigger={"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return sversions.read_latest(spark, f"{out}/counts").withColumn("window_end", utc_wallclock("window_end"))
+
+
+def stream_clean_source(spark, sf):
+    """Rolling input: files that a later batch has left behind move to an archive."""
+    out, ck, archive = (scratch_path(spark, f"stream-{x}") for x in ("out", "ck", "archive"))
+    for src in _two_arrivals(spark, sf):
+        stream = sroutes.read_trip_stream(spark, src, clean_source="archive", archive_dir=archive)
+        _run(sroutes.start(sroutes.stream_route_counts(stream), sversions.update_writer(out), "update", ck))
+    return sversions.read_latest(spark, f"{out}/counts").withColumn("window_end", utc_wallclock("window_end"))
+
+
+def stream_sorted_counts(spark, sf):
+    """The whole result table, sorted inside the stream (complete mode)."""
+    src, out, ck = _stream_dirs(spark, sf)
+    counts = sroutes.ordered_counts(sroutes.stream_route_counts(sroutes.read_trip_stream(spark, src)))
+    _run(sroutes.start(counts, sroutes.overwrite_writer(out), "complete", ck))
     return sroutes.read_window_output(spark, out)
 
 
+def stream_memory_totals(spark, sf):
+    """Trips per window in the memory sink, asked for by the query's name: a row per window is all it holds."""
+    src, _, ck = _stream_dirs(spark, sf)
+    name = f"trip_totals_{uuid.uuid4().hex[:8]}"
+    totals = sroutes.stream_trip_totals(sroutes.read_trip_stream(spark, src))
+    _run(sroutes.start(totals, "memory", "complete", ck, query_name=name))
+    try:
+        return spark.sql(f"SELECT window_end, trips FROM {name}").withColumn("window_end", utc_wallclock("window_end"))
+    finally:
+        spark.catalog.dropTempView(name)
+
+
+def stream_positional_join(spark, sf):
+    """Five column streams joined by file and position."""
+    root, out, ck = (scratch_path(spark, x) for x in ("column-files", "stream-out", "stream-ck"))
+    fixture.write_column_files(_trips(spark, sf), root, COLUMN_STREAM_COLUMNS)
+    lines = {c: scol.read_column_lines(spark, f"{root}/{c}") for c in COLUMN_STREAM_COLUMNS}
+    _run(sroutes.start(scol.join_column_streams(lines), "parquet", "append", ck, path=out))
+    return _zipped(spark.read.parquet(out).withColumn("file_key", F.substring_index("file_key", "/", 1)))
+
+
 def stream_cell_pairs(spark, sf):
     src, out, ck = _stream_dirs(spark, sf, COLUMN_STREAM_COLUMNS)
     pairs = scol.cell_pairs(scol.read_column_stream(spark, src))
@@ -330,7 +450,8 @@ def stream_cell_pairs(spark, sf):
 def stream_batch_counts(spark, sf):
     src, out, ck = _stream_dirs(spark, sf, COLUMN_STREAM_COLUMNS)
     stream = scol.read_column_stream(spark, src, max_files_per_trigger=1)
-    _run(sroutes.start(stream, scol.batch_counts_writer(out), "append", ck))
+    writer = scol.batch_counts_writer(out, rows_path=scratch_path(spark, "stream-rows"))
+    _run(sroutes.start(stream, writer, "append", ck))
     return sroutes.read_window_output(spark, out, ("first_time", "last_time"))
 
 
@@ -374,14 +495,25 @@ QUERIES = {
         scan_trips_csv,
         scan_trips_parquet,
         sink_csv_roundtrip,
+        sink_single_csv,
         sink_per_window,
         merge_fare_trip,
+        merge_fare_trip_keys,
         scan_limit_per_file,
         positional_zip,
         union_months,
         sorted_trips,
         stream_route_counts_complete,
         stream_route_counts_append,
+        stream_route_counts_update,
+        stream_route_counts_bytes,
+        stream_late_rows,
+        stream_late_side_table,
+        stream_clean_source,
+        stream_sorted_counts,
+        stream_memory_totals,
+        stream_topk_routes_update,
+        stream_positional_join,
         stream_topk_routes,
         stream_cell_pairs,
         stream_batch_counts,

@@ -66,6 +66,11 @@ def utc_wallclock(ts) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def wallclock_instant(ts) -> Column:
+    """The inverse of ``utc_wallclock``: a UTC wall clock as an instant, whatever the session zone."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
 def utc_text(ts) -> Column:
     """ISO text with an explicit ``Z`` for a zone-free timestamp.
 

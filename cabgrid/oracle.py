@@ -8,7 +8,7 @@ the same double arithmetic.
 
 from __future__ import annotations
 
-from cabgrid.sources.fixture import ROWS_PER_FILE
+from cabgrid.sources.fixture import FARE_SIDE, ROWS_PER_FILE, TRIP_SIDE
 
 FILE_ROW_LIMIT = 2000  # equal to entrypoints.FILE_ROW_LIMIT
 
@@ -320,6 +320,14 @@ ORACLE_SQL = {
 # Files of the file-based queries hold trip_id div ROWS_PER_FILE (sources/fixture.py).
 _CHUNK = f"(trip_id // {ROWS_PER_FILE})"
 
+_FARE_ONLY = FARE_SIDE[3:]
+
+
+def _nth(columns: list[str]) -> str:
+    rest = ", ".join(c for c in columns if c not in FARE_SIDE[:3])
+    return f"row_number() OVER (PARTITION BY medallion, hack_license, pickup_datetime ORDER BY {rest})"
+
+
 ORACLE_SQL.update(
     {
         # files
@@ -327,8 +335,16 @@ ORACLE_SQL.update(
         "scan_trips_parquet": _with(TRIPS)
         + "SELECT * EXCLUDE (trip_id), CAST(CAST(dropoff_datetime AS DATE) AS VARCHAR) AS dropoff_date FROM trips",
         "sink_csv_roundtrip": ORACLE_SQL["topk_routes"],
+        "sink_single_csv": ORACLE_SQL["topk_routes"],
         "sink_per_window": ORACLE_SQL["topk_routes"],
         "merge_fare_trip": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
+        # the n-th trip of a ride's keys, by its other columns, with the n-th fare by its own
+        "merge_fare_trip_keys": _with(TRIPS)
+        + f"""SELECT {", ".join(f"t.{c}" for c in TRIP_SIDE)}, {", ".join(f"f.{c}" for c in _FARE_ONLY)}
+          FROM (SELECT *, {_nth(TRIP_SIDE)} AS nth FROM trips) t
+          JOIN (SELECT *, {_nth(_FARE_ONLY)} AS nth FROM trips) f
+            ON t.medallion = f.medallion AND t.hack_license = f.hack_license
+              AND t.pickup_datetime = f.pickup_datetime AND t.nth = f.nth""",
         "scan_limit_per_file": _with(TRIPS)
         + f"""SELECT * EXCLUDE (trip_id, pos) FROM (
             SELECT *, row_number() OVER (PARTITION BY {_CHUNK} ORDER BY trip_id) AS pos FROM trips)
@@ -341,10 +357,25 @@ ORACLE_SQL.update(
           FROM grid""",
         "union_months": _with(TRIPS) + "SELECT * EXCLUDE (trip_id) FROM trips",
         "sorted_trips": _with(TRIPS) + "SELECT * FROM trips ORDER BY dropoff_datetime, trip_id",
-        # streams equal the batch result; in append mode an end marker closes the last windows
+        # streams equal the batch result
         "stream_route_counts_complete": ORACLE_SQL["route_counts"],
         "stream_route_counts_append": ORACLE_SQL["route_counts"],
+        "stream_route_counts_update": ORACLE_SQL["route_counts"],
+        "stream_route_counts_bytes": ORACLE_SQL["route_counts"],
+        "stream_late_rows": ORACLE_SQL["route_counts"],
+        "stream_clean_source": ORACLE_SQL["route_counts"],
+        "stream_sorted_counts": ORACLE_SQL["route_counts"],
         "stream_topk_routes": ORACLE_SQL["topk_routes"],
+        "stream_topk_routes_update": ORACLE_SQL["topk_routes"],
+        "stream_memory_totals": BASE + 'SELECT window_end, CAST(sum("count") AS BIGINT) AS trips FROM rc GROUP BY window_end',
+        # the earlier half comes after the later half, whose windows up to its last drop-off less 30 minutes are closed
+        "stream_late_side_table": _with(TRIPS, _grid())
+        + f"""SELECT window_end, route, count(*) AS "count" FROM (
+            SELECT {_bucket_end("dropoff_datetime", 30)} AS window_end, {ROUTE} AS route,
+              trip_id <= (SELECT max(trip_id) FROM trips) // 2 AS second,
+              max(dropoff_datetime) OVER () AS latest
+            FROM ig)
+          WHERE second AND window_end <= latest - INTERVAL '30 minutes' GROUP BY ALL""",
         "stream_cell_pairs": _GRID_ALL
         + f"""SELECT dropoff_datetime, {_axis('se')} AS pickup_east, {_axis('ss')} AS pickup_south,
             {_axis('ee')} AS dropoff_east, {_axis('es')} AS dropoff_south FROM grid""",
@@ -353,3 +384,5 @@ ORACLE_SQL.update(
           FROM trips GROUP BY {_CHUNK}""",
     }
 )
+
+ORACLE_SQL["stream_positional_join"] = ORACLE_SQL["positional_zip"]

@@ -21,6 +21,7 @@ from cabgrid.plans.prepare import prepare_trips
 from cabgrid.session import checkpoint_root
 from cabgrid.sources.files import read_trips, write_csv, write_trips_parquet
 from cabgrid.streaming import routes as sroutes
+from cabgrid.streaming.versions import update_writer
 
 
 # Window times are UTC wall-clock values; written like the original outputs
@@ -109,7 +110,8 @@ def prepare_job(
     if output_format == "parquet":
         write_trips_parquet(trips, out_dir)
     else:
-        write_csv(trips, out_dir, order_by=["dropoff_datetime"])
+        # the columns after the drop-off time spread rows without one
+        write_csv(trips, out_dir, order_by=["dropoff_datetime", "pickup_datetime", "medallion", "hack_license"])
     return out_dir
 
 
@@ -123,15 +125,18 @@ def stream_routes_job(
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
     length: str = routes.ROUTE_WINDOW,
+    max_bytes_per_trigger: int | str | None = None,
 ) -> StreamingQuery:
     """Q5: top ``k`` routes of every closed window of a trip file stream, as Parquet.
 
-    Without a watermark no row is late: every batch replaces the ranking of
-    all windows so far, and the state grows with the stream.
+    Without a watermark no row is late: every batch rewrites the counts and
+    the ranking of the days it changed (``<out>/counts``, ``<out>/ranking``,
+    see ``streaming/versions.py``), and the state grows with the stream.
     """
-    stream = sroutes.read_trip_stream(spark, in_dir, max_files_per_trigger=max_files_per_trigger)
+    stream = sroutes.read_trip_stream(
+        spark, in_dir, max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger
+    )
     counts = sroutes.stream_route_counts(stream, length, watermark=watermark)
     if watermark is None:
-        writer = sroutes.complete_topk_writer(out_dir, k)
-        return sroutes.start(counts, writer, "complete", checkpoint, trigger=trigger)
+        return sroutes.start(counts, update_writer(out_dir, k), "update", checkpoint, trigger=trigger)
     return sroutes.start(counts, sroutes.topk_batch_writer(out_dir, k), "append", checkpoint, trigger=trigger)

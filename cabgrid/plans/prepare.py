@@ -10,6 +10,9 @@ from the path (a partition column such as ``chunk``, or the digits at the end
 of the file name) instead of listing order, which is arbitrary on a cluster.
 The positional join is a full outer join on (pair key, number of the file
 among those of the key, row position).
+
+``match_fares`` needs no order of files or rows: it joins trips and fares on
+the columns that identify a ride on both sides.
 """
 
 from __future__ import annotations
@@ -27,6 +30,9 @@ from cabgrid.sources.files import (
 )
 from cabgrid.sources.schema import TRIP_SCHEMA
 
+# The columns that trip and fare files share.
+RIDE_KEYS = ("medallion", "hack_license", "pickup_datetime")
+
 
 def file_pair_key(pair_on: str | None) -> Column:
     """The pairing key of a file.
@@ -73,6 +79,46 @@ def prepare_trips(
     return cast_to_schema(merged, TRIP_SCHEMA)
 
 
+def match_fares(trip: DataFrame, fare: DataFrame, keys: tuple[str, ...] = RIDE_KEYS) -> DataFrame:
+    """Trips and fares joined on ``keys``, whatever the order of files and rows: the 17 trip columns.
+
+    Rides that repeat the keys are numbered on each side in the order of
+    their other columns, and the n-th trip meets the n-th fare. Rows without
+    a partner stay, with nulls for the other side; a row with a null key has
+    no partner. Values of the trip side win for shared names. Instead of a
+    join, both sides are stacked and shuffled once, by the keys: numbering and
+    pairing both work within them.
+    """
+    known = {f.name: f.dataType for f in TRIP_SCHEMA.fields}
+
+    def typed(df: DataFrame, columns: list[str], side: int) -> DataFrame:
+        return df.select(*[F.col(c).cast(known[c]).alias(c) for c in columns], F.lit(side).alias("_side"))
+
+    of_trip = [c for c in trip.columns if c in known]
+    of_fare = [c for c in fare.columns if c in known and (c in keys or c not in of_trip)]
+    rest = [c for c in dict.fromkeys(of_trip + of_fare) if c not in keys]
+    stacked = union_all([typed(trip, of_trip, 0), typed(fare, of_fare, 1)], allow_missing=True)
+    ride = Window.partitionBy(*keys)
+    trips_before = F.when(F.col("_side") == 1, F.sum(1 - F.col("_side")).over(ride)).otherwise(0)
+    keyed = F.lit(True)
+    for k in keys:
+        keyed &= F.col(k).isNotNull()
+    numbered = stacked.where(keyed).withColumn(
+        "_nth", F.row_number().over(ride.orderBy("_side", *rest)) - trips_before
+    )
+    # a column has a value on one side only
+    pairs = numbered.groupBy(*keys, "_nth").agg(*[F.max(c).alias(c) for c in rest])
+    rows = union_all([pairs, stacked.where(~keyed)], allow_missing=True)
+    absent = {c: F.lit(None) for c in known if c not in rows.columns}
+    return cast_to_schema(rows.withColumns(absent) if absent else rows, TRIP_SCHEMA)
+
+
+def prepare_trips_by_keys(spark: SparkSession, trip_path: str, fare_path: str) -> DataFrame:
+    """Trip and fare CSV files with headers, matched by ``RIDE_KEYS``."""
+    trip, fare = (strip_blanks(read_csv(spark, p, schema=None, header=True)) for p in (trip_path, fare_path))
+    return match_fares(trip, fare)
+
+
 def read_column_files(spark: SparkSession, root: str, columns: list[str], pair_on: str | None = "chunk") -> DataFrame:
     """Zips one-value-per-line column folders back into rows by position.
 

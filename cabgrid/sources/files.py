@@ -9,10 +9,8 @@ numbers rows consecutively, so a row's position is
     rows in earlier blocks of the same file + (its id - first id of its block)
 
 The per-block table has one row per input split (about 200k rows for 100 TB
-in 512 MiB splits). It is checkpointed and counted first; below
-``BROADCAST_MAX_BLOCKS`` rows it is broadcast, so the rows themselves are
-never shuffled, and above it the join falls back to a shuffle join. No task
-ever holds a whole file.
+in 512 MiB splits); adaptive execution broadcasts it by its measured size. No
+task ever holds a whole file.
 """
 
 from __future__ import annotations
@@ -27,6 +25,10 @@ from cabgrid.session import scratch_path
 from cabgrid.sources.schema import TRIP_SCHEMA
 
 
+# Columns after the drop-off time that spread rows with equal or no drop-off times.
+_SPREAD = ("pickup_datetime", "medallion", "hack_license")
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -46,7 +48,6 @@ def write_csv(
     path: str,
     header: bool = False,
     order_by: list | None = None,
-    single_file: bool = False,
     mode: str = "errorifexists",
     partition_by: list[str] | None = None,
     **options,
@@ -54,20 +55,61 @@ def write_csv(
     """CSV sink.
 
     ``order_by`` sorts globally (range partitioning): part files read in part
-    order give the sorted table, written by many tasks. ``single_file``
-    coalesces to one task: only for outputs with a small proven bound, since
-    it sends the whole result through one writer.
+    order give the sorted table, written by many tasks.
     The default mode fails when the folder exists, like the original.
+    ``join_parts`` makes one file of the parts.
     """
     out = df.orderBy(*order_by) if order_by else df
-    if single_file:
-        out = out.coalesce(1)
     writer = out.write.mode(mode).option("header", header).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
 
 
+def join_parts(spark: SparkSession, folder: str, target: str, copy_at_most: int = 1 << 30) -> str:
+    """Makes one file, ``target``, of the part files of a headerless ``folder``, in part order.
+
+    The parts are written by many tasks; a file system that can (HDFS) then
+    links their blocks into one file without moving a byte, and the folder
+    goes. Others copy the parts one after another, for outputs of at most
+    ``copy_at_most`` bytes, checked first: larger ones stay a folder. Fails if
+    ``target`` is there.
+    """
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(folder).getFileSystem(hadoop)
+    if fs.exists(at(target)):
+        raise FileExistsError(target)
+    parts = sorted((s.getPath().toString(), s.getLen()) for s in fs.listStatus(at(folder)))
+    parts = [(p, n) for p, n in parts if p.rsplit("/", 1)[-1].startswith("part-")]
+    if fs.hasPathCapability(at(folder), "fs.capability.paths.concat") and any(n for _, n in parts):
+        full = [p for p, n in parts if n]
+        rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(full) - 1)
+        for i, p in enumerate(full[1:]):
+            rest[i] = at(p)
+        if len(full) > 1:
+            fs.concat(at(full[0]), rest)
+        fs.rename(at(full[0]), at(target))
+        fs.delete(at(folder), True)
+        return target
+    size = sum(n for _, n in parts)
+    if size > copy_at_most:
+        raise ValueError(f"{folder} holds {size} bytes; its file system joins no files, and only {copy_at_most} are copied")
+    copying = f"{target}._copying"  # the target appears whole or not at all
+    out = fs.create(at(copying), True)
+    try:
+        for p, _ in parts:
+            part = fs.open(at(p))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    fs.rename(at(copying), at(target))
+    return target
+
+
 def with_file_position(scan: DataFrame, file_col: str = "source_file", pos_col: str = "row_pos") -> DataFrame:
     """Adds the source file and the 0-based row position within it.
 
@@ -130,11 +172,12 @@ def write_trips_parquet(trips: DataFrame, path: str, mode: str = "errorifexists"
     columns, the coordinate bounding box of the outlier filter reaches the
     reader as pushed filters (row-group statistics), and date filters prune
     whole folders. Range partitioning on drop-off time splits a busy day over
-    several tasks, and the local sort keeps row groups tight in time.
+    several tasks, and the local sort keeps row groups tight in time. Equal
+    and missing drop-off times are spread by the other columns of a ride.
     """
     t = trips.withColumn("dropoff_date", F.to_date("dropoff_datetime"))
     (
-        t.repartitionByRange("dropoff_datetime")
+        t.repartitionByRange("dropoff_datetime", *_SPREAD)
         .sortWithinPartitions("dropoff_datetime")
         .write.mode(mode)
         .partitionBy("dropoff_date")
@@ -152,17 +195,22 @@ def read_trips(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def write_per_window(df: DataFrame, path: str, window_col: str = "window_end", mode: str = "errorifexists") -> None:
-    """One folder per window (``<path>/<window_col>=<time>/``), rows sorted by rank.
+    """Rows of each window side by side, in a folder per day (``<path>/day=<date>/``).
 
-    The distributed form of printing each window's rows in a driver loop:
-    executors write every window's rows to its own folder. Meant for ranked
-    outputs (at most k rows per window); a hash exchange on the window column
-    sends each window to one writer.
+    The distributed form of printing each window's rows in a driver loop. A
+    range exchange on the window column deals the windows out by their rows,
+    so files follow the data instead of the number of windows; within a file
+    rows lie by window, then rank.
     """
-    out = df.repartition(window_col).sortWithinPartitions(window_col, *[c for c in ("rank",) if c in df.columns])
-    out.write.mode(mode).partitionBy(window_col).option("header", True).csv(path)
-
-
-def read_per_window(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Reads ``write_per_window`` output; ``schema`` includes the window column (its type is kept)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    order = [window_col, *[c for c in ("rank",) if c in df.columns]]
+    out = df.withColumn("day", F.to_date(window_col)).repartitionByRange(*order).sortWithinPartitions("day", *order)
+    out.write.mode(mode).partitionBy("day").option("header", True).csv(path)
+
+
+def read_per_window(spark: SparkSession, path: str, schema: T.StructType, window=None, window_col: str = "window_end") -> DataFrame:
+    """Reads ``write_per_window`` output; with ``window`` (a datetime) that window alone, from its day's folder."""
+    layout = T.StructType([*schema.fields, T.StructField("day", T.DateType())])
+    df = spark.read.schema(layout).option("header", True).csv(path)
+    if window is not None:
+        df = df.where((F.col("day") == F.lit(window.date())) & (F.col(window_col) == F.lit(window).cast(schema[window_col].dataType)))
+    return df.select(*schema.names)

@@ -124,6 +124,22 @@ def write_trip_fare_files(
         t.unpersist()
 
 
+def write_unordered_trip_fare_files(
+    trips: DataFrame, trip_dir: str, fare_dir: str, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """As ``write_trip_fare_files``, but rows lie in other files and another order on each side."""
+    mixed = lambda seed: F.xxhash64("trip_id", F.lit(seed))
+    n_files = F.ceil((F.max("trip_id") + 1) / F.lit(rows_per_file)).alias("n_files")
+    sides = [(TRIP_SIDE, trip_dir, 1), (FARE_SIDE, fare_dir, 2)]
+    for side, path, seed in sides:
+        t = trips.join(F.broadcast(trips.agg(n_files)), F.lit(True)).withColumn("chunk", F.pmod(mixed(seed), "n_files"))
+        t = t.repartition("chunk").sortWithinPartitions("chunk", mixed(seed))
+        named = [F.col(c).alias(c if i == 0 or side is TRIP_SIDE else f" {c}") for i, c in enumerate(side)]
+        t.select("chunk", *named).write.partitionBy("chunk").option("header", True).option(
+            "ignoreLeadingWhiteSpace", False
+        ).csv(path)
+
+
 def write_column_files(trips: DataFrame, root: str, columns: list[str], rows_per_file: int = ROWS_PER_FILE) -> None:
     """One folder per column, one value per line (``<root>/<column>/chunk=.../``)."""
     t = _chunked(trips.select("trip_id", *columns), rows_per_file).persist(StorageLevel.MEMORY_AND_DISK)
@@ -135,11 +151,15 @@ def write_column_files(trips: DataFrame, root: str, columns: list[str], rows_per
 
 
 def write_stream_files(
-    trips: DataFrame, path: str, columns: list[str] | None = None, rows_per_file: int = ROWS_PER_FILE
+    trips: DataFrame,
+    path: str,
+    columns: list[str] | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+    mode: str = "errorifexists",
 ) -> None:
     """Headerless CSV files for a file stream; timestamps as UTC text with ``Z``."""
     from cabgrid.functions.timewin import utc_text
 
     t = _chunked(trips, rows_per_file)
     cols = [utc_text(c).alias(c) if c.endswith("_datetime") else F.col(c) for c in (columns or TRIP_COLUMNS)]
-    t.select("chunk", *cols).write.partitionBy("chunk").csv(path)
+    t.select("chunk", *cols).write.mode(mode).partitionBy("chunk").csv(path)

@@ -1,8 +1,10 @@
-"""The column stream: cell axes per trip and rows per micro-batch.
+"""Column streams: cell axes per trip and rows per micro-batch.
 
 The original streams five columns through five folders and re-zips them by
-position inside each batch; a file stream of five-column rows carries the
-same data without any join, and the per-element maps become column
+position inside each batch. ``join_column_streams`` does that as stream-stream
+joins on (file, position), which also pair files that arrive in different
+batches. Where the producer can write five-column rows, ``read_column_stream``
+carries the same data without any join. The per-element maps are column
 expressions.
 """
 
@@ -10,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,20 +36,80 @@ def read_column_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     return reader.csv(path)
 
 
+def read_column_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """One column's folder of text files as a stream: ``file_key, row_pos, value, arrived``.
+
+    ``file_key`` is the file's folder and part number (``chunk=7/part-00003``
+    is ``7/3``), the same for all columns, and ``row_pos`` the 0-based line.
+    A stream has no row ids, so a file is read as one text and split into its
+    lines: the files of a column stream must be small pieces, as the original
+    writes them. ``arrived`` is the file's modification time.
+    """
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    name = F.col("_metadata.file_path")
+    folder = F.regexp_extract(name, r"([^/=]+)/[^/]*$", 1)
+    part = F.regexp_extract(name, r"/\D*?0*(\d+)[^/]*$", 1)
+    lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
+    return (
+        reader.text(path, wholetext=True)
+        .select(
+            F.concat(folder, F.lit("/"), part).alias("file_key"),
+            F.col("_metadata.file_modification_time").alias("arrived"),
+            F.posexplode(lines).alias("row_pos", "value"),
+        )
+        .select("file_key", "row_pos", "value", "arrived")
+    )
+
+
+def join_column_streams(columns: dict[str, DataFrame], within: str = "1 hour") -> DataFrame:
+    """Rows of several column streams, joined by file and position: ``file_key, row_pos`` and a column per stream.
+
+    Inner joins: a position must come in every column. The files of one key
+    may arrive up to ``within`` apart, in any batch; the watermarks on their
+    arrival let the joins forget lines that wait longer.
+    """
+    joined: DataFrame | None = None
+    for name, lines in columns.items():
+        side = lines.withWatermark("arrived", within).withColumnRenamed("value", name)
+        if joined is None:
+            joined = side
+            continue
+        side = side.withColumnsRenamed({"file_key": "other_key", "row_pos": "other_pos", "arrived": "other_arrived"})
+        on = F.expr(
+            "file_key = other_key AND row_pos = other_pos "
+            f"AND other_arrived BETWEEN arrived - INTERVAL {within} AND arrived + INTERVAL {within}"
+        )
+        joined = joined.join(side, on).drop("other_key", "other_pos", "other_arrived")
+    return joined.drop("arrived")
+
+
 def cell_pairs(stream: DataFrame, semantics: str = "observed") -> DataFrame:
     """``dropoff_datetime`` and the four axis indices (999 outside) of each trip."""
     return with_axis_codes(stream, AXIS_CODES, semantics).select("dropoff_datetime", *AXIS_CODES)
 
 
-def batch_counts_writer(path: str, time_col: str = "dropoff_datetime") -> Callable[[DataFrame, int], None]:
-    """Rows, first and last event time of each non-empty micro-batch."""
+def batch_counts_writer(path: str, time_col: str = "dropoff_datetime", rows_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Rows, first and last event time of each non-empty micro-batch.
+
+    With ``rows_path`` the batch's rows are stored there, and the numbers are
+    observed while they are written: one pass, whatever the batch does.
+    """
+    numbers = [
+        F.count(F.lit(1)).alias("num_rows"),
+        F.min(time_col).alias("first_time"),
+        F.max(time_col).alias("last_time"),
+    ]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stats = batch.agg(
-            F.count(F.lit(1)).alias("num_rows"),
-            F.min(time_col).alias("first_time"),
-            F.max(time_col).alias("last_time"),
-        ).where(F.col("num_rows") > 0)
-        stats.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if rows_path is None:
+            stats = batch.agg(*numbers)
+        else:
+            seen = Observation()
+            batch.observe(seen, *numbers).write.mode("overwrite").parquet(f"{rows_path}/batch_id={batch_id}")
+            times = ", ".join(f"{c} timestamp" for c in ("first_time", "last_time"))
+            stats = batch.sparkSession.createDataFrame([seen.get], f"num_rows long, {times}")
+        stats.where("num_rows > 0").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write

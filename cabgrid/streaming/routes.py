@@ -14,8 +14,13 @@
   batches periodically (read them, rewrite by window date) or trigger less
   often; each window appears in exactly one batch, so compaction is a plain
   union.
-* In append mode the last windows stay open until later rows arrive.
-  ``write_end_marker`` closes them at the end of a finite input.
+* In append mode the last windows stay open until later rows arrive. At the
+  end of a finite input ``open_windows`` reads them from the state store of
+  the checkpoint; the input folder stays as it is.
+* Late rows are dropped by the watermark. ``streaming/late.py`` keeps them.
+* Without a watermark, ``update`` mode hands on the changed counts only;
+  ``streaming/versions.py`` keeps them as a table of which a batch rewrites
+  the days it touched.
 * Sinks and checkpoints live under the shared checkpoint folder, so a
   restarted query resumes after a lost driver or executor.
 
@@ -26,15 +31,14 @@ convert window ends back to UTC wall-clock ``TIMESTAMP_NTZ``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cabgrid.functions.grid import DLAT, DLON, LAT0, LON0, route_of_axes
-from cabgrid.functions.timewin import micros, utc_wallclock
+from cabgrid.functions.grid import route_of_axes
+from cabgrid.functions.timewin import utc_wallclock, wallclock_instant
 from cabgrid.operators.cells import AXES, in_grid_trips
 from cabgrid.operators.routes import ROUTE_WINDOW, topk_routes
 from cabgrid.sources.schema import STREAM_TRIP_SCHEMA
@@ -49,11 +53,22 @@ def read_trip_stream(
     max_files_per_trigger: int | None = None,
     clean_source: str | None = None,
     archive_dir: str | None = None,
+    max_bytes_per_trigger: int | str | None = None,
     **options,
 ) -> DataFrame:
+    """A folder of headerless trip CSV files as a stream.
+
+    A micro-batch takes files up to ``max_files_per_trigger`` of them, or up
+    to ``max_bytes_per_trigger`` (``"512m"``): the limit to use when files
+    differ in size. A file larger than the limit is a batch of its own.
+    """
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("limit a batch by files or by bytes, not by both")
     reader = spark.readStream.schema(schema).option("header", False).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if clean_source:
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
@@ -78,6 +93,13 @@ def stream_route_counts(
     )
 
 
+def stream_trip_totals(stream: DataFrame, length: str = ROUTE_WINDOW, semantics: str = "observed") -> DataFrame:
+    """``window_end, trips``: trips per drop-off window on a stream, one row per window."""
+    t = in_grid_trips(stream, semantics)
+    totals = t.groupBy(F.window("dropoff_datetime", length).alias("window")).agg(F.count(F.lit(1)).alias("trips"))
+    return totals.select(F.col("window.end").alias("window_end"), "trips")
+
+
 def start(
     df: DataFrame,
     sink: str | Callable[[DataFrame, int], None],
@@ -118,35 +140,32 @@ def topk_batch_writer(path: str, k: int = 10) -> Callable[[DataFrame, int], None
     return write
 
 
-def complete_topk_writer(path: str, k: int = 10) -> Callable[[DataFrame, int], None]:
-    """Top ``k`` routes of all windows so far: complete-mode batches replace the ranking."""
+def open_windows(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> DataFrame:
+    """``window_end, route, count`` of the windows that a stopped query of route counts has not emitted yet.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        topk_routes(batch, k).write.mode("overwrite").parquet(path)
-
-    return write
+    Read from the state store at the query's last committed batch: after the
+    end of a finite input, the emitted windows and these are all windows. The
+    checkpoint does not change, so the query may be started again later; it
+    then emits these windows itself once they are closed, and what was read
+    here is replaced. Without a watermark no window is ever closed, and these
+    are the counts so far. Window ends are UTC wall clock.
+    """
+    state = spark.read.format("statestore").option("operatorId", operator_id).load(checkpoint)
+    return state.select(
+        utc_wallclock("key.window.end").alias("window_end"),
+        route_of_axes(*[f"key.{a}" for a in AXES]).alias("route"),
+        F.col("value.count").alias("count"),
+    )
 
 
-def write_end_marker(
-    spark: SparkSession, folder: str, last: datetime, watermark: str, length: str = ROUTE_WINDOW
-) -> None:
-    """Adds a file to a stream's input that closes all windows up to ``last``, the latest drop-off (UTC).
+def write_open_windows(spark: SparkSession, checkpoint: str, path: str, k: int | None = None) -> None:
+    """Replaces the table at ``path`` by the open windows, or by their top ``k`` routes.
 
-    Its only row is a trip so much later that the watermark passes those
-    windows. The row's own window stays open, so append mode never emits it.
-    Only for the end of an input: rows that come after it are late.
+    Window ends are instants, as in the sinks of the query itself.
     """
-    at = last + timedelta(microseconds=micros(watermark) + 2 * micros(length))
-    lon, lat = repr(LON0 + DLON / 2), repr(LAT0 - DLAT / 2)
-    given = {
-        "dropoff_datetime": at.isoformat(timespec="seconds") + "Z",
-        "pickup_longitude": lon,
-        "pickup_latitude": lat,
-        "dropoff_longitude": lon,
-        "dropoff_latitude": lat,
-    }
-    row = [F.lit(given.get(f.name)).cast("string").alias(f.name) for f in STREAM_TRIP_SCHEMA.fields]
-    spark.range(1).select(*row).coalesce(1).write.mode("append").csv(folder)
+    counts = open_windows(spark, checkpoint).withColumn("window_end", wallclock_instant("window_end"))
+    out = counts if k is None else topk_routes(counts, k)
+    out.write.mode("overwrite").parquet(path)
 
 
 def dropped_rows(query: StreamingQuery) -> int:

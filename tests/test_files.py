@@ -4,15 +4,24 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cabgrid.plans.prepare import prepare_trips
 from cabgrid.session import scratch_path
 from cabgrid.sources import fixture
-from cabgrid.sources.files import read_csv, with_file_position, write_csv
+from cabgrid.sources.files import join_parts, read_csv, with_file_position, write_csv
 from cabgrid.sources.schema import TRIP_COLUMNS
 
 
+@pytest.fixture
+def many_parts(spark):
+    """Small shuffle partitions stay apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def _local(path: str) -> str:
     """Local file system path of a ``file:`` URI (tests list part files directly)."""
     return path.removeprefix("file:")
@@ -54,13 +63,26 @@ def test_sorted_parts_concatenate_in_order(spark, trips_small):
     assert ids == want
 
 
-def test_single_file_sink_fails_when_present(spark, trips_small):
-    path = scratch_path(spark, "single")
+def test_parts_join_to_one_file_in_part_order(spark, trips_small, many_parts):
+    path = scratch_path(spark, "parts")
+    write_csv(trips_small.select("dropoff_datetime", "trip_id").repartition(5), path, order_by=["dropoff_datetime", "trip_id"])
+    parts = sorted(p for p in os.listdir(_local(path)) if p.startswith("part-"))
+    lines = [line for p in parts for line in open(os.path.join(_local(path), p))]
+    target = join_parts(spark, path, f"{path}.csv")
+    assert len(parts) > 1 and open(_local(target)).read() == "".join(lines) and len(lines) == trips_small.count()
+    with pytest.raises(FileExistsError):
+        join_parts(spark, path, target)
+    with pytest.raises(ValueError, match="bytes"):  # the bound is checked before a byte is copied
+        join_parts(spark, path, f"{path}-2.csv", copy_at_most=10)
+    assert not os.path.exists(_local(f"{path}-2.csv"))
+
+
+def test_sink_fails_when_present(spark, trips_small):
+    path = scratch_path(spark, "present")
     df = trips_small.select("trip_id").limit(5)
-    write_csv(df, path, single_file=True)
-    assert len([p for p in os.listdir(_local(path)) if p.startswith("part-")]) == 1
+    write_csv(df, path)
     try:
-        write_csv(df, path, single_file=True)
+        write_csv(df, path)
         raise AssertionError("second write should fail")
     except Exception as exc:  # noqa: BLE001
         assert "already exists" in str(exc).lower() or "PATH_ALREADY_EXISTS" in str(exc)
@@ -85,9 +107,9 @@ def test_pairing_by_file_name_digits(spark, trips_small):
     t = trips_small.select(*TRIP_COLUMNS)
     for k in (1, 2):
         part = t.where(F.hour("dropoff_datetime") % 2 == k - 1)
-        write_csv(part.select(*fixture.TRIP_SIDE), f"{root}/trip_data_{k}.csv", header=True, single_file=True)
+        write_csv(part.select(*fixture.TRIP_SIDE).coalesce(1), f"{root}/trip_data_{k}.csv", header=True)
         fare = part.select(*[F.col(c).alias(c if i == 0 else f" {c}") for i, c in enumerate(fixture.FARE_SIDE)])
-        write_csv(fare, f"{root}/trip_fare_{k}.csv", header=True, single_file=True, ignoreLeadingWhiteSpace=False)
+        write_csv(fare.coalesce(1), f"{root}/trip_fare_{k}.csv", header=True, ignoreLeadingWhiteSpace=False)
     merged = prepare_trips(spark, f"{root}/trip_data_*.csv", f"{root}/trip_fare_*.csv")
     assert merged.count() == t.count()
     assert merged.where(F.col("payment_type").isNull()).count() == 0
@@ -102,12 +124,36 @@ def test_scan_glob_reads_declared_types(spark, trips_small):
     assert back.exceptAll(trips_small.select(*TRIP_COLUMNS)).count() == 0
 
 
-def test_per_window_sink_writes_one_folder_per_window(spark, trips_small):
+def test_per_window_sink_keeps_files_few_and_windows_readable(spark, trips_small):
     from cabgrid.plans import queries as Q
-    from cabgrid.sources.files import write_per_window
+    from cabgrid.sources.files import read_per_window, write_per_window
+    from cabgrid.sources.schema import RANKING_SCHEMA
 
     path = scratch_path(spark, "per-window-layout")
     ranked = Q.frequent_routes(trips_small)
     write_per_window(ranked, path)
-    folders = [p for p in os.listdir(_local(path)) if p.startswith("window_end=")]
-    assert len(folders) == ranked.select("window_end").distinct().count() > 1
+    windows = [r[0] for r in ranked.select("window_end").distinct().collect()]
+    files = [f for _, _, fs in os.walk(_local(path)) for f in fs if f.endswith(".csv")]
+    assert 0 < len(files) < len(windows)
+    assert {p for p in os.listdir(_local(path)) if "=" in p} == {f"day={w.date()}" for w in windows}
+    one = read_per_window(spark, path, RANKING_SCHEMA, window=windows[0])
+    want = ranked.where(F.col("window_end") == F.lit(windows[0])).select(*one.columns)
+    assert sorted(one.collect()) == sorted(want.collect()) and one.count() > 0
+    assert "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_missing_dropoff_times_are_spread_over_ranges(spark, trips_small, many_parts):
+    from cabgrid.sources.files import write_trips_parquet
+
+    path = scratch_path(spark, "null-times")
+    gaps = trips_small.withColumn("dropoff_datetime", F.when(F.col("trip_id") % 3 == 0, F.col("dropoff_datetime")))
+    write_trips_parquet(gaps, path)
+    folder = os.path.join(_local(path), "dropoff_date=__HIVE_DEFAULT_PARTITION__")
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 1
+
+
+def test_shape_of_a_parquet_table_reads_no_column(spark):
+    from cabgrid.entrypoints import frame_shape
+    from conftest import SF_SMALL
+
+    assert "ReadSchema: struct<>" in frame_shape(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()

@@ -117,11 +117,12 @@ def test_stream_and_profile_via_cli(spark, trips_small, monkeypatch):
 
     src, out = scratch_path(spark, "cli-stream-in"), scratch_path(spark, "cli-stream-out")
     fixture.write_stream_files(trips_small, src)
-    last = trips_small.agg(F.max("dropoff_datetime")).first()[0]
-    main(["stream-end", f"{src}/chunk=-1", last.isoformat()])
-    main(["stream-routes", src, out, scratch_path(spark, "cli-stream-ck")])
+    ck, still_open = scratch_path(spark, "cli-stream-ck"), scratch_path(spark, "cli-stream-open")
+    main(["stream-routes", src, out, ck])
+    main(["stream-open", ck, still_open])
     want = Q.frequent_routes(trips_small)
-    assert _same(sroutes.read_window_output(spark, out).select(want.columns), want)
+    both = [sroutes.read_window_output(spark, p).select(want.columns) for p in (out, still_open)]
+    assert all(b.count() for b in both) and _same(both[0].union(both[1]), want)
     profile = scratch_path(spark, "cli-profile")
     main(["daytime-profile", _trip_files(spark, trips_small), profile])
     schema = T._parse_datatype_string("endtime string, route string, avg_count double, local_rank int")

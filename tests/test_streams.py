@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from cabgrid.functions.timewin import utc_text
+from cabgrid.functions.timewin import utc_text, utc_wallclock
 from cabgrid.operators import routes
 from cabgrid.operators.cells import in_grid_trips
 from cabgrid.plans import jobs
+from cabgrid.plans.prepare import match_fares
 from cabgrid.session import scratch_path
 from cabgrid.sources.schema import TRIP_COLUMNS
+from cabgrid.streaming import columns, late, versions
 from cabgrid.streaming import routes as S
 
 
@@ -129,18 +132,50 @@ def test_restart_from_checkpoint_resumes_without_duplicates(spark, trips_small):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_end_marker_closes_all_windows_over_several_batches(spark, trips_small):
-    src, out = scratch_path(spark, "ended"), scratch_path(spark, "ended-out")
+def _equal(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_open_windows_complete_a_finite_input(spark, trips_small):
+    src, out, ck = (scratch_path(spark, x) for x in ("ended", "ended-out", "ended-ck"))
     _write_chunks(trips_small, src, [0, 1, 2])
-    S.write_end_marker(spark, src, trips_small.agg(F.max("dropoff_datetime")).first()[0], "30 minutes")
-    got, dropped = _run_append(spark, src)
-    want = routes.route_counts(trips_small)
-    assert dropped == 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    q = jobs.stream_routes_job(spark, src, out, scratch_path(spark, "ck"), 10, "30 minutes", 1)
+    rows = spark.read.csv(src).count()
+    q = jobs.stream_routes_job(spark, src, out, ck, 10, "30 minutes", 1)
+    q.awaitTermination()
+    last = scratch_path(spark, "ended-open")
+    S.write_open_windows(spark, ck, last, 10)
+    want = routes.topk_routes(routes.route_counts(trips_small))
+    closed, still_open = (S.read_window_output(spark, p).select(want.columns) for p in (out, last))
+    assert S.dropped_rows(q) == 0 and closed.count() and still_open.count()
+    assert _equal(closed.union(still_open), want)
+    assert closed.join(still_open, "window_end").count() == 0
+    assert spark.read.csv(src).count() == rows == trips_small.count()  # the input holds real trips only
+
+
+def test_open_windows_change_nothing_in_the_checkpoint(spark, trips_small):
+    src, out, ck = (scratch_path(spark, x) for x in ("again", "again-out", "again-ck"))
+
+    def run():
+        stream = S.read_trip_stream(spark, src, max_files_per_trigger=1)
+        S.start(S.stream_route_counts(stream, watermark="30 minutes"), "parquet", "append", ck, path=out).awaitTermination()
+        return S.read_window_output(spark, out).unionByName(S.open_windows(spark, ck))
+
+    _write_chunks(trips_small, src, [0, 1])
+    assert _equal(run(), routes.route_counts(trips_small.where("trip_id < 666")))
+    _write_chunks(trips_small, src, [2])
+    assert _equal(run(), routes.route_counts(trips_small))
+
+
+@pytest.mark.parametrize("order", [[2, 0, 1], [2, 1, 0], [1, 2, 0], [0, 1, 2]])
+def test_late_rows_are_kept_in_a_side_table(spark, trips_small, order):
+    src, out, ck = (scratch_path(spark, x) for x in ("late", "late-out", "late-ck"))
+    _write_chunks(trips_small, src, order)
+    both = late.counts_and_arrivals(S.read_trip_stream(spark, src, max_files_per_trigger=1), "30 minutes")
+    q = S.start(both, late.arrivals_writer(out), "append", ck)
     q.awaitTermination()
-    got, want = S.read_window_output(spark, out), routes.topk_routes(want)
-    got = got.select(want.columns)
-    assert S.dropped_rows(q) == 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    side = late.late_counts(spark, out, "30 minutes")
+    assert (side.count() > 0) == (S.dropped_rows(q) > 0) == (order != [0, 1, 2])
+    assert _equal(late.merged_counts(spark, out, "30 minutes").unionByName(S.open_windows(spark, ck)), routes.route_counts(trips_small))
 
 
 def test_job_without_watermark_keeps_late_rows(spark, trips_small):
@@ -148,5 +183,86 @@ def test_job_without_watermark_keeps_late_rows(spark, trips_small):
     _write_chunks(trips_small, src, [2, 0, 1])
     jobs.stream_routes_job(spark, src, out, scratch_path(spark, "ck"), 10, None, 1).awaitTermination()
     want = routes.topk_routes(routes.route_counts(trips_small))
-    got = S.read_window_output(spark, out).select(want.columns)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    got = versions.read_latest(spark, f"{out}/ranking", versions.RANKING)
+    assert _equal(got.withColumn("window_end", utc_wallclock("window_end")).select(want.columns), want)
+
+
+def _files(path):
+    root = path.removeprefix("file:")
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(root) for f in fs}
+
+
+def test_update_batches_rewrite_changed_days_only(spark):
+    path = scratch_path(spark, "versions")
+    write = versions.update_writer(path, k=1)
+    at = "CAST('2024-01-0{} 10:00:00' AS TIMESTAMP)"
+    batch = lambda *rows: spark.sql(
+        " UNION ALL ".join(f"SELECT {at.format(d)} AS window_end, '{r}' AS route, {n}L AS count" for d, r, n in rows)
+    )
+    table = lambda: {(r["window_end"].day, r["route"]): r["count"] for r in versions.read_latest(spark, f"{path}/counts").collect()}
+    write(batch((1, "a", 2), (1, "b", 1), (2, "a", 5)), 0)
+    first = _files(path)
+    write(batch((2, "a", 6), (2, "c", 9)), 1)
+    assert table() == {(1, "a"): 2, (1, "b"): 1, (2, "a"): 6, (2, "c"): 9}
+    assert first.items() <= _files(path).items()  # nothing written earlier was touched
+    assert not any("day=2024-01-01" in f for f in set(_files(path)) - set(first))
+    write(batch((2, "a", 6), (2, "c", 9)), 1)  # a replayed batch
+    assert table() == {(1, "a"): 2, (1, "b"): 1, (2, "a"): 6, (2, "c"): 9}
+    top = versions.read_latest(spark, f"{path}/ranking", versions.RANKING).collect()
+    assert sorted((r["window_end"].day, r["route"], r["rank"]) for r in top) == [(1, "a", 1), (2, "c", 1)]
+    assert [(r["batch_id"], r["day"].day) for r in versions.superseded(spark, f"{path}/counts").collect()] == [(0, 2)]
+
+
+def test_batches_by_bytes_keep_the_limit(spark, trips_small):
+    src = scratch_path(spark, "bytes")
+    sizes = [20, 300, 40, 500, 30]  # rows per file
+    at = 0
+    for n in sizes:
+        part = trips_small.where((F.col("trip_id") >= at) & (F.col("trip_id") < at + n))
+        part.select(*[utc_text(c).alias(c) if c.endswith("_datetime") else F.col(c) for c in TRIP_COLUMNS]).coalesce(1).write.mode("append").csv(src)
+        at += n
+    lengths = sorted(os.path.getsize(f) for f in _files(src) if f.endswith(".csv"))
+    limit = lengths[-1] + lengths[0]  # the largest file has room for the smallest only
+    stream = S.read_trip_stream(spark, src, max_bytes_per_trigger=limit)
+    out = scratch_path(spark, "bytes-out")
+    q = S.start(stream, columns.batch_counts_writer(out), "append", scratch_path(spark, "ck"))
+    q.awaitTermination()
+    batches = sorted(r["num_rows"] for r in spark.read.parquet(out).collect())
+    assert batches == [30, 360, 500]  # in order of arrival: 20 + 300 + 40, 500, 30
+    with pytest.raises(ValueError):
+        S.read_trip_stream(spark, src, max_files_per_trigger=1, max_bytes_per_trigger=1)
+
+
+def test_column_streams_join_across_batches(spark):
+    root, out, ck = (scratch_path(spark, x) for x in ("cols", "cols-out", "cols-ck"))
+    ids = spark.range(0, 60, 1, 1).withColumn("chunk", F.expr("id div 20"))
+
+    def put(name, where):
+        text = ids.where(where).select("chunk", F.concat(F.lit(name), F.col("id").cast("string")).alias("value"))
+        text.write.mode("append").partitionBy("chunk").text(f"{root}/{name}")
+
+    def run():
+        lines = {c: columns.read_column_lines(spark, f"{root}/{c}") for c in ("a", "b")}
+        S.start(columns.join_column_streams(lines), "parquet", "append", ck, path=out).awaitTermination()
+        return spark.read.parquet(out).collect()
+
+    put("a", "chunk < 2")
+    put("b", "chunk = 1 AND id < 35")
+    assert sorted(r["a"] for r in run()) == [f"a{i}" for i in range(20, 35)]  # as far as both columns go
+    put("b", "chunk <> 1")
+    put("a", "chunk = 2")
+    rows = run()
+    assert len(rows) == 55 and all(r["a"][1:] == r["b"][1:] for r in rows)
+
+
+def test_fares_match_trips_in_any_order(spark):
+    at = "2013-01-01 00:00:0"
+    trip = [("m1", "h", at + "1", "10"), ("m1", "h", at + "1", "20"), ("m2", "h", at + "2", "30"), (None, "h", at + "3", "40"), ("m9", "h", at + "9", "50")]
+    fare = [("m2", "h", at + "2", "3.0"), ("m1", "h", at + "1", "2.0"), ("m1", "h", at + "1", "1.0"), (None, "h", at + "3", "4.0"), ("m8", "h", at + "8", "5.0")]
+    trips = spark.createDataFrame(trip, "medallion string, hack_license string, pickup_datetime string, trip_time_in_secs string")
+    fares = spark.createDataFrame(fare, "medallion string, hack_license string, pickup_datetime string, fare_amount string")
+    for t, f in ((trips, fares), (trips.orderBy(F.desc("trip_time_in_secs")), fares.orderBy("fare_amount"))):
+        got = match_fares(t, f).select("medallion", "trip_time_in_secs", "fare_amount").collect()
+        want = [("m1", 10, 1.0), ("m1", 20, 2.0), ("m2", 30, 3.0), (None, 40, None), (None, None, 4.0), ("m9", 50, None), ("m8", None, 5.0)]
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert match_fares(trips.limit(0), fares.limit(0)).count() == 0
