@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cabgrid.sources.files import (
     cast_to_schema,
-    limit_per_file,
+    first_rows_per_file,
     read_csv,
     strip_blanks,
     union_all,
@@ -60,9 +60,12 @@ def with_pair_key(df: DataFrame, pair_on: str | None) -> DataFrame:
 
 
 def read_positioned(spark: SparkSession, path: str, pair_on: str | None, rows_per_file: int | None) -> DataFrame:
-    df = with_file_position(read_csv(spark, path, schema=None, header=True))
-    df = with_pair_key(strip_blanks(df), pair_on)
-    return limit_per_file(df, rows_per_file) if rows_per_file is not None else df
+    """A folder's rows with their positions; with ``rows_per_file``, the first rows of each file, the only ones read."""
+    if rows_per_file is not None:
+        df = first_rows_per_file(spark, path, rows_per_file, header=True)
+    else:
+        df = with_file_position(read_csv(spark, path, schema=None, header=True))
+    return with_pair_key(strip_blanks(df), pair_on)
 
 
 def prepare_trips(

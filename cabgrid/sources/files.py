@@ -15,8 +15,11 @@ task ever holds a whole file.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,6 +134,11 @@ def with_file_position(scan: DataFrame, file_col: str = "source_file", pos_col:
     path = scratch_path(spark, "positions")
     base.write.parquet(path)
     base = spark.read.schema(base.schema).parquet(path)
+    return _placed(base, file_col, pos_col)
+
+
+def _placed(base: DataFrame, file_col: str, pos_col: str) -> DataFrame:
+    """Positions in the whole file from ``_rid``, consecutive within a ``_block`` of the file."""
     blocks = base.groupBy(file_col, "_block").agg(
         F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
@@ -145,6 +153,55 @@ def with_file_position(scan: DataFrame, file_col: str = "source_file", pos_col:
     )
 
 
+def first_rows_per_file(
+    spark: SparkSession, path: str, n: int, file_col: str = "source_file", pos_col: str = "row_pos", **options
+) -> DataFrame:
+    """The first ``n`` rows of every CSV file, with file and position as in ``with_file_position``.
+
+    Each file is one task, which stops reading after ``n`` rows; only these
+    rows are written and used. A session of its own holds the two settings
+    that keep a file whole and alone. Part files of a folder are one file:
+    every part gives up to ``n`` rows, and a later part's rows stay only as
+    far as the earlier parts had fewer. (If the settings do not hold, files
+    are read to their end, for the same result.)
+    """
+    alone = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
+    own = spark.newSession()
+    for key, value in alone.items():
+        own.conf.set(key, value)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max(1, min(n, 1000))))  # little is read ahead
+    stops = all(own.conf.get(key) == value for key, value in alone.items())
+    scan = read_csv(own, path, schema=None, **options)
+    block = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    file = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias(file_col)
+    base = scan.select("*", file, block.alias("_block"))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, int] = {}
+        for batch in batches:
+            blocks = pc.struct_field(batch.column("_block"), "path"), pc.struct_field(batch.column("_block"), "start")
+            at = 0
+            while at < batch.num_rows:
+                of = tuple(c[at].as_py() for c in blocks)
+                same = pc.and_(pc.equal(blocks[0], of[0]), pc.equal(blocks[1], of[1])).slice(at)
+                length = pc.index(same, False).as_py()
+                length = len(same) if length < 0 else length
+                done = seen.get(of, 0)
+                keep = batch.slice(at, min(length, n - done))
+                rid = pa.array(range(done, done + keep.num_rows), pa.int64())
+                if keep.num_rows:
+                    yield pa.RecordBatch.from_arrays([*keep.columns, rid], [*batch.schema.names, "_rid"])
+                seen[of] = done + keep.num_rows
+                at += length
+                if stops and seen[of] == n:
+                    return
+
+    schema = T.StructType([*base.schema.fields, T.StructField("_rid", T.LongType())])
+    folder = scratch_path(spark, "first-rows")
+    base.mapInArrow(first, schema).write.parquet(folder)
+    return limit_per_file(_placed(spark.read.schema(schema).parquet(folder), file_col, pos_col), n, pos_col)
+
+
 def limit_per_file(positioned: DataFrame, n: int, pos_col: str = "row_pos") -> DataFrame:
     """The first ``n`` rows of every file (``nrows`` per file of the original)."""
     return positioned.where(F.col(pos_col) < n)
