@@ -158,9 +158,11 @@ def first_rows_per_file(
 ) -> DataFrame:
     """The first ``n`` rows of every CSV file, with file and position as in ``with_file_position``.
 
-    Each file is one task, which stops reading after ``n`` rows; only these
-    rows are written and used. A session of its own holds the two settings
-    that keep a file whole and alone. Part files of a folder are one file:
+    Each file is one task, which takes ``n`` rows and ends; only these rows
+    are written and used. A Python worker that is already running stops the
+    scan soon after them; for one that has to start, Spark was seen to read
+    the file on. A session of its own holds the two settings that keep a file
+    whole and alone. Part files of a folder are one file:
     every part gives up to ``n`` rows, and a later part's rows stay only as
     far as the earlier parts had fewer. (If the settings do not hold, files
     are read to their end, for the same result.)
