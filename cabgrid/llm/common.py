@@ -44,6 +44,17 @@ def join_documents(left: DataFrame, right: DataFrame, how: str = "inner") -> Dat
     return left.join(right, F.expr("id <=> right_id AND th = right_th"), how).drop("right_id", "right_th")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder: its lineage ends here."""
     checkpoint_root(df.sparkSession)
@@ -96,7 +107,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int)
         yield pa.Table.from_batches(held)
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (``src``, ``dst``, non-null longs).
 
     Returns ``node``, ``root`` (the smallest node of its component) for every
@@ -111,7 +122,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     seen = None
-    for _ in range(max_rounds):
+    while True:  # until a round changes nothing
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         if tuple(mark) == seen:
             return now.select(F.col("src").alias("node"), F.col("dst").alias("root")).union(
@@ -131,7 +142,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .where("src <> dst")
             .distinct()
         )
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

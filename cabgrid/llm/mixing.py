@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cabgrid.llm.common import WORD, checkpointed
+from cabgrid.llm.common import WORD, checkpointed, raw_text, unused
 
 #: Seeded positions fall into so many ranges per source; only one of them is sorted.
 RANGES = 1 << 16
+#: Targets of so many sources (some 100 bytes each) may be broadcast.
+FEW_SOURCES = 10_000
 
 
 def words_of(text_col: str = "text") -> Column:
@@ -24,6 +26,11 @@ def words_of(text_col: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def _digest(text_col: str) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(raw_text(text_col))
+
+
 def water_fill(sources: DataFrame, total_share: float, max_epochs: float) -> DataFrame:
     """Adds ``target`` to ``sources`` (``source``, ``weight``, ``source_size``).
 
@@ -57,25 +64,29 @@ def mix(
     max_epochs: float = 2.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``times`` and ``taken``.
+    """Per row of ``docs``: ``doc_id``, ``source``, ``digest``, ``size``, ``source_size``, ``target``, ``times`` and ``taken``.
 
     ``weights`` has one row (``source``, ``weight`` >= 0) per source, null
     included; a source without one weighs nothing. A document is taken
     ``times`` whole times: as often as its target holds the whole source, and
-    once more if its position, a hash of seed and id, comes before the point
+    once more if its position, a hash of seed and id (of the text where there is
+    no id), comes before the point
     where the words up to it reach the fraction left; so the words taken from
     a source miss its target by half a document at most. The point is found
     from sums over ranges of positions; only documents of the one range per
     source that holds it are sorted.
 
     A null or empty text has size 0 and is taken as often as its neighbours;
-    rows that repeat an id share one position, ties in order of size; an empty
-    table gives an empty result.
+    rows that repeat an id share one position, ties in order of size, then
+    digest; an empty table gives an empty result. The targets, a row per
+    source, are broadcast for at most ``FEW_SOURCES`` sources, counted first.
     """
-    at = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    no_id = F.concat(F.lit("null:"), F.md5(raw_text(text_col)))
+    at = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), no_id)))
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
+        _digest(text_col).alias("digest"),
         words_of(text_col).alias("size"),
         F.conv(F.substring(at, 1, 4), 16, 10).cast("int").alias("part"),
         F.substring(at, 5, 28).alias("place"),
@@ -99,9 +110,10 @@ def mix(
     plan = plan.join(
         point.select(F.col("s").alias("p"), "cut", "before"), F.col("s").eqNullSafe(F.col("p")), "left"
     ).drop("p")
-    rows = rows.join(plan, same).drop("s")
-    out = [F.col("id").alias(id_col), "source", "size", "source_size", "target", "times"]
-    edge = F.sum("size").over(W.partitionBy("source").orderBy("place", "size").rowsBetween(W.unboundedPreceding, -1))
+    plan = checkpointed(plan)
+    rows = rows.join(F.broadcast(plan) if plan.count() <= FEW_SOURCES else plan, same).drop("s")
+    out = [F.col("id").alias(id_col), "source", "digest", "size", "source_size", "target", "times"]
+    edge = F.sum("size").over(W.partitionBy("source").orderBy("place", "size", "digest").rowsBetween(W.unboundedPreceding, -1))
     inner = (
         rows.where("part = cut")
         .withColumn("start", F.col("before") + F.coalesce(edge, F.lit(0)))
@@ -127,12 +139,28 @@ def cycled_weights(docs: DataFrame, cycle: list[int], source_col: str = "source"
     return sources.select("source", F.element_at(F.array(*map(F.lit, cycle)), (place % len(cycle) + 1).cast("int")).alias("weight"))
 
 
-def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with each row as many times as ``mixed`` says for its id."""
-    times = mixed.groupBy(F.col(id_col).alias("mixed_id")).agg(F.max("times").alias("mixed_times"))
-    return (
-        docs.join(times, F.col(id_col).eqNullSafe(F.col("mixed_id")))
-        .withColumn("mixed_copy", F.explode(F.sequence(F.lit(1), F.col("mixed_times").cast("int"))))
-        .where("mixed_times > 0")
-        .select(docs.columns)
+def repeated(
+    docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """``docs`` with each row as many times as ``mixed`` (the result of ``mix`` over it) says.
+
+    Rows are told apart by source, id and text. Rows that share all three
+    have the times of all of them dealt out evenly, the odd ones to some.
+    """
+    names = unused(docs, "mix_id", "mix_source", "mix_digest", "mix_times", "mix_rows", "own_digest", "mix_nth", "mix_copy")
+    of_id, of_source, of_digest, times, n_rows, own, nth, copy = names
+    sums = mixed.groupBy(F.col(id_col).alias(of_id), F.col("source").alias(of_source), F.col("digest").alias(of_digest)).agg(
+        F.sum("times").alias(times), F.count(F.lit(1)).alias(n_rows)
     )
+    sums = checkpointed(sums.where(F.col(times) > 0))
+    same = F.col(id_col).eqNullSafe(F.col(of_id)) & F.col(source_col).eqNullSafe(F.col(of_source)) & (F.col(own) == F.col(of_digest))
+    rows = docs.withColumn(own, _digest(text_col))
+    each, odd = F.floor(F.col(times) / F.col(n_rows)), F.col(times) % F.col(n_rows)
+    out = rows.join(sums.where(odd == 0), same).withColumn(copy, each)
+    uneven = sums.where(odd > 0)  # one a source at most: equal rows at the point where its last round ends
+    n_uneven = uneven.count()
+    if n_uneven:
+        number = F.row_number().over(W.partitionBy(of_id, of_source, of_digest).orderBy(F.lit(0)))
+        some = rows.join(F.broadcast(uneven) if n_uneven <= FEW_SOURCES else uneven, same).withColumn(nth, number)
+        out = out.unionByName(some.withColumn(copy, each + (F.col(nth) <= odd).cast("long")).drop(nth).where(F.col(copy) > 0))
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy).cast("int")))).select(docs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from cabgrid.llm.common import checkpointed, raw_text, slices, text_hash
+from cabgrid.llm.common import checkpointed, raw_text, slices, text_hash, unused
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -113,15 +113,13 @@ def quality(
     text_col: str = "text",
     host_col: str = "source",
     min_documents: int = 20,
-    max_share: float = 0.0,
     min_left: float = 0.3,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``text_hash``, ``host``, statistics, ``n_common_words``, ``common_lines``, ``base_failed``, ``kept``.
 
     A normalised line (ASCII lower case, single spaces) is common on a host if
     over ``min_documents`` distinct documents of the host have it, however many
-    documents the host has (a ``max_share`` above 0 asks for over that share of
-    them as well, which spares more lines the larger the host); exact copies count as one document, so that
+    documents the host has; exact copies count as one document, so that
     copying does not make content look like page furniture. A document is
     rejected if fewer than ten words, or less than ``min_left`` of its words,
     are left without its common lines; ``common_lines`` has their hashes (null:
@@ -136,13 +134,10 @@ def quality(
     rows = checkpointed(described(docs, id_col, text_col, _host(host_col)))
     texts = rows.select("host", "digest", F.explode("lines").alias("l")).select("host", "digest", "l.line", "l.words")
     texts = texts.groupBy("host", "digest", "line").agg(F.max("words").alias("words"))
-    size = rows.select("host", "digest").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
     common = (
         texts.groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("documents"))
         .where(F.col("documents") > min_documents)
-        .join(size, "host")
-        .where(F.col("documents") > max_share * F.col("host_documents"))
         .select("host", "line")
     )
     removed = (
@@ -186,11 +181,12 @@ def without_common_lines(
     ``cut`` is null if the document has no common line. A line goes with one
     line end; all else, blank lines too, stays as it is.
     """
-    names = ["quality_id", "quality_hash", "quality_host"]
+    names = unused(docs, "quality_id", "quality_hash", "quality_host", "quality_lines", "own_hash", "own_host")
+    of_id, of_hash, of_host, lines, own_hash, own_host = names
     found = found.select(
-        F.col(id_col).alias(names[0]), F.col("text_hash").alias(names[1]), F.col("host").alias(names[2]), F.col("common_lines").alias("quality_lines")
-    ).dropDuplicates(names)
-    rows = docs.withColumns({"own_hash": text_hash(text_col), "own_host": _host(host_col)})
-    same = F.col(id_col).eqNullSafe(F.col(names[0])) & (F.col("own_hash") == F.col(names[1])) & (F.col("own_host") == F.col(names[2]))
-    cut = F.arrow_udf(_cut, BinaryType())(raw_text(text_col), "quality_lines")
+        F.col(id_col).alias(of_id), F.col("text_hash").alias(of_hash), F.col("host").alias(of_host), F.col("common_lines").alias(lines)
+    ).dropDuplicates(names[:3])
+    rows = docs.withColumns({own_hash: text_hash(text_col), own_host: _host(host_col)})
+    same = F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(own_hash) == F.col(of_hash)) & (F.col(own_host) == F.col(of_host))
+    cut = F.arrow_udf(_cut, BinaryType())(raw_text(text_col), lines)
     return rows.join(found, same).select(*docs.columns, cut.cast("string").alias("cut"))

@@ -37,8 +37,6 @@ WITH w AS (
   SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, five) > 1
 ), repeats AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id
-), hosts AS (
-  SELECT host, no_host, count(DISTINCT text) AS n FROM w GROUP BY ALL
 ), line AS (
   SELECT DISTINCT host, no_host, text, l FROM (
     SELECT host, no_host, text,
@@ -46,8 +44,7 @@ WITH w AS (
              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS l
     FROM w)
 ), common AS (
-  SELECT host, no_host, l FROM line JOIN hosts USING (host, no_host)
-  GROUP BY host, no_host, l, n HAVING count(*) > 20 AND count(*) > 0.1 * n
+  SELECT host, no_host, l FROM line GROUP BY host, no_host, l HAVING count(*) > 20
 ), removed AS (
   SELECT doc_id, sum(len(regexp_extract_all(l, '{WORD}'))) AS n
   FROM (SELECT doc_id, host, no_host,
@@ -90,7 +87,7 @@ FROM marked GROUP BY conv_id
 _OP7 = rf"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS place
+         md5('mix:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))) AS place
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

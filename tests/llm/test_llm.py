@@ -271,6 +271,38 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty, mixing.cycled_weights(empty, [3, 1, 2])).count() == 0
 
 
+def test_repeated_rows_follow_the_mix(spark):
+    """Null and repeated ids in two sources with different targets, equal rows, and columns named as the helpers."""
+    rows = [(None, prose(10, 500 + i % 150), "a", i) for i in range(200)]
+    rows += [(None, prose(10, 500 + i % 150), "b", i) for i in range(120)] + [(1, prose(10, 9), "a", i) for i in range(30)]
+    rows += [(i, prose(10, 700 + i), None, i) for i in range(10)] + [(2, None, "b", 0), (2, "", "b", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_times int")
+    frame = frame.withColumns({"mixed_times": F.lit(1), "mix_copy": F.lit(2), "own_digest": F.lit("x")})
+    mixed = mixing.mix(frame, mixing.cycled_weights(frame, [3, 1, 2]))
+    got = mixing.repeated(frame, mixed)
+    assert got.columns == frame.columns
+    taken = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    words = got.groupBy("source").agg(F.sum(mixing.words_of("text")).alias("n"))
+    assert {r["source"]: r["n"] for r in words.collect()} == taken
+    target = {r["source"]: r["target"] for r in mixed.select("source", "target").distinct().collect()}
+    assert len(set(target.values())) == 3 and all(abs(taken[s] - t) <= 10 for s, t in target.items())
+    count = lambda df, *c: {tuple(r[:-1]): r[-1] for r in df.groupBy(*c).count().collect()}
+    whole = count(frame, "doc_id", "text", "source", "mix_times")
+    assert all(n <= 2 * whole[k] for k, n in count(got, "doc_id", "text", "source", "mix_times").items())
+
+
+def test_common_lines_of_a_large_host_are_cut(spark):
+    """A line in 30 of 400 documents of a host is common, whatever share that is; clashing names do no harm."""
+    line = "All rights reserved by the owners of this page"
+    rows = [(i, prose(40, 2000 + i) + (f"\n{line}" if i < 30 else ""), "big", 1) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, quality_lines int").withColumn("own_hash", F.lit(1))
+    found = quality.quality(frame)
+    assert found.where("n_common_words > 0").count() == 30 and found.where("kept").count() == 400
+    left = quality.without_common_lines(frame, found.where("kept"))
+    assert left.columns == [*frame.columns, "cut"] and left.where("cut IS NOT NULL").count() == 30
+    assert left.where(F.col("cut").contains("rights reserved")).count() == 0
+
+
 def test_water_fill_is_the_fixed_point(spark):
     rows = [("a", 3, 10), ("b", 1, 1000), ("c", 2, 100), (None, 3, 50), ("z", 1, 0)]
     plan = mixing.water_fill(spark.createDataFrame(rows, "source string, weight int, source_size long"), 1.5, 2.0).collect()
