@@ -1,8 +1,8 @@
 """Command line: ``spark-submit -m cabgrid <job> ...`` or ``python -m cabgrid <job> ...``.
 
-    frequent-routes   TRIPS OUT_DIR [--k 10] [--length ...] [--semantics observed] [--input-format csv|parquet]
-    profitable-areas  TRIPS OUT_DIR [--k 10] [--length ...] [--semantics observed] [--input-format csv|parquet]
-    daytime-profile   TRIPS OUT_DIR [--k 10] [--length ...] [--semantics observed] [--input-format csv|parquet]
+    frequent-routes   TRIPS OUT_DIR [--k 10] [--length ... [--slide ...]] [--semantics observed] [--input-format csv|parquet]
+    profitable-areas  TRIPS OUT_DIR [--k 10] [--length ... [--slide ...]] [--semantics observed] [--input-format csv|parquet]
+    daytime-profile   TRIPS OUT_DIR [--k 10] [--length ... [--slide ...]] [--semantics observed] [--input-format csv|parquet]
     prepare           TRIP_DIR FARE_DIR OUT_DIR [--rows-per-file N] [--output-format csv|parquet]
     stream-routes     IN_DIR OUT_DIR CHECKPOINT [--k 10] [--max-files-per-trigger N] [--interval "3 seconds"]
                       [--max-bytes-per-trigger 512m] [--length "30 minutes"] [--watermark "30 minutes" | --no-watermark]
@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("out")
         s.add_argument("--k", type=int, default=10)
         s.add_argument("--length", default=length)
+        s.add_argument("--slide", help="windows every so often; default: one after another")
         s.add_argument("--semantics", choices=("observed", "intended"), default="observed")
         s.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
     s = sub.add_parser("prepare")
@@ -62,11 +63,11 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"cabgrid-{a.job}").getOrCreate()
     if a.job == "frequent-routes":
-        out = jobs.frequent_routes_job(spark, a.trips, a.out, a.k, a.length, a.semantics, a.input_format)
+        out = jobs.frequent_routes_job(spark, a.trips, a.out, a.k, a.length, a.semantics, a.input_format, a.slide)
     elif a.job == "profitable-areas":
-        out = jobs.profitable_areas_job(spark, a.trips, a.out, a.k, a.length, a.semantics, a.input_format)
+        out = jobs.profitable_areas_job(spark, a.trips, a.out, a.k, a.length, a.semantics, a.input_format, a.slide)
     elif a.job == "daytime-profile":
-        out = jobs.daytime_profile_job(spark, a.trips, a.out, a.k, a.length, a.semantics, a.input_format)
+        out = jobs.daytime_profile_job(spark, a.trips, a.out, a.k, a.length, a.semantics, a.input_format, a.slide)
     elif a.job == "prepare":
         out = jobs.prepare_job(spark, a.trip_dir, a.fare_dir, a.out, a.rows_per_file, a.output_format)
     elif a.job == "stream-open":

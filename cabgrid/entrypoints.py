@@ -189,6 +189,15 @@ def profitable_cells_sliding(spark, sf):
     return Q.profitable_cells(_trips(spark, sf), K, max_secs=None, semantics="intended", slide="5 minutes")
 
 
+def empty_cabs_sliding(spark, sf):
+    return areas.empty_cabs(_trips(spark, sf), slide="5 minutes")
+
+
+def profitability_sliding(spark, sf):
+    """The observed rule over 15 minutes, every 5 minutes."""
+    return areas.profitability(_trips(spark, sf), slide="5 minutes")
+
+
 # --- time-of-day profiles --------------------------------------------------
 
 
@@ -488,6 +497,8 @@ QUERIES = {
         empty_taxis_intended,
         profitable_cells_intended,
         profitable_cells_sliding,
+        empty_cabs_sliding,
+        profitability_sliding,
         route_daytime_profile,
         busiest_times,
         cell_daytime_profile,

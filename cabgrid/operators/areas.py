@@ -137,18 +137,38 @@ def _record(time: str, axes, kind: int, value: str) -> str:
     )
 
 
+def _sliding(records: DataFrame, length: str, slide: str) -> DataFrame:
+    """A row per window that counts a record: drop-offs before its end, pickups from its start on.
+
+    ``records`` are counted by panes of one slide already, where windows are
+    whole numbers of slides (``window``: a pane's end, or its start for pickups).
+    """
+    reach = F.timestamp_add("MICROSECOND", F.lit(micros(slide) - micros(length)), "window")
+    ahead = pane_windows("window", length, slide)
+    behind = F.sequence(reach, F.col("window"), F.expr(f"INTERVAL {micros(slide)} MICROSECONDS"))
+    return records.withColumn("window", F.explode(F.when(F.col("kind") == _PICK, behind).otherwise(ahead)))
+
+
 def area_stats(
     trips: DataFrame,
     length: str = AREA_WINDOW,
     max_secs: int | None = SHORT_TRIP_SECS,
     with_profit: bool = True,
     semantics: str = "observed",
+    slide: str | None = None,
 ) -> DataFrame:
     """Drop-offs, next-window pickups and profit per (window, cell), from one scan.
 
     Output: ``window, east, south, dropoff_count, pickup_count`` and, with
     profit, ``n_profit`` (trips behind the median) and ``profit``. A trip
     counts on each side that has a time.
+
+    With ``slide``, windows of ``length`` start every ``slide``: a window
+    counts drop-offs in the ``length`` before its end T and pickups in the
+    ``length`` from T on. Where windows are whole numbers of slides, records
+    are counted once by panes of one slide, and the counts are copied into
+    their windows. Otherwise no window starts where another one ends, so no
+    pickup window meets a drop-off window, as in the original's join.
     """
     drop = _record("dropoff_datetime", END_AXES, _DROP, "NULL")
     pick = _record("pickup_datetime", START_AXES, _PICK, "NULL")
@@ -160,19 +180,27 @@ def area_stats(
     kinds = {"dropoff_count": _DROP, "pickup_count": _PICK} | ({"n_profit": _PROFIT} if with_profit else {})
     counts = [F.expr(f"count_if(kind = {kind})").alias(name) for name, kind in kinds.items()]
     # Each record has its own time, so a trip without a pickup time still counts as a drop-off.
-    records = in_grid_trips(trips, semantics).selectExpr(f"inline({recs})").withColumn("_win", F.window("time", length))
+    panes = slide is not None and micros(length) % micros(slide) == 0
+    records = in_grid_trips(trips, semantics).selectExpr(f"inline({recs})")
+    records = records.withColumn("_win", F.window("time", slide if panes else length, slide))
     window = F.when(F.col("kind") == _PICK, F.col("_win.start")).otherwise(F.col("_win.end"))
     records = records.withColumn("window", window)
+    sums = [F.sum(name).alias(name) for name in kinds]
+    if panes and length != slide:
+        by_pane = records.groupBy(*_KEY, "kind", "revenue").agg(F.count(F.lit(1)).alias("n"))
+        records = _sliding(by_pane, length, slide)
+        counts = [F.expr(f"sum(if(kind = {kind}, n, 0))").alias(name) for name, kind in kinds.items()]
     if not with_profit:
         return records.groupBy(*_KEY).agg(*counts)
     by_amount = records.groupBy(*_KEY, "revenue").agg(*counts)
-    sums = [F.sum(name).alias(name) for name in kinds]
     return median_of_counts(by_amount, _KEY, "revenue", "n_profit", *sums, name="profit")
 
 
-def empty_cabs(trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "observed") -> DataFrame:
-    """``window, cell, empty_cabs`` where drop-offs exceed next-window pickups."""
-    stats = area_stats(trips, length, with_profit=False, semantics=semantics)
+def empty_cabs(
+    trips: DataFrame, length: str = AREA_WINDOW, semantics: str = "observed", slide: str | None = None
+) -> DataFrame:
+    """``window, cell, empty_cabs`` where drop-offs exceed next-window pickups; ``slide`` as in ``area_stats``."""
+    stats = area_stats(trips, length, with_profit=False, semantics=semantics, slide=slide)
     return stats.where(f"{_EMPTY} > 0").selectExpr("window", _CELL_SQL, f"{_EMPTY} AS empty_cabs")
 
 
@@ -245,8 +273,9 @@ def profitability(
 
     ``observed`` counts empty cabs as drop-offs minus next-window pickups
     (fused single aggregate); ``intended`` uses ``empty_taxis``. With
-    ``slide`` (intended only), both are evaluated every ``slide``: profit
-    over the last ``length``, empty taxis over the last ``horizon`` (D5).
+    ``slide``, both are evaluated every ``slide``: profit over the last
+    ``length``, empty cabs as in ``area_stats`` (observed) or empty taxis
+    over the last ``horizon`` (intended, D5).
     """
     if semantics == "intended":
         # Both aggregates are partitioned by these keys already: the join shuffles nothing again.
@@ -255,9 +284,7 @@ def profitability(
         return empty.join(profit, _KEY).select(
             "window", _cell(), (F.col("profit") / F.col("empty_cabs")).alias("profitability")
         )
-    if slide is not None:
-        raise ValueError("observed empty cabs pair each window with the next one; slide needs semantics='intended'")
-    stats = area_stats(trips, length, max_secs, True, semantics)
+    stats = area_stats(trips, length, max_secs, True, semantics, slide)
     return stats.where(f"{_EMPTY} > 0 AND n_profit > 0").selectExpr(
         "window", _CELL_SQL, f"profit / {_EMPTY} AS profitability"
     )

@@ -198,6 +198,30 @@ topc AS (
   WHERE rn <= {k})"""
 
 
+def _areas_sliding(length: int = 15, step: int = 5) -> str:
+    """The observed rule over ``length`` minutes, every ``step`` minutes: drop-offs before T, pickups from T on."""
+    return f"""
+dwin AS (
+  SELECT {_in_windows("dropoff_datetime", step, length)} AS "window", {_cell("ee", "es")} AS cell FROM ig),
+pwin AS (
+  SELECT {_in_windows("pickup_datetime", step, length)} AS window_end, {_cell("se", "ss")} AS cell FROM ig),
+rwin AS (
+  SELECT {_in_windows("dropoff_datetime", step, length)} AS "window", {_cell("se", "ss")} AS cell,
+    fare_amount + tip_amount AS revenue
+  FROM ig WHERE trip_time_in_secs <= 900),
+drops AS (SELECT "window", cell, count(*) AS n FROM dwin GROUP BY ALL),
+picks AS (SELECT window_end - INTERVAL '{length} minutes' AS "window", cell, count(*) AS n FROM pwin GROUP BY ALL),
+empty AS (
+  SELECT d."window", d.cell, d.n - coalesce(p.n, 0) AS empty_cabs
+  FROM drops d LEFT JOIN picks p ON d."window" = p."window" AND d.cell = p.cell
+  WHERE d.n > coalesce(p.n, 0)),
+profit AS (
+  SELECT "window", cell, quantile_disc(revenue, 0.5) AS profit FROM rwin GROUP BY ALL),
+prof AS (
+  SELECT e."window", e.cell, p.profit / e.empty_cabs AS profitability
+  FROM empty e JOIN profit p ON e."window" = p."window" AND e.cell = p.cell)"""
+
+
 # Sliding 30 minute windows every 15 minutes: two window ends per trip.
 RC_SLIDING = f"""
 rc AS (
@@ -286,6 +310,8 @@ ORACLE_SQL = {
     + "SELECT * FROM topc",
     "profitable_cells_sliding": _with(TRIPS, _grid(True), _empty_intended(5, 30), _areas_intended(10, 15, 5))
     + "SELECT * FROM topc",
+    "empty_cabs_sliding": _with(TRIPS, _grid(), _areas_sliding()) + "SELECT * FROM empty",
+    "profitability_sliding": _with(TRIPS, _grid(), _areas_sliding()) + "SELECT * FROM prof",
     "empty_taxis_intended": _with(TRIPS, _grid(True), _empty_intended()) + "SELECT * FROM empty",
     "topk_routes_sliding": _with(TRIPS, _grid(), RC_SLIDING) + TOPK_ROUTES.format(k=10) + "\nSELECT * FROM topk",
     # time-of-day profiles

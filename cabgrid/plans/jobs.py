@@ -43,11 +43,12 @@ def frequent_routes_job(
     length: str = routes.ROUTE_WINDOW,
     semantics: str = "observed",
     input_format: str = "csv",
+    slide: str | None = None,
 ) -> dict[str, str]:
     """Q1 + Q1b: ``<out>/rankings`` (route, count, rank, window_end) and
     ``<out>/window_counts`` (route, count, trips_per_window, window_end)."""
     trips = read_trips(spark, trips_path, input_format)
-    counts = _reliable(routes.route_counts(trips, length, semantics=semantics))
+    counts = _reliable(routes.route_counts(trips, length, slide, semantics))
     outputs = {"rankings": f"{out_dir}/rankings", "window_counts": f"{out_dir}/window_counts"}
     write_csv(routes.topk_routes(counts, k), outputs["rankings"], order_by=["window_end", "rank"], **_OUT)
     write_csv(routes.window_trip_totals(counts, semantics), outputs["window_counts"], order_by=["window_end"], **_OUT)
@@ -62,12 +63,13 @@ def profitable_areas_job(
     length: str = areas.AREA_WINDOW,
     semantics: str = "observed",
     input_format: str = "csv",
+    slide: str | None = None,
 ) -> dict[str, str]:
     """Q2 + Q2b: ``<out>/profitability`` (window, cell, profitability, rank) and
     ``<out>/profitability_per_window`` (window, avg_profitability)."""
     trips = read_trips(spark, trips_path, input_format)
     max_secs = areas.SHORT_TRIP_SECS if semantics == "observed" else None
-    prof = _reliable(areas.profitability(trips, length, max_secs, semantics=semantics))
+    prof = _reliable(areas.profitability(trips, length, max_secs, semantics=semantics, slide=slide))
     outputs = {
         "profitability": f"{out_dir}/profitability",
         "profitability_per_window": f"{out_dir}/profitability_per_window",
@@ -85,9 +87,10 @@ def daytime_profile_job(
     length: str = routes.ROUTE_WINDOW,
     semantics: str = "observed",
     input_format: str = "csv",
+    slide: str | None = None,
 ) -> str:
     """Q3: ``endtime, route, avg_count, local_rank`` per time of day, as sorted CSV."""
-    counts = routes.route_counts(read_trips(spark, trips_path, input_format), length, semantics=semantics)
+    counts = routes.route_counts(read_trips(spark, trips_path, input_format), length, slide, semantics)
     profile = profiles.route_daytime_profile(routes.topk_routes(counts, k), k)
     write_csv(profile, out_dir, order_by=["endtime", "local_rank"])
     return out_dir

@@ -24,10 +24,10 @@ def frequent_routes(
 
 
 def window_trip_totals(
-    trips: DataFrame, length: str = routes.ROUTE_WINDOW, semantics: str = "observed"
+    trips: DataFrame, length: str = routes.ROUTE_WINDOW, semantics: str = "observed", slide: str | None = None
 ) -> DataFrame:
     """``route, count, trips_per_window, window_end``, one row per window."""
-    return routes.window_trip_totals(routes.route_counts(trips, length, semantics=semantics), semantics)
+    return routes.window_trip_totals(routes.route_counts(trips, length, slide, semantics), semantics)
 
 
 def profitable_cells(
@@ -47,9 +47,11 @@ def profitability_per_window(
     length: str = areas.AREA_WINDOW,
     max_secs: int | None = areas.SHORT_TRIP_SECS,
     semantics: str = "observed",
+    slide: str | None = None,
 ) -> DataFrame:
     """``window, avg_profitability``."""
-    return areas.profitability_per_window(areas.profitability(trips, length, max_secs, semantics=semantics))
+    prof = areas.profitability(trips, length, max_secs, semantics=semantics, slide=slide)
+    return areas.profitability_per_window(prof)
 
 
 def daytime_profile(trips: DataFrame, k: int = 10, length: str = routes.ROUTE_WINDOW) -> DataFrame:

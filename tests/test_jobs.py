@@ -52,6 +52,18 @@ def test_profitable_areas_job_via_cli(spark, trips_small):
     assert _same(r(per), r(want))
 
 
+def test_sliding_jobs_via_cli(spark, trips_small):
+    fmt, files = {"timestampNTZFormat": OUTPUT_TS_FORMAT}, _trip_files(spark, trips_small)
+    out = scratch_path(spark, "job-out")
+    main(["profitable-areas", files, f"{out}/q2", "--slide", "5 minutes"])
+    top = read_csv(spark, f"{out}/q2/profitability", T._parse_datatype_string(PROF_SCHEMA), **fmt)
+    assert _same(top, Q.profitable_cells(trips_small, slide="5 minutes"))
+    main(["frequent-routes", files, f"{out}/q1", "--slide", "15 minutes"])
+    assert _same(read_csv(spark, f"{out}/q1/rankings", RANKING_SCHEMA, **fmt), Q.frequent_routes(trips_small, slide="15 minutes"))
+    totals = read_csv(spark, f"{out}/q1/window_counts", T._parse_datatype_string(TOTALS_SCHEMA), **fmt)
+    assert _same(totals, Q.window_trip_totals(trips_small, slide="15 minutes"))
+
+
 def test_stream_routes_job(spark, trips_small):
     from cabgrid.sources import fixture
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from cabgrid.operators import areas, cells, routes
@@ -71,6 +72,16 @@ def test_fused_areas_equal_separate_aggregates(trips_small):
     assert fused_prof.exceptAll(prof).count() == 0 and prof.exceptAll(fused_prof).count() == 0
 
 
+@pytest.mark.parametrize("slide", ["5 minutes", "10 minutes", "15 minutes"])
+def test_sliding_empty_cabs_equal_a_join_of_windows(trips_small, slide):
+    t = cells.with_cells(cells.in_grid_trips(trips_small))
+    drops = t.groupBy(F.window("dropoff_datetime", "15 minutes", slide).end.alias("window"), F.col("cell_end").alias("cell")).agg(F.count("*").alias("d"))
+    picks = t.groupBy(F.window("pickup_datetime", "15 minutes", slide).start.alias("window"), F.col("cell_start").alias("cell")).agg(F.count("*").alias("p"))
+    want = drops.join(picks, ["window", "cell"], "left").na.fill(0, ["p"]).selectExpr("window", "cell", "d - p AS empty_cabs").where("empty_cabs > 0")
+    got = areas.empty_cabs(trips_small, slide=slide)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() > 0
+
+
 def test_profitability_positive_and_topk_bounded(trips_small):
     top = Q.profitable_cells(trips_small, 3)
     assert top.where((F.col("rank") > 3) | (F.col("profitability") <= 0)).count() == 0
