@@ -19,7 +19,8 @@ WITH p AS (
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to,
-       'urn:capture:request:' || page_id AS request_id, 'urn:capture:metadata:' || page_id AS metadata_id
+       'urn:capture:request:' || page_id || ':' || payload_digest[1:32] AS request_id,
+       'urn:capture:metadata:' || page_id || ':' || payload_digest[1:32] AS metadata_id
 FROM d
 """
 

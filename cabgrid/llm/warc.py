@@ -55,10 +55,13 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
     Of rows with equal payloads of at least ``MIN_REVISIT_BYTES`` bytes, the
     one with the smallest id is the response and the others revisit it. A null
-    payload is empty, a null url is left out. Rows that repeat an id and
-    payload count as one capture; the id null is larger than any other. The
-    smallest id comes from an aggregate that combines map-side; the join back
-    is on the digest, where adaptive execution splits a hot one.
+    payload is empty, a null url is left out. A record's id holds the row's id
+    and half of its payload's digest, so rows that repeat an id with another
+    payload are captures of their own. Rows that repeat an id and a payload
+    give records of one id, which ``transactions`` reads as one capture; the
+    id null is larger than any other. The smallest id comes from an aggregate
+    that combines map-side; the join back is on the digest, where adaptive
+    execution splits a hot one.
     """
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(
@@ -71,7 +74,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     large = F.octet_length("payload") >= MIN_REVISIT_BYTES
     first = rows.where(large).groupBy("digest").agg(F.min("order").alias("first"))
     rows = rows.join(first, "digest", "left")
-    uuid = lambda kind, name: F.concat(F.lit(f"urn:capture:{kind}:"), name)
+    uuid = lambda kind, name: F.concat(F.lit(f"urn:capture:{kind}:"), name, F.lit(":"), F.substring("digest", 1, 32))
     target = ("WARC-Target-URI", F.col("url"))
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")))
     concurrent = ("WARC-Concurrent-To", F.concat(F.lit("<"), uuid("response", F.col("name")), F.lit(">")))
@@ -196,16 +199,22 @@ def transactions(found: DataFrame, with_payload: bool = True) -> DataFrame:
     metadata records join their response or revisit through
     ``concurrent_to``; a capture without one of them has null there, of
     several the one with the smallest record id counts, and records that name
-    no response that exists are left out.
+    no response that exists are left out. Responses or revisits that repeat a
+    record id are one capture: the one with the smallest type and target,
+    null first, counts. (A revisit repeats what is stored elsewhere, so a
+    record id that has both is read as its response.)
     """
     keep = [c for c in found.columns if with_payload or c != "payload"]
-    answers = found.where(F.col("record_type").isin("response", "revisit")).select(
-        F.col("record_id").alias("capture_id"), F.struct(*keep).alias("response")
+    answers = found.where(F.col("record_type").isin("response", "revisit"))
+    answers = answers.groupBy(F.col("record_id").alias("capture_id")).agg(
+        F.min_by(F.struct(*keep), F.struct("record_type", "target_uri")).alias("response")
     )
     for kind in ("request", "metadata"):
         side = found.where((F.col("record_type") == kind) & F.col("concurrent_to").isNotNull())
         side = side.groupBy(F.col("concurrent_to").alias("capture_id")).agg(
-            F.min_by(F.struct("record_id", "target_uri", "headers", "http_head", "payload"), "record_id").alias(kind)
+            F.min_by(
+                F.struct("record_id", "target_uri", "headers", "http_head", "payload"), F.struct("record_id", "target_uri")
+            ).alias(kind)
         )
         answers = answers.join(side, "capture_id", "left")
     return answers

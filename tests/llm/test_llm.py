@@ -143,20 +143,48 @@ def test_warc_round_trip(spark):
     warc.write_archives(pages, path, archives=3)
     found = warc.read_records(spark, path)
     assert found.count() == 3 * len(rows)
-    got = {int(r["capture_id"].split(":")[-1]): r for r in warc.transactions(found).collect()}
+    got = {int(r["capture_id"].split(":")[-2]): r for r in warc.transactions(found).collect()}
     for i, _, html in rows:
         r, raw = got[i], (html or "").encode()
         a = r["response"]
         assert (a["payload_bytes"], a["payload_digest"]) == (len(raw), hashlib.sha256(raw).hexdigest())
         assert a["record_type"] == ("revisit" if i in (5, 7, 8) else "response")
         assert (bytes(a["payload"]) == raw) == (a["record_type"] == "response")
-        assert r["request"]["record_id"].endswith(f":{i}") and r["metadata"]["record_id"].endswith(f":{i}")
+        name = f":{i}:{hashlib.sha256(raw).hexdigest()[:32]}"
+        assert r["request"]["record_id"].endswith(name) and r["metadata"]["record_id"].endswith(name)
     assert got[7]["response"]["refers_to"] == got[4]["capture_id"] and got[8]["response"]["refers_to"] == got[6]["capture_id"]
     warc.write_archives(pages.limit(0), scratch_path(spark, "warc-empty"))
     orphan = found.where("record_type <> 'metadata'").unionByName(found.where("record_type = 'request'"))
     assert {r["metadata"] for r in warc.transactions(orphan).collect()} == {None}
 
 
+def test_warc_repeated_and_missing_ids(spark):
+    """One capture per id and payload; null ids, empty tables and columns with the names of the operator's own."""
+    big, other = "y" * 120, "z" * 120
+    rows = [(1, "http://b/", big), (1, "http://b/", big), (1, "http://a/", big), (1, "http://b/", other), (2, None, other)]
+    rows += [(None, "http://n/", big), (None, "http://n/", other), (None, "http://n/", None), (None, "http://n/", None), (3, "http://c/", "")]
+    pages = spark.createDataFrame([(*r, "x", "y", 5) for r in rows], "page_id long, url string, html string, name string, digest string, first int")
+    path = scratch_path(spark, "warc-repeats")
+    pages.write.parquet(f"{path}/pages.parquet")
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    want = sorted(
+        [(1, sha(big), "response", None), (1, sha(other), "response", None), (2, sha(other), "revisit", 1), (3, sha(""), "response", None),
+         (-1, sha(big), "revisit", 1), (-1, sha(other), "revisit", 1), (-1, sha(None), "response", None)], key=str
+    )
+    got = QUERIES["op3_warc"](spark, path).collect()
+    each = [(-1 if r["page_id"] is None else r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got]
+    assert sorted(each, key=str) == want
+    assert len({r["request_id"] for r in got}) == len({r["metadata_id"] for r in got}) == len(want)
+    out = scratch_path(spark, "warc-repeats")
+    warc.write_archives(pages, out)
+    found = warc.transactions(warc.read_records(spark, out)).collect()
+    uris = {r["capture_id"]: (r["response"]["target_uri"], r["request"]["target_uri"], r["metadata"]["target_uri"]) for r in found}
+    assert uris[f"urn:capture:response:1:{sha(big)[:32]}"] == ("http://a/",) * 3  # of several targets the smallest
+    none = scratch_path(spark, "warc-none")
+    pages.limit(0).write.parquet(f"{none}/pages.parquet")
+    assert QUERIES["op3_warc"](spark, none).count() == 0
+
+
 def test_quality_rules(docs, empty, spark):
     got = quality.quality(docs).collect()
     assert len(got) == docs.count()
