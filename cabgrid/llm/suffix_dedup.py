@@ -265,11 +265,11 @@ def _column_matches(windows: DataFrame) -> DataFrame:
 
 
 def _members(docs: DataFrame) -> DataFrame:
-    """``id``, ``th`` and ``found`` of the texts with anchors whose hash recurs.
+    """``id``, ``th``, ``every`` and ``found`` of the texts with anchors whose hash recurs.
 
-    ``found`` lists (pos, h, digest, several, parts) per anchor: ``h`` and
-    ``digest`` are null if all strings of the window recur, and ``parts`` is
-    null unless this window stands for its class in the comparison.
+    ``every`` lists the places of anchors where all strings of the window
+    recur. ``found`` lists (pos, h, digest, several, parts) of the others:
+    ``parts`` is null unless this window stands for its class in the comparison.
     """
     anchors = find_anchors(docs)
     twice = count_anchors(docs).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
@@ -292,7 +292,10 @@ def _members(docs: DataFrame) -> DataFrame:
         F.when(F.col("stands") == F.xxhash64("id", "th", "pos"), F.col("parts")).alias("parts"),
     )
     joined = members.join(open_classes, (members["h"] == F.col("h2")) & (members["digest"] == F.col("digest2")), "left")
-    return joined.groupBy("id", "th").agg(F.collect_set(entry).alias("found"))
+    settled = F.col("h2").isNull()
+    return joined.groupBy("id", "th").agg(
+        F.collect_set(F.when(settled, F.col("pos"))).alias("every"), F.collect_set(F.when(~settled, entry)).alias("found")
+    )
 
 
 def _matches(texts: DataFrame) -> DataFrame:
@@ -345,15 +348,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = _members(docs)
     texts = join_documents(docs, members)
     texts = written(texts, "repeats")
-    opened = texts.select("id", "th", F.explode("found").alias("a")).where("a.h IS NOT NULL")
+    opened = texts.select("id", "th", F.explode("found").alias("a"))
     marks = opened.select("id", "th", "a.pos", "a.h", "a.digest").join(_matches(texts), ["h", "digest"])
     # the first byte of a run of strings and their number, as one number
     mark = f"transform(runs, r -> CAST(pos - {STRINGS - 1} + r.first AS bigint) * 256 + r.after - r.first)"
     marks = marks.groupBy("id", "th").agg(F.array_distinct(F.flatten(F.collect_list(F.expr(mark)))).alias("marks"))
-    every = F.expr("transform(filter(found, x -> x.h IS NULL), x -> x.pos)").alias("every")
-    mixed = F.exists("found", lambda x: x["h"].isNotNull())
-    marked = join_documents(texts.where(mixed).select("id", "th", "raw", every), marks, "left")
-    settled = texts.where(~mixed).select("id", "th", "raw", every, F.lit(None).cast("array<bigint>").alias("marks"))
+    mixed = F.size("found") > 0
+    marked = join_documents(texts.where(mixed).select("id", "th", "raw", "every"), marks, "left")
+    settled = texts.where(~mixed).select("id", "th", "raw", "every", F.lit(None).cast("array<bigint>").alias("marks"))
     marked = marked.unionByName(settled).withColumn("marks", F.coalesce("marks", F.array().cast("array<bigint>")))
     id_type = docs.schema["id"].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
