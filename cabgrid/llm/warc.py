@@ -50,9 +50,18 @@ def _line(col: Column) -> Column:
     return F.regexp_replace(col, r"[\r\n]+", " ")
 
 
-def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+def records(
+    pages: DataFrame,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    payload_col: str = "html",
+    tasks: int | None = None,
+) -> DataFrame:
     """``value``: the text of each record, three per row of ``pages``.
 
+    With ``tasks``, rows are dealt in turn to so many tasks before their
+    records are written out, so that headers are not shuffled.
+
     Of rows with equal payloads of at least ``MIN_REVISIT_BYTES`` bytes, the
     one with the smallest id is the response and the others revisit it. A null
     payload is empty, a null url is left out. A record's id holds the row's id
@@ -74,6 +83,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     large = F.octet_length("payload") >= MIN_REVISIT_BYTES
     first = rows.where(large).groupBy("digest").agg(F.min("order").alias("first"))
     rows = rows.join(first, "digest", "left")
+    rows = rows.repartition(tasks) if tasks else rows
     uuid = lambda kind, name: F.concat(F.lit(f"urn:capture:{kind}:"), name, F.lit(":"), F.substring("digest", 1, 32))
     target = ("WARC-Target-URI", F.col("url"))
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")))
@@ -123,12 +133,12 @@ def write_archives(
 
     Without a number of ``archives``, they get about ``ARCHIVE_BYTES`` of
     payload each, so the number grows with the input and a reader's task
-    stays bounded. Records are dealt out in turn, not by a key.
+    stays bounded. Captures are dealt out in turn, not by a key.
     """
     if archives is None:
         size = pages.agg(F.sum(F.octet_length(F.col(payload_col).cast("string")))).first()[0] or 0
         archives = max(1, -(-size // ARCHIVE_BYTES), pages.sparkSession.sparkContext.defaultParallelism)
-    texts = records(pages, id_col, url_col, payload_col).repartition(archives)
+    texts = records(pages, id_col, url_col, payload_col, archives)
     texts.write.option("lineSep", CRLF).option("compression", "gzip").text(path)
 
 
