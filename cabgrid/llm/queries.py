@@ -46,7 +46,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     page = lambda col: F.element_at(F.split(col, ":"), -2).try_cast("long")
-    return warc.transactions(warc.read_records(spark, path), with_payload=False).select(
+    fields = ["record_id", "record_type", "payload_digest", "payload_bytes", "refers_to"]
+    return warc.transactions(warc.read_records(spark, path), fields).select(
         page(F.col("capture_id")).alias("page_id"),
         "response.payload_bytes",
         "response.payload_digest",

@@ -202,9 +202,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, RECORD_SCHEMA)
 
 
-def transactions(found: DataFrame, with_payload: bool = True) -> DataFrame:
+def transactions(found: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """One nested row per capture: ``capture_id``, ``response``, ``request`` and ``metadata`` structs.
 
+    The structs hold the columns of ``found`` in ``fields`` (default: all);
+    only these are shuffled.
     ``found`` are records as ``read_records`` gives them. Requests and
     metadata records join their response or revisit through
     ``concurrent_to``; a capture without one of them has null there, of
@@ -214,17 +216,15 @@ def transactions(found: DataFrame, with_payload: bool = True) -> DataFrame:
     null first, counts. (A revisit repeats what is stored elsewhere, so a
     record id that has both is read as its response.)
     """
-    keep = [c for c in found.columns if with_payload or c != "payload"]
+    keep = F.struct(*(found.columns if fields is None else fields))
     answers = found.where(F.col("record_type").isin("response", "revisit"))
     answers = answers.groupBy(F.col("record_id").alias("capture_id")).agg(
-        F.min_by(F.struct(*keep), F.struct("record_type", "target_uri")).alias("response")
+        F.min_by(keep, F.struct("record_type", "target_uri")).alias("response")
     )
     for kind in ("request", "metadata"):
         side = found.where((F.col("record_type") == kind) & F.col("concurrent_to").isNotNull())
         side = side.groupBy(F.col("concurrent_to").alias("capture_id")).agg(
-            F.min_by(
-                F.struct("record_id", "target_uri", "headers", "http_head", "payload"), F.struct("record_id", "target_uri")
-            ).alias(kind)
+            F.min_by(keep, F.struct("record_id", "target_uri")).alias(kind)
         )
         answers = answers.join(side, "capture_id", "left")
     return answers
