@@ -78,32 +78,40 @@ def records(
         F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("order"),
         _line(F.col(url_col).cast("string")).alias("url"),
         payload.alias("payload"),
-        F.sha2(payload.cast("binary"), 256).alias("digest"),
+        F.unhex(F.sha2(payload.cast("binary"), 256)).alias("digest"),
     )
     large = F.octet_length("payload") >= MIN_REVISIT_BYTES
     first = rows.where(large).groupBy("digest").agg(F.min("order").alias("first"))
-    rows = rows.join(first, "digest", "left")
+    first_name = F.when(F.col("first") == (1 << 63) - 1, F.lit("null")).otherwise(F.col("first").cast("string"))
+    revisit = F.coalesce(F.col("order") != F.col("first"), F.lit(False))
+    rows = rows.join(first, "digest", "left").select(
+        "name",
+        "url",
+        "digest",
+        F.octet_length("payload").alias("size"),
+        F.when(~revisit, F.col("payload")).alias("payload"),  # a revisit stores none
+        F.when(revisit, first_name).alias("first"),
+    )
     rows = rows.repartition(tasks) if tasks else rows
+    rows = rows.withColumn("digest", F.lower(F.hex("digest")))
     uuid = lambda kind, name: F.concat(F.lit(f"urn:capture:{kind}:"), name, F.lit(":"), F.substring("digest", 1, 32))
     target = ("WARC-Target-URI", F.col("url"))
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")))
     concurrent = ("WARC-Concurrent-To", F.concat(F.lit("<"), uuid("response", F.col("name")), F.lit(">")))
-    first_name = F.when(F.col("first") == (1 << 63) - 1, F.lit("null")).otherwise(F.col("first").cast("string"))
-    refers = ("WARC-Refers-To", F.concat(F.lit("<"), uuid("response", first_name), F.lit(">")))
+    refers = ("WARC-Refers-To", F.concat(F.lit("<"), uuid("response", F.col("first")), F.lit(">")))
     profile = ("WARC-Profile", F.lit(REVISIT_PROFILE))
     http = ("Content-Type", F.lit("application/http"))
     head = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
-        F.octet_length("payload").cast("string"),
+        F.col("size").cast("string"),
         F.lit(CRLF + CRLF),
     )
     path = F.coalesce(F.regexp_extract("url", r"^[a-z]+://[^/]*(/.*)$", 1), F.lit("/"))
     ask = F.concat(F.lit("GET "), F.when(path == "", "/").otherwise(path), F.lit(f" HTTP/1.1{CRLF}{CRLF}"))
     note = F.concat(F.lit("fetched: "), F.coalesce("url", F.lit("")), F.lit(CRLF))
     name = F.col("name")
-    revisit = F.coalesce(F.col("order") != F.col("first"), F.lit(False))
     answer = F.when(
-        revisit, _record("revisit", uuid("response", name), [target, digest, refers, profile, http], head)
+        F.col("first").isNotNull(), _record("revisit", uuid("response", name), [target, digest, refers, profile, http], head)
     ).otherwise(_record("response", uuid("response", name), [target, digest, http], F.concat(head, F.col("payload"))))
     return rows.select(
         F.explode(
@@ -205,9 +213,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def transactions(found: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """One nested row per capture: ``capture_id``, ``response``, ``request`` and ``metadata`` structs.
 
-    The structs hold the columns of ``found`` in ``fields`` (default: all);
-    only these are shuffled.
-    ``found`` are records as ``read_records`` gives them. Requests and
+    ``found`` are records as ``read_records`` gives them; the structs hold its
+    columns in ``fields`` (default: all). Requests and
     metadata records join their response or revisit through
     ``concurrent_to``; a capture without one of them has null there, of
     several the one with the smallest record id counts, and records that name
