@@ -5,16 +5,20 @@ is the sum of the conditional log-probabilities of all its words. The
 vocabulary is every word of all documents with its count: the most frequent
 words have ids of their own in the network, all others share hash buckets, and
 a word of a bucket has its count's share of the bucket's probability. The
-counts stay a table that is joined to the words. The network is embeddings of the window, one hidden layer, and a softmax in two steps, class
-and word of the class. Training is data-parallel: each task trains its copy on
-masked positions of all its documents, and the copies' weighted mean starts the
-next round.
+counts stay a table that is joined to the words. The network is embeddings of
+the window, one hidden layer, and a softmax in two steps, class and word of the
+class. Training is data-parallel: documents are dealt to shards of a bounded
+number of words by a hash, a copy of the network is trained on masked positions
+of each shard in a fixed order, and the copies' weighted mean starts the next
+round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +46,18 @@ class Settings:
     rounds: int = 2
     step: float = 0.08
     batch: int = 4096
+    shard: int = 1 << 21  #: words that a copy of the network is trained on, about
+    known: int = 1 << 16  #: most frequent words whose counts each task holds at most; the others' are joined
     seed: int = 11
 
     @property
     def ids(self) -> int:
         return self.classes**2
 
+    @property
+    def id_type(self) -> np.dtype:
+        return np.dtype("<u2" if self.ids < 1 << 16 else "<u4")
+
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9E3779B97F4A7C15
@@ -131,16 +141,13 @@ class Network:
         self.parts = [x.reshape(shape) for x, shape in zip(np.split(self.flat, cuts), self.shapes)]
         self.seen = [np.full(x.shape, 1e-3, np.float32) for x in self.parts]
 
-    def _forward(self, context: np.ndarray):
-        table, w1, b1, wc, bc, _, _ = self.parts
-        x = table[context].reshape(len(context), -1)
-        h = np.tanh(x @ w1 + b1)
-        return x, h, h @ wc + bc
-
     @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
-        z = z - z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    def _softmax(z: np.ndarray) -> np.ndarray:
+        """Softmax of each column of ``z``, in place."""
+        z -= z.max(axis=0)
+        np.exp(z, out=z)
+        z /= z.sum(axis=0)
+        return z
 
     def _by_class(self, kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(kind.astype(np.uint16), kind="stable")
@@ -180,28 +187,32 @@ class Network:
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step on a batch."""
-        table, w1, _, wc, _, wm, bm = self.parts
+        table, w1, b1, wc, bc, wm, bm = self.parts
         n = len(target)
-        x, h, logits = self._forward(context)
+        x = table.take(context, axis=0).reshape(n, -1)
+        h = np.tanh(x @ w1 + b1)
         kind, member = np.divmod(target, self.settings.classes)
-        d = np.exp(self._log_softmax(logits))
-        d[np.arange(n), kind] -= 1
+        d = self._softmax(wc.T @ h.T + bc[:, None])
+        d[kind, np.arange(n)] -= 1
         d /= n
         grads = [np.zeros_like(p) for p in self.parts]
-        grads[3], grads[4] = h.T @ d, d.sum(axis=0)
-        dh = d @ wc.T
+        grads[3], grads[4] = (d @ h).T, d.sum(axis=1)
+        dh = (wc @ d).T.copy()
         for c, rows in self._by_class(kind):
-            e = np.exp(self._log_softmax(h[rows] @ wm[c] + bm[c]))
-            e[np.arange(len(rows)), member[rows]] -= 1
+            inner = h[rows]
+            e = self._softmax(wm[c].T @ inner.T + bm[c][:, None])
+            e[member[rows], np.arange(len(rows))] -= 1
             e /= n
-            grads[5][c], grads[6][c] = h[rows].T @ e, e.sum(axis=0)
-            dh[rows] += e @ wm[c].T
+            grads[5][c], grads[6][c] = (e @ inner).T, e.sum(axis=1)
+            dh[rows] += (wm[c] @ e).T
         dh *= 1 - h * h
         grads[1], grads[2] = x.T @ dh, dh.sum(axis=0)
         dx = (dh @ w1.T).reshape(-1, self.settings.embedding)
         at = context.ravel()
-        for i in range(self.settings.embedding):
-            grads[0][:, i] = np.bincount(at, dx[:, i], len(table))
+        order = np.argsort(at.astype(self.settings.id_type), kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        grads[0][at[first]] = np.add.reduceat(dx.take(order, axis=0), first, axis=0)
         for p, g, v in zip(self.parts, grads, self.seen):
             v += g * g
             p -= self.settings.step * g / np.sqrt(v)
@@ -247,44 +258,87 @@ def vocabulary(docs: DataFrame, settings: Settings, text_col: str = "text", coun
     return [r["word"] for r in top.collect()]
 
 
-def train(docs: DataFrame, words: list[int], settings: Settings, text_col: str = "text") -> np.ndarray:
+def shards(docs: DataFrame, words: list[int], settings: Settings, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``shard``, ``key``, ``copy``, ``ids``: the ids of the words of every text that has any, whole shards per partition, sorted.
+
+    ``total`` words make ``total / settings.shard`` shards. A document is dealt by a
+    hash of its id and text; rows that repeat both are counted first and dealt
+    out one by one, so neither copies nor the layout of the input fill a shard.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = Ids(words, settings)
+        for b in slices(batches, "raw", 1 << 17):
+            lines = ids.of(b.column("raw"))
+            rows = [i for i, line in enumerate(lines) if len(line)]
+            found = pa.array([lines[i].astype(settings.id_type).tobytes() for i in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(rows, pa.int64())), found], ["key", "ids"])
+
+    raw = _raw(docs, text_col)
+    rows = docs.select(F.xxhash64(F.col(id_col).cast("string"), raw).alias("key"), raw.alias("raw")).mapInArrow(run, "key bigint, ids binary")
+    rows = rows.groupBy("key", "ids").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select("key", "ids", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    shard = F.pmod(F.xxhash64("key", "copy"), F.lit(max(1, -(-total // settings.shard))))
+    rows = rows.select(shard.alias("shard"), "key", "copy", "ids").repartition("shard")
+    return checkpointed(rows.sortWithinPartitions("shard", "key", "copy", "ids"))
+
+
+def train(
+    docs: DataFrame,
+    words: list[int],
+    settings: Settings,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    counts: DataFrame | None = None,
+) -> np.ndarray:
     """Weights after all rounds; a round trains on a seeded part of the positions of every document.
 
     The rounds' parts lie one after the other on a circle of seeded draws, so
-    ``rounds * masked`` = 1 trains once on every position.
+    ``rounds * masked`` = 1 trains once on every position. Texts become ids
+    once, in ``shards``; the same documents give the same weights however the
+    input is cut into partitions. ``counts`` are the documents' ``word_counts``.
     """
     flat = Network(settings).flat
+    counts = word_counts(docs, text_col) if counts is None else counts
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    dealt = shards(docs, words, settings, total, id_col, text_col)
 
     def trained(flat: np.ndarray, number: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            network, ids = Network(settings, flat), Ids(words, settings)
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            n = done = 0
-            for b in slices(batches, "raw", 1 << 17):
-                for x, doc in zip(b.column("raw"), ids.of(b.column("raw"))):
-                    at = _drawn(x.as_buffer(), len(doc), number, settings)
-                    held.append((_contexts(doc, at, settings), doc[at]))
-                    n += len(at)
-                    if n >= settings.batch:
-                        context, target = (np.concatenate(v) for v in zip(*held))
-                        for s in range(0, n, settings.batch):
-                            network.train(context[s : s + settings.batch], target[s : s + settings.batch])
-                        held, done, n = [], done + n, 0
+        def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            """Shard, contexts and targets of each document."""
+            for b in batches:
+                keys, shard, copy = (b.column(c).to_pylist() for c in ("key", "shard", "copy"))
+                for at, x in enumerate(b.column("ids")):
+                    doc = np.frombuffer(x.as_buffer(), settings.id_type).astype(np.int32)
+                    places = _drawn(b"%d %d" % (keys[at], copy[at]), len(doc), number, settings)
+                    yield shard[at], _contexts(doc, places, settings), doc[places]
+
+        def one(parts: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            network, held, n, done = Network(settings, flat), [], 0, 0
+            for _, context, target in parts:
+                held.append((context, target))
+                n += len(target)
+                if n >= settings.batch:
+                    context, target = (np.concatenate(v) for v in zip(*held))
+                    whole = n - n % settings.batch
+                    for s in range(0, whole, settings.batch):
+                        network.train(context[s : s + settings.batch], target[s : s + settings.batch])
+                    held, done, n = [(context[whole:], target[whole:])], done + whole, n - whole
             if n:
                 network.train(*(np.concatenate(v) for v in zip(*held)))
-                done += n
-            if done:
-                weight = 1 + done // 1024
-                parts = np.round(network.flat.astype(np.float64) * UNIT).astype(np.int64) * weight
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(parts), pa.array(np.full(len(parts), weight))],
-                    ["at", "part", "weight"],
-                )
+            weight = 1 + (done + n) // 1024
+            sums = np.round(network.flat.astype(np.float64) * UNIT).astype(np.int64) * weight
+            columns = [pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums), pa.array(np.full(len(sums), weight))]
+            return pa.RecordBatch.from_arrays(columns, ["at", "part", "weight"])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, parts in groupby(copies(batches), itemgetter(0)):
+                yield one(parts)
 
         return run
 
     for number in range(settings.rounds):
-        sums = docs.select(_raw(docs, text_col)).mapInArrow(trained(flat, number), "at int, part bigint, weight bigint")
+        sums = dealt.mapInArrow(trained(flat, number), "at int, part bigint, weight bigint")
         means = sums.groupBy("at").agg((F.sum("part") / F.sum("weight") / UNIT).alias("mean"))
         found = means.toArrow()
         flat = flat.copy()
@@ -292,6 +346,26 @@ def train(docs: DataFrame, words: list[int], settings: Settings, text_col: str =
     return flat
 
 
+def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the most frequent words, at most ``most`` of them.
+
+    Words are taken by bands of their counts, a sixteenth of a power of two
+    wide: the number of words of each band reaches the driver first, then the
+    words of the upper bands that hold no more than ``most`` together.
+    """
+    band = F.floor(F.log2("n") * 16)
+    taken, least = 0, None
+    for r in sorted(counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["band"]):
+        taken += r["words"]
+        if taken > most:
+            break
+        least = r["band"]
+    found = counts.where(band >= least if least is not None else F.lit(False)).toArrow()
+    hashes, n = found.column("word").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
 def _totals(counts: DataFrame, words: list[int], settings: Settings) -> np.ndarray:
     """Occurrences of the words of each bucket; one number per bucket reaches the driver."""
     bucket = F.shiftrightunsigned("word", 20) % settings.buckets
@@ -318,12 +392,15 @@ def score(
     With ``counts`` (``word_counts`` of the documents trained on) a word of a
     bucket has its bucket's probability times its share of the bucket's
     occurrences; a word that is not in the table counts as half an occurrence,
-    which every bucket has to spare. Each distinct bucket word of a document is
-    a row that meets its count by the word's hash. Without ``counts`` such
-    words have the probability of the whole bucket.
+    which every bucket has to spare. Tasks look up the ``settings.known`` most
+    frequent words by themselves; any other bucket word of a document is a row
+    that meets its count by the word's hash. Without ``counts`` such words have
+    the probability of the whole bucket.
     """
     shared = counts is not None
     totals = np.log(_totals(counts, words, settings) + UNSEEN) if shared else None
+    known, times_known = frequent(counts, settings.known) if shared else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    logs_known = np.log(times_known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, ids = Network(settings, flat), Ids(words, settings)
@@ -337,11 +414,16 @@ def score(
             found = found.astype(np.float64)
             if shared:
                 found[at] -= totals[found_ids[at] - ids.first]
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+                    met = known[place] == hashes[at]
+                    found[at[met]] += logs_known[place[met]]
+                    at = at[~met]
             sums = np.concatenate([[0.0], np.cumsum(found)])
             ends = np.cumsum(lengths)
             n, keys = len(lengths), row + np.arange(len(lengths))
             row += n
-            # a row per document, under a word of its own that counts no times, and one per bucket word of it
+            # a row per document, under a word of its own that counts no times, and one per other bucket word of it
             owner, h = np.repeat(np.arange(n), lengths)[at], hashes[at]
             order = np.lexsort((h, owner))
             owner, h = owner[order], h[order]
@@ -392,10 +474,12 @@ def lm_scores(docs: DataFrame, settings: Settings = Settings(), id_col: str = "d
     Words are runs of characters that are not ASCII white space, A-Z in lower
     case. Null and empty texts have no words, the score 0 and the mean null;
     rows that repeat an id are scored each; an empty table gives an empty
-    result. To score other documents than those trained on, call the steps. The
-    driver holds the words with ids of their own and the weights, whose sizes
-    ``Settings`` fixes; the counts of all words are a table.
+    result. The order and the partitions of the input change no more than the
+    last digits. To score other documents than those trained on, call the
+    steps. The driver holds the words with ids of their own, the counts of the
+    ``known`` most frequent ones and the weights, whose sizes ``Settings``
+    bounds; the counts of all words are a table.
     """
     counts = checkpointed(word_counts(docs, text_col))
     words = vocabulary(docs, settings, text_col, counts)
-    return score(docs, words, train(docs, words, settings, text_col), settings, id_col, text_col, counts)
+    return score(docs, words, train(docs, words, settings, text_col, id_col, counts), settings, id_col, text_col, counts)

@@ -446,6 +446,46 @@ def test_lm_scores_every_word_by_its_own_count(spark, docs):
     assert cost[0] > cost[1] + 1
 
 
+def test_lm_scores_do_not_depend_on_the_layout(spark, docs):
+    settings = lm_score.Settings(classes=6, buckets=4, batch=64, shard=1000, known=40)
+    counts = lm_score.word_counts(docs)
+    words = lm_score.vocabulary(docs, settings, counts=counts)
+    key = lambda rows: sorted((repr(r[0]), r["n_words"], r["log_likelihood"]) for r in rows.collect())
+    found = []
+    for n in (1, 8):
+        laid = docs.repartition(n, F.rand(n))
+        flat = lm_score.train(laid, words, settings)
+        found.append((flat, key(lm_score.score(laid, words, flat, settings, counts=counts))))
+    assert np.array_equal(found[0][0], found[1][0]) and found[0][0].std() > 0
+    for a, b in zip(found[0][1], found[1][1], strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) <= 1e-4 * (1 + abs(a[2]))
+    # looked up in the task or joined, a word costs the same
+    joined = key(lm_score.score(docs, words, found[0][0], lm_score.Settings(classes=6, buckets=4, known=0), counts=counts))
+    for a, b in zip(found[0][1], joined, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) <= 1e-4 * (1 + abs(a[2]))
+
+
+def test_lm_shards_hold_every_word_and_split_repeats(spark):
+    text = "one two three four"
+    rows = [(i, text) for i in range(50)] + [(7, text)] * 400 + [(None, text)] * 400 + [(1, None), (2, " "), (3, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = lm_score.Settings(classes=4, buckets=3, shard=340)
+    words = lm_score.vocabulary(table, settings)
+    sizes = collections.Counter()
+    for r in lm_score.shards(table, words, settings, 3400).collect():
+        ids = np.frombuffer(r["ids"], settings.id_type)
+        assert len(ids) == 4 and set(ids) <= set(range(16))
+        sizes[r["shard"]] += len(ids)
+    assert sum(sizes.values()) == 3400 and len(sizes) == 10 and max(sizes.values()) < 600
+
+
+def test_lm_frequent_words_are_bounded(spark):
+    counts = spark.createDataFrame([(i, 1000 if i < 5 else 10 if i < 20 else 1) for i in range(100)], "word long, n long")
+    for most, size in ((100, 100), (99, 20), (20, 20), (19, 5), (4, 0), (0, 0)):
+        hashes, n = lm_score.frequent(counts, most)
+        assert hashes.tolist() == list(range(size)) and len(n) == size
+
+
 def test_lm_trains_on_every_position():
     settings = lm_score.Settings()
     drawn = [lm_score._drawn(b"x y z", 5000, k, settings) for k in range(settings.rounds)]
