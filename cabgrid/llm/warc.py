@@ -59,8 +59,9 @@ def records(
 ) -> DataFrame:
     """``value``: the text of each record, three per row of ``pages``.
 
-    With ``tasks``, rows are dealt in turn to so many tasks before their
-    records are written out, so that headers are not shuffled.
+    With ``tasks``, rows are then dealt in turn to so many tasks before their
+    records are written out, so that headers are not shuffled; else they stay
+    where the one shuffle of the payloads brings them.
 
     Of rows with equal payloads of at least ``MIN_REVISIT_BYTES`` bytes, the
     one with the smallest id is the response and the others revisit it. A null
@@ -68,9 +69,10 @@ def records(
     and half of its payload's digest, so rows that repeat an id with another
     payload are captures of their own. Rows that repeat an id and a payload
     give records of one id, which ``transactions`` reads as one capture; the
-    id null is larger than any other. The smallest id comes from an aggregate
-    that combines map-side; the join back is on the digest, where adaptive
-    execution splits a hot one.
+    id null is larger than any other. Which ids revisit is found from ids and
+    digests alone, in an aggregate that combines map-side and a join on the
+    digest, where adaptive execution splits a hot one; payloads are shuffled
+    once, by id and digest.
     """
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(
@@ -81,16 +83,17 @@ def records(
         F.unhex(F.sha2(payload.cast("binary"), 256)).alias("digest"),
     )
     large = F.octet_length("payload") >= MIN_REVISIT_BYTES
-    first = rows.where(large).groupBy("digest").agg(F.min("order").alias("first"))
-    first_name = F.when(F.col("first") == (1 << 63) - 1, F.lit("null")).otherwise(F.col("first").cast("string"))
-    revisit = F.coalesce(F.col("order") != F.col("first"), F.lit(False))
-    rows = rows.join(first, "digest", "left").select(
+    named = rows.where(large).select("digest", "order").distinct()
+    first = named.groupBy("digest").agg(F.min("order").alias("first"), F.count(F.lit(1)).alias("ids")).where("ids > 1")
+    revisits = named.join(first.drop("ids"), "digest").where(F.col("order") != F.col("first"))
+    revisit = F.col("first").isNotNull()
+    rows = rows.join(revisits, ["order", "digest"], "left").select(
         "name",
         "url",
         "digest",
         F.octet_length("payload").alias("size"),
         F.when(~revisit, F.col("payload")).alias("payload"),  # a revisit stores none
-        F.when(revisit, first_name).alias("first"),
+        F.col("first").cast("string").alias("first"),  # of two ids the smaller one, so not null's
     )
     rows = rows.repartition(tasks) if tasks else rows
     rows = rows.withColumn("digest", F.lower(F.hex("digest")))
@@ -139,15 +142,19 @@ def write_archives(
 ) -> None:
     """Writes the records of ``pages`` as gzip archives into the folder ``path``.
 
-    Without a number of ``archives``, they get about ``ARCHIVE_BYTES`` of
-    payload each, so the number grows with the input and a reader's task
-    stays bounded. Captures are dealt out in turn, not by a key.
+    With a number of ``archives``, captures are dealt out in turn to so many.
+    Without one, a task writes the captures that the shuffle of the payloads
+    brought it, and starts another archive after as many as have about
+    ``ARCHIVE_BYTES`` of payload by the mean of all, so a reader's task stays
+    bounded however large the input is.
     """
+    most = 0
     if archives is None:
-        size = pages.agg(F.sum(F.octet_length(F.col(payload_col).cast("string")))).first()[0] or 0
-        archives = max(1, -(-size // ARCHIVE_BYTES), pages.sparkSession.sparkContext.defaultParallelism)
+        payload = F.octet_length(F.col(payload_col).cast("string"))
+        rows, size = pages.agg(F.count(F.lit(1)), F.coalesce(F.sum(payload), F.lit(0))).first()
+        most = 3 * max(1, rows * ARCHIVE_BYTES // max(size, ARCHIVE_BYTES))
     texts = records(pages, id_col, url_col, payload_col, archives)
-    texts.write.option("lineSep", CRLF).option("compression", "gzip").text(path)
+    texts.write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
 def _parsed(raw: bytes) -> Iterator[tuple]:

@@ -158,7 +158,7 @@ def test_warc_round_trip(spark):
     assert {r["metadata"] for r in warc.transactions(orphan).collect()} == {None}
 
 
-def test_warc_repeated_and_missing_ids(spark):
+def test_warc_repeated_and_missing_ids(spark, monkeypatch):
     """One capture per id and payload; null ids, empty tables and columns with the names of the operator's own."""
     big, other = "y" * 120, "z" * 120
     rows = [(1, "http://b/", big), (1, "http://b/", big), (1, "http://a/", big), (1, "http://b/", other), (2, None, other)]
@@ -180,6 +180,13 @@ def test_warc_repeated_and_missing_ids(spark):
     found = warc.transactions(warc.read_records(spark, out)).collect()
     uris = {r["capture_id"]: (r["response"]["target_uri"], r["request"]["target_uri"], r["metadata"]["target_uri"]) for r in found}
     assert uris[f"urn:capture:response:1:{sha(big)[:32]}"] == ("http://a/",) * 3  # of several targets the smallest
+    limited = scratch_path(spark, "warc-limited")
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 300)  # two captures of 120 bytes, or a little more
+    many = spark.createDataFrame([(i % 40, "http://m/", f"{i // 2:0120d}") for i in range(80)], "page_id long, url string, html string")
+    warc.write_archives(many.coalesce(1), limited)
+    archives = spark.read.format("binaryFile").load(limited).select("content").collect()
+    assert max(zlib.decompress(bytes(r[0]), 47).count(b"WARC-Type: ") for r in archives) == 6
+    assert warc.transactions(warc.read_records(spark, limited)).count() == 80
     none = scratch_path(spark, "warc-none")
     pages.limit(0).write.parquet(f"{none}/pages.parquet")
     assert QUERIES["op3_warc"](spark, none).count() == 0
