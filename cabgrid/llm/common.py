@@ -25,12 +25,12 @@ def raw_text(text_col: str = "text") -> Column:
 
 
 def text_hash(text_col: str = "text") -> Column:
-    """The 32-bit hash of a text that makes, with its id, the key of a document."""
-    return F.hash(raw_text(text_col))
+    """The 64-bit hash of a text that makes, with its id, the key of a document."""
+    return F.xxhash64(raw_text(text_col))
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``th``, ``raw``: the id, a 32-bit hash of the text and its UTF-8 bytes (null: empty).
+    """``id``, ``th``, ``raw``: the id, a 64-bit hash of the text and its UTF-8 bytes (null: empty).
 
     (id, th) is the key of a document inside the operators, so that rows that
     repeat an id with another text, or have no id, stay apart.

@@ -99,7 +99,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, host: Column) -> Data
     stats = ", ".join(f"{c} bigint" for c in _STATS)
     cols = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), host.alias("host"), raw_text(text_col).alias("raw"))
     return cols.mapInArrow(
-        run, f"id {id_type}, th int, host string, {stats}, digest bigint, lines array<struct<line: bigint, words: bigint>>"
+        run, f"id {id_type}, th bigint, host string, {stats}, digest bigint, lines array<struct<line: bigint, words: bigint>>"
     )
 
 

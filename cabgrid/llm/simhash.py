@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
             fps = np.fromiter((fingerprint(x.as_py(), shingle) for x in b.column("raw")), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(fps.view(np.int64))], ["id", "th", "fp"])
 
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, th int, fp bigint"
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, th bigint, fp bigint"
     return keyed(docs, id_col, text_col).mapInArrow(run, schema)
 
 

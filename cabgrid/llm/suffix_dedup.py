@@ -136,7 +136,7 @@ def find_anchors(docs: DataFrame) -> DataFrame:
                     ["id", "th", "pos", "h", "digest"],
                 )
 
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, th int, pos int, h bigint, digest bigint"
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, th bigint, pos int, h bigint, digest bigint"
     return docs.mapInArrow(run, schema)
 
 
@@ -386,7 +386,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             made = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), span, pa.binary(), pa.string()])]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), *made], names)
 
-    schema = f"id {id_type}, th int, n_removed bigint, spans array<struct<start: bigint, length: bigint>>, kept binary, kept_sha256 string"
+    schema = f"id {id_type}, th bigint, n_removed bigint, spans array<struct<start: bigint, length: bigint>>, kept binary, kept_sha256 string"
     cut = marked.mapInArrow(run, schema).where("n_removed > 0").dropDuplicates(["id", "th"])
     whole = docs.select("id", "th", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("sha256"))
     return join_documents(whole, cut, "left").select(

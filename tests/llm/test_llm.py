@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cabgrid.llm import chat, chunk_dedup, embed_dedup, lm_score, mixing, packing, quality, simhash, suffix_dedup, warc
-from cabgrid.llm.common import components
+from cabgrid.llm.common import components, keyed
 from cabgrid.llm.queries import QUERIES
 from cabgrid.llm.sql import ORACLE_SQL
 from cabgrid.session import scratch_path
@@ -360,6 +360,57 @@ def test_chunks_cut_passages_and_spare_the_rest(docs, empty):
     assert chunk_dedup.dedup_chunks(empty).count() == 0
 
 
+def plain_ends(raw):
+    """Chunk ends as stated: a byte at a time, the hash of the last 16 bytes in 16 bits, its upper bits zero."""
+    gear, ends, last = chunk_dedup._gear_table().tolist(), [], 0
+    inside = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
+    for i in range(1, len(raw) + 1):
+        h = sum(gear[raw[i - 1 - k]] << k for k in range(min(16, i))) & 0xFFFF
+        marked = h >> (16 - chunk_dedup.CUT_BITS) == 0 and i - last >= chunk_dedup.LEAST
+        if i == len(raw) or (not inside(i) and (marked or i - last >= chunk_dedup.MOST)):
+            ends.append(i)
+            last = i
+    return ends
+
+
+@pytest.mark.parametrize("min_run", [100, 1])
+def test_chunks_equal_brute_force(docs, min_run):
+    want, seen = [], set()
+    texts = {raw: plain_ends(raw) for _, raw in raws(docs)}
+    order = lambda r: (r[0] is not None, r[0] or 0, r[2])
+    hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")).alias("h")).collect()
+    done = {}
+    for i, text, h in sorted(((r["doc_id"], r["text"], r["h"]) for r in hashed), key=order):
+        raw = (text or "").encode()
+        if (i, raw) not in done:  # rows that repeat an id and a text are one document
+            kept, run, spans = bytearray(), None, []
+            for a, z in zip([0, *texts[raw]], [*texts[raw], None]):
+                if z is not None and raw[a:z] in seen:
+                    run = a if run is None else run
+                    continue
+                if run is not None and a - run >= min_run:
+                    spans.append((run, a - run))
+                elif run is not None:
+                    kept += raw[run:a]
+                run = None
+                if z is not None:
+                    seen.add(raw[a:z])
+                    kept += raw[a:z]
+            done[(i, raw)] = (bytes(kept).decode(errors="replace"), len(raw), len(texts[raw]), len(raw) - len(kept), spans)
+        want.append((repr(i), h, *done[(i, raw)]))
+    got = [
+        (repr(r["doc_id"]), r["text_hash"], r["kept"], r["n_bytes"], r["n_chunks"], r["n_removed"], [tuple(s) for s in r["spans"]])
+        for r in chunk_dedup.dedup_chunks(docs, min_run=min_run).collect()
+    ]
+    assert sorted(got) == sorted(want) and any(r[5] for r in got)
+
+
+def test_texts_without_ids_stay_apart(spark):
+    """Very many texts under one id, null: each has a key of its own."""
+    rows = spark.range(300_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    assert keyed(rows).select("id", "th").distinct().count() == 300_000  # 32 bits would lose some ten
+
+
 def test_chunk_ends_resist_insertions():
     gear, raw = chunk_dedup._gear_table(), prose(900, 3).encode()
     ends = set(chunk_dedup.boundaries(raw, gear))
