@@ -79,12 +79,14 @@ def update_writer(path: str, k: int | None = None) -> Callable[[DataFrame, int],
         if batch_id > 0:
             held = read_latest(spark, f"{path}/counts", before=batch_id).withColumn("day", day)
             merged = changed.unionByName(held.join(changed.select("day").distinct(), "day", "left_semi"))
-        merged = merged.groupBy("day", "window_end", "route").agg(F.max("count").alias("count"))
+        # dealt out in order of time, a batch has a file for each day and one more for each task, not days times tasks
+        key = ["day", "window_end", "route"]
+        merged = merged.repartitionByRange(*key).groupBy(*key).agg(F.max("count").alias("count"))
         table = f"{path}/counts/batch_id={batch_id}"
         merged.write.mode("overwrite").partitionBy("day").parquet(table)
         if k is not None:
             days = spark.read.schema(T.StructType([*COUNTS.fields, _VERSION[1]])).parquet(table).drop("day")
-            ranked = topk_routes(days, k).withColumn("day", day)
+            ranked = topk_routes(days.repartitionByRange("window_end"), k).withColumn("day", day)
             ranked.write.mode("overwrite").partitionBy("day").parquet(f"{path}/ranking/batch_id={batch_id}")
 
     return write

@@ -213,6 +213,25 @@ def test_update_batches_rewrite_changed_days_only(spark):
     assert [(r["batch_id"], r["day"].day) for r in versions.superseded(spark, f"{path}/counts").collect()] == [(0, 2)]
 
 
+@pytest.mark.parametrize("k", [None, 2])
+def test_update_batch_files_follow_days_and_tasks(spark, k):
+    path = scratch_path(spark, "version-files")
+    write = versions.update_writer(path, k)
+    hours = spark.range(0, 40 * 24, 1, 8).selectExpr("timestamp_seconds(1704067200 + id * 3600) AS window_end", "id")
+    rows = hours.selectExpr("window_end", "explode(array('a', 'b', 'c')) AS route", "id + 1 AS count")
+    write(rows, 0)
+    write(rows.withColumn("count", F.col("count") + 1), 1)
+    tables = ["counts", "ranking"] if k else ["counts"]
+    for t in tables:
+        for b in (0, 1):  # 40 days and 8 tasks; up to 40 times 8 files when rows are dealt out by their hash
+            assert 40 <= len([f for f in _files(f"{path}/{t}/batch_id={b}") if f.endswith(".parquet")]) <= 48
+    want = rows.select("window_end", "route", (F.col("count") + 1).alias("count"))
+    assert _equal(versions.read_latest(spark, f"{path}/counts"), want)
+    if k:
+        got = versions.read_latest(spark, f"{path}/ranking", versions.RANKING)
+        assert _equal(got, routes.topk_routes(want, k).select(got.columns))
+
+
 def test_batches_by_bytes_keep_the_limit(spark, trips_small):
     src = scratch_path(spark, "bytes")
     sizes = [20, 300, 40, 500, 30]  # rows per file
