@@ -38,6 +38,8 @@ K = 10
 # First rows read of every trip and fare file (the original's ``nrows``); the
 # files hold fixture.ROWS_PER_FILE rows each.
 FILE_ROW_LIMIT = 2000
+# Files that a micro-batch of the counted stream takes at most.
+FILES_PER_TRIGGER = 1000
 WATERMARK = "30 minutes"
 # Digits kept on means of doubles, here and in the SQL: summation order must not decide ranks.
 MEAN_DIGITS = 9
@@ -457,9 +459,10 @@ def stream_cell_pairs(spark, sf):
 
 
 def stream_batch_counts(spark, sf):
+    """A file is a batch of the producer's; a micro-batch takes many of them and counts each."""
     src, out, ck = _stream_dirs(spark, sf, COLUMN_STREAM_COLUMNS)
-    stream = scol.read_column_stream(spark, src, max_files_per_trigger=1)
-    writer = scol.batch_counts_writer(out, rows_path=scratch_path(spark, "stream-rows"))
+    stream = scol.read_column_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER, file_col="source_file")
+    writer = scol.batch_counts_writer(out, rows_path=scratch_path(spark, "stream-rows"), by="source_file")
     _run(sroutes.start(stream, writer, "append", ck))
     return sroutes.read_window_output(spark, out, ("first_time", "last_time"))
 

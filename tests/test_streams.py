@@ -232,6 +232,24 @@ def test_update_batch_files_follow_days_and_tasks(spark, k):
         assert _equal(got, routes.topk_routes(want, k).select(got.columns))
 
 
+def test_many_files_of_a_micro_batch_are_counted_each(spark, trips_small, monkeypatch):
+    from cabgrid import entrypoints as ep
+    from cabgrid.sources import fixture
+
+    queries = []
+    started = S.start
+    monkeypatch.setattr(S, "start", lambda *a, **k: queries.append(started(*a, **k)) or queries[-1])
+    monkeypatch.setattr(ep, "_trips", lambda s, sf: trips_small)
+    write = fixture.write_stream_files
+    monkeypatch.setattr(fixture, "write_stream_files", lambda t, p, c: write(t, p, c, rows_per_file=100))
+    got = ep.stream_batch_counts(spark, "")
+    chunk = F.expr("trip_id div 100").alias("chunk")
+    at = "dropoff_datetime"
+    want = trips_small.groupBy(chunk).agg(F.count(F.lit(1)).alias("n"), F.min(at), F.max(at)).drop("chunk")
+    assert got.count() == want.count() == 10 and _equal(got, want)
+    assert len([p for p in queries[0].recentProgress if p["numInputRows"]]) == 1
+
+
 def test_batches_by_bytes_keep_the_limit(spark, trips_small):
     src = scratch_path(spark, "bytes")
     sizes = [20, 300, 40, 500, 30]  # rows per file
