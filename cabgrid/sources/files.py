@@ -16,7 +16,7 @@ task ever holds a whole file.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,6 +30,9 @@ from cabgrid.sources.schema import TRIP_SCHEMA
 
 # Columns after the drop-off time that spread rows with equal or no drop-off times.
 _SPREAD = ("pickup_datetime", "medallion", "hack_license")
+# With a row limit, files up to the first size are read whole, and a task takes up to the second of them, where
+# opening a file counts as the first.
+SMALL_FILE, SMALL_FILES = 1 << 22, 1 << 28
 
 
 def read_csv(
@@ -158,27 +161,25 @@ def first_rows_per_file(
 ) -> DataFrame:
     """The first ``n`` rows of every CSV file, with file and position as in ``with_file_position``.
 
-    Each file is one task, which takes ``n`` rows and ends; only these rows
-    are written and used. A Python worker that is already running stops the
-    scan soon after them; for one that has to start, Spark was seen to read
-    the file on. A session of its own holds the two settings that keep a file
-    whole and alone. Part files of a folder are one file:
+    Only these rows are written and used. Files of over ``SMALL_FILE`` bytes
+    are a task each, which takes ``n`` rows and ends. A Python worker that is
+    already running stops the scan soon after them; for one that has to start,
+    Spark was seen to read the file on. Smaller files cost less to read on
+    than a task to start: a task takes many of them, each whole, so tasks and
+    written files follow the bytes, not the number of files. A session of its
+    own holds the settings for either kind. Part files of a folder are one file:
     every part gives up to ``n`` rows, and a later part's rows stay only as
     far as the earlier parts had fewer. (If the settings do not hold, files
     are read to their end, for the same result.)
     """
-    alone = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
     own = spark.newSession()
-    for key, value in alone.items():
-        own.conf.set(key, value)
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max(1, min(n, 1000))))  # little is read ahead
-    stops = all(own.conf.get(key) == value for key, value in alone.items())
     scan = read_csv(own, path, schema=None, **options)
     block = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
     file = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias(file_col)
     base = scan.select("*", file, block.alias("_block"))
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch], stops: bool) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, int] = {}
         for batch in batches:
             blocks = pc.struct_field(batch.column("_block"), "path"), pc.struct_field(batch.column("_block"), "start")
@@ -200,7 +201,15 @@ def first_rows_per_file(
 
     schema = T.StructType([*base.schema.fields, T.StructField("_rid", T.LongType())])
     folder = scratch_path(spark, "first-rows")
-    base.mapInArrow(first, schema).write.parquet(folder)
+    size = F.col("_metadata.file_size")  # files are chosen by it before any is opened
+    # (bytes of a task, cost of opening a file): a file no larger than the cost is never split
+    for where, most, cost in ((size <= SMALL_FILE, SMALL_FILES, SMALL_FILE), (size > SMALL_FILE, 1 << 40, 1 << 40)):
+        settings = {"spark.sql.files.maxPartitionBytes": str(most), "spark.sql.files.openCostInBytes": str(cost)}
+        for key, value in settings.items():
+            own.conf.set(key, value)
+        alone = most == cost and all(own.conf.get(key) == value for key, value in settings.items())
+        rows = base.where(where).mapInArrow(partial(first, stops=alone), schema)
+        rows.write.mode("append").parquet(folder)
     return limit_per_file(_placed(spark.read.schema(schema).parquet(folder), file_col, pos_col), n, pos_col)
 
 

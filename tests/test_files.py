@@ -177,3 +177,21 @@ def test_first_rows_go_on_to_later_parts(spark, n, many_parts):
     got = first_rows_per_file(spark, f"{root}/*", n, header=True).collect()
     want = [(100 * k + i, i) for k in (1, 2) for i in range(min(n, 20))]
     assert sorted((int(r["v"]), r["row_pos"]) for r in got) == want
+
+
+@pytest.mark.parametrize("small", [1 << 22, 700])
+def test_first_rows_of_many_small_files_take_few_tasks(spark, monkeypatch, small):
+    path, folders = scratch_path(spark, "many-small"), []
+    monkeypatch.setattr(files, "scratch_path", lambda s, name: folders.append(scratch_path(s, name)) or folders[-1])
+    monkeypatch.setattr(files, "SMALL_FILE", small)  # 700 bytes: files of 100 rows are small, those of 300 are not
+    rows = spark.range(0, 60 * 100, 1, 4).withColumn("chunk", F.expr("id div 100"))
+    rows = rows.unionByName(spark.range(10_000, 10_600).withColumn("chunk", F.expr("100 + (id - 10000) div 300")))
+    text = rows.select("chunk", F.col("id").cast("string").alias("id"))
+    text.repartition(8, "chunk").sortWithinPartitions("chunk", "id").write.partitionBy("chunk").option("header", True).csv(path)
+    got = first_rows_per_file(spark, path, 50, header=True)
+    assert got.groupBy("chunk").count().where("count = 50").count() == got.count() // 50 == 62
+    first = rows.selectExpr("chunk", "CAST(id AS string) AS id", "row_number() OVER (PARTITION BY chunk ORDER BY CAST(id AS string)) AS nth")
+    assert sorted((r["chunk"], r["id"]) for r in got.collect()) == sorted((r["chunk"], r["id"]) for r in first.where("nth <= 50").collect())
+    written = [f for f in os.listdir(_local(folders[0])) if f.endswith(".parquet")]
+    cores = spark.sparkContext.defaultParallelism
+    assert len(written) <= cores + 4  # a task and a file for each of the 62 files before
