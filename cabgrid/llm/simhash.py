@@ -71,7 +71,9 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     Each pair comes out once: from the first segment that differs by at most
     one bit, at the differing bit, or at the segment's first bit if it is
     equal. As fingerprints are distinct here, a fingerprint has links only to
-    others in its Hamming ball, however many copies the documents have.
+    others in its Hamming ball, however many copies the documents have. The
+    join is told to sort and merge: Spark sizes the index as if a fingerprint
+    had one variant, and would broadcast it.
     """
     segments = _segments(max_bits)
     seg = lambda col, a, w: f"(shiftrightunsigned({col}, {a}) & {(1 << w) - 1}L)"
@@ -88,7 +90,7 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     on = F.expr(
         f"l.bit = r.bit AND l.key = r.key AND l.fp < r.fp AND bit_count(l.fp ^ r.fp) <= {max_bits} AND {first} ELSE false END"
     )
-    return index.alias("l").join(index.alias("r"), on).select(F.col("l.fp").alias("src"), F.col("r.fp").alias("dst"))
+    return index.alias("l").join(index.alias("r").hint("merge"), on).select(F.col("l.fp").alias("src"), F.col("r.fp").alias("dst"))
 
 
 def near_duplicates(

@@ -444,6 +444,14 @@ def test_simhash_links_equal_brute_force(spark, bits):
     assert len(got) == len(set(got)) == (close.sum() - len(x)) // 2
 
 
+def test_simhash_links_never_broadcast_the_index(spark):
+    """Spark sizes the 64 variants of a fingerprint as one row, and would send them all through the driver."""
+    found = simhash.links(spark.createDataFrame([(v,) for v in (0, 1, 255)], "fp long"))
+    assert [tuple(r) for r in found.collect()] == [(0, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (500, 500)] + [(1000, i) for i in range(1001, 1100)]
     got = dict(components(spark.createDataFrame(edges, "src long, dst long")).collect())
