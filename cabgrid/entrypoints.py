@@ -15,7 +15,7 @@ from cabgrid.functions.timewin import utc_wallclock
 from cabgrid.operators import areas, cells, frames, profiles, routes
 from cabgrid.plans import queries as Q
 from cabgrid.plans.prepare import prepare_trips, prepare_trips_by_keys, read_column_files
-from cabgrid.session import scratch_path
+from cabgrid.session import few_listing_tasks, scratch_path
 from cabgrid.sources import fixture
 from cabgrid.sources.files import (
     join_parts,
@@ -446,8 +446,9 @@ def stream_positional_join(spark, sf):
     """Five column streams joined by file and position."""
     root, out, ck = (scratch_path(spark, x) for x in ("column-files", "stream-out", "stream-ck"))
     fixture.write_column_files(_trips(spark, sf), root, COLUMN_STREAM_COLUMNS)
-    lines = {c: scol.read_column_lines(spark, f"{root}/{c}") for c in COLUMN_STREAM_COLUMNS}
-    _run(sroutes.start(scol.join_column_streams(lines), "parquet", "append", ck, path=out))
+    with few_listing_tasks(spark):
+        lines = {c: scol.read_column_lines(spark, f"{root}/{c}") for c in COLUMN_STREAM_COLUMNS}
+        _run(sroutes.start(scol.join_column_streams(lines), "parquet", "append", ck, path=out))
     return _zipped(spark.read.parquet(out).withColumn("file_key", F.substring_index("file_key", "/", 1)))
 
 

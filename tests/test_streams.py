@@ -12,7 +12,7 @@ from cabgrid.operators import routes
 from cabgrid.operators.cells import in_grid_trips
 from cabgrid.plans import jobs
 from cabgrid.plans.prepare import match_fares
-from cabgrid.session import scratch_path
+from cabgrid.session import few_listing_tasks, scratch_path
 from cabgrid.sources.schema import TRIP_COLUMNS
 from cabgrid.streaming import columns, late, versions
 from cabgrid.streaming import routes as S
@@ -292,6 +292,27 @@ def test_column_streams_join_across_batches(spark):
     assert len(rows) == 55 and all(r["a"][1:] == r["b"][1:] for r in rows)
 
 
+def test_column_streams_keep_files_in_their_state_not_lines(spark):
+    root, out, ck = (scratch_path(spark, x) for x in ("cols", "cols-out", "cols-ck"))
+    texts = {"a": ["1", "2", "", "4"], "b": ["x", "", "z"], "c": ["p", "q", "r", "s", "t"]}
+    for name, lines in texts.items():
+        for chunk in range(3):
+            rows = spark.createDataFrame([(chunk, f"{v}{chunk}" if v else "") for v in lines], "chunk int, value string").coalesce(1)
+            rows.write.mode("append").partitionBy("chunk").text(f"{root}/{name}")
+    lines = {c: columns.read_column_lines(spark, f"{root}/{c}") for c in texts}
+    with few_listing_tasks(spark):
+        assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) < 10000
+        q = S.start(columns.join_column_streams(lines), "parquet", "append", ck, path=out)
+        q.awaitTermination()
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism", None) is None
+    got = spark.read.parquet(out).select("file_key", "row_pos", *texts).collect()
+    want = [(f"{k}/0", 0, f"1{k}", f"x{k}", f"p{k}") for k in range(3)] + [(f"{k}/0", 1, f"2{k}", "", f"q{k}") for k in range(3)]
+    want += [(f"{k}/0", 2, "", f"z{k}", f"r{k}") for k in range(3)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    state = [op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]]
+    assert 0 < max(state) <= 6  # of two sides, three files each
+
+
 def test_fares_match_trips_in_any_order(spark):
     at = "2013-01-01 00:00:0"
     trip = [("m1", "h", at + "1", "10"), ("m1", "h", at + "1", "20"), ("m2", "h", at + "2", "30"), (None, "h", at + "3", "40"), ("m9", "h", at + "9", "50")]
