@@ -1,29 +1,36 @@
-"""Embedding near-duplicates by a subspace pigeonhole join.
-
-Unit vectors are rotated to the axes of their second moments, and the axes are
-dealt to ``blocks`` subspaces in turn. Each subspace gets a share of the
-squared distance that the cosine allows, in proportion to its part of the
-moments; so linked vectors are within its share in one subspace at least. The
-range join of a subspace puts vectors on a grid over its two leading axes, as
-wide as its radius, and compares neighbouring cells in tiles of bounded size.
-The cosine of every pair found is then computed from the vectors themselves.
+"""Embedding near-duplicates by a join of packed blocks.
+
+Vectors are put on a grid over the two leading axes of their second moments,
+with cells at least as wide as the distance that the cosine allows, and packed
+into blocks of one cell and a bounded size. Blocks of one cell or of two
+neighbouring ones are compared pair by pair: a single-precision product finds
+what may be linked, and the cosine of every pair found is then computed from
+the vectors themselves. A task reads two partitions of blocks where they are
+written, so no vector is shuffled or copied for the vectors it is compared
+with: the work grows with the square of the table, disk and memory do not.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cabgrid.llm.common import checkpointed, components, forest, whole_groups
+from cabgrid.llm.common import checkpointed, components, forest
 
-#: Vectors of a cell in a tile; fuller cells are split.
+#: Vectors of a block; a cell has as many blocks as it needs.
 TILE = 4096
-#: Rounding may not lose a pair: shares and boxes are wider by so much.
+#: Bytes of a block's vectors at most, and of those of a partition of blocks.
+BLOCK, PARTITION = 1 << 24, 1 << 26
+#: Rounding may not lose a pair: cells are wider by so much.
 SLACK = 1e-6
+#: Cells are so wide at least, however near linked vectors are: narrow ones would hold few vectors each.
+LEAST_WIDTH = 0.2
 _CHUNK = 512
 
 
@@ -59,140 +66,134 @@ def _moments(classes: DataFrame, size: int) -> np.ndarray:
     return out.reshape(size, size)
 
 
-class Subspaces:
-    """The rotation, the axes of each block and its share of the squared distance."""
-
-    def __init__(self, moments: np.ndarray, cosine: float, blocks: int):
-        size = len(moments)
-        blocks = min(blocks, size)
-        values, axes = np.linalg.eigh(moments)
-        self.rotation = axes[:, ::-1]
-        weight = np.maximum(values[::-1], 1e-12)
-        self.axes = [np.arange(b, size, blocks) for b in range(blocks)]
-        share = np.array([weight[a].sum() for a in self.axes])
-        self.share = (2 - 2 * cosine) * share / share.sum() + SLACK
-        self.size = size
-
-
-def _cells(classes: DataFrame, spaces: Subspaces) -> DataFrame:
-    """``k``, ``dim``, ``block``, ``x``, ``y`` (cell) and ``px``, ``py`` (place within the cell, in radii) per class and block."""
+def _blocks(classes: DataFrame, moments: np.ndarray, cosine: float) -> DataFrame:
+    """Classes packed into blocks of one length and cell: ``dim``, ``x``, ``y``, and ``ks``, ``ns``, ``data`` as bytes."""
+    size = len(moments)
+    tile = max(1, min(TILE, BLOCK // (8 * size)))
+    axes = np.linalg.eigh(moments)[1][:, ::-1][:, :2]
+    width = max(np.sqrt(max(2 - 2 * cosine, 0.0) + SLACK), LEAST_WIDTH)
+    names = ["dim", "x", "y", "ks", "ns", "data"]
+
+    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        column = t.column("vector").chunk(0)
+        k, n, dim = t.column("k").to_numpy(), t.column("n").to_numpy(), np.diff(column.offsets.to_numpy())
+        starts = column.offsets.to_numpy() - column.offsets[0].as_py()
+        values = column.flatten().to_numpy(zero_copy_only=False)
+        cell = np.zeros((len(k), 2), np.int32)
+        for s in range(0, len(k), tile):
+            place = _unit(_matrix(column.slice(s, tile), size)) @ axes
+            cell[s : s + tile, : place.shape[1]] = np.floor(place / width)
+        order = np.lexsort((cell[:, 1], cell[:, 0], dim))
+        keys = np.stack([dim, cell[:, 0], cell[:, 1]])[:, order]
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        for s, e in zip([0, *cuts], [*cuts, len(order)]):
+            for a in range(s, e, tile):
+                rows = order[a : min(a + tile, e)]
+                at = starts[rows][:, None] + np.arange(dim[rows[0]])
+                made = [*(pa.array([int(x)], pa.int32()) for x in keys[:, a]), *(pa.array([x.tobytes()], pa.binary()) for x in (k[rows], n[rows], values[at]))]
+                yield pa.RecordBatch.from_arrays(made, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for b in batches:
-            if not b.num_rows:
-                continue
-            turned = _unit(_matrix(b.column("vector"), spaces.size)) @ spaces.rotation
-            for block, (axes, share) in enumerate(zip(spaces.axes, spaces.share)):
-                place = np.zeros((b.num_rows, 2))
-                place[:, : min(2, len(axes))] = turned[:, axes[:2]] / np.sqrt(share)
-                cell = np.floor(place)
-                place -= cell
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("k"), pa.array(np.diff(b.column("vector").offsets.to_numpy()).astype(np.int32)),
-                     pa.array(np.full(b.num_rows, block, np.int32)),
-                     *(pa.array(cell[:, i].astype(np.int32)) for i in (0, 1)), *(pa.array(place[:, i].copy()) for i in (0, 1))],
-                    ["k", "dim", "block", "x", "y", "px", "py"],
-                )
-
-    return classes.select("k", "vector").mapInArrow(run, "k bigint, dim int, block int, x int, y int, px double, py double")
-
-
-def _tiles(cells: DataFrame) -> DataFrame:
-    """``k``, ``side`` and the tile: two parts of one cell, or parts of two neighbouring cells; ``side`` tells which part.
-
-    A vector comes to a neighbour's tiles only if that cell is within reach.
-    """
-    cell = ["dim", "block", "x", "y"]
-    parts = cells.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
-    own = cells.join(parts, cell).withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
-    step = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-    gap = lambda d, p: F.when(d > 0, 1 - p).when(d < 0, p).otherwise(0.0)
-    i, j = F.col("to.i"), F.col("to.j")
-    near = own.withColumn("to", step).where(gap(i, F.col("px")) ** 2 + gap(j, F.col("py")) ** 2 <= 1 + SLACK)
-    near = near.withColumn("x2", F.col("x") + i).withColumn("y2", F.col("y") + j)
-    there = parts.select("dim", "block", F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("parts").alias("others"))
-    near = near.join(there, ["dim", "block", "x2", "y2"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
-    me = F.struct(F.col("x").alias("x"), F.col("y").alias("y"), F.col("part").alias("p"))
-    it = F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"), F.col("other").alias("p"))
-    first, second = F.least(me, it), F.greatest(me, it)
-    return near.select(
-        "k",
-        (me > it).cast("int").alias("side"),
-        "dim",
-        "block",
-        *(first[c].alias(f"{c}1") for c in "xyp"),
-        *(second[c].alias(f"{c}2") for c in "xyp"),
-    )
+            if b.num_rows:
+                held.append(b)
+                n += b.num_rows
+            if n >= 8 * tile:
+                yield from packed(held)
+                held, n = [], 0
+        if held:
+            yield from packed(held)
 
+    return classes.select("k", "n", "vector").mapInArrow(run, "dim int, x int, y int, ks binary, ns binary, data binary")
 
-_TILE_KEY = ["dim", "block", "x1", "y1", "p1", "x2", "y2", "p2"]
 
+def _block_pairs(blocks: DataFrame) -> DataFrame:
+    """Each pair of blocks that may hold linked vectors, once, a block with itself included (``alone``).
 
-def _pairs(a: np.ndarray, b: np.ndarray | None, block: int, spaces: Subspaces) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of a and b (None: a with itself, each pair once) within the block's share, first in this block."""
-    axes, share = spaces.axes[block], spaces.share
-    right = a if b is None else b
-    # one product gives minus half the squared distance
-    one = lambda x: np.ones((len(x), 1))
-    half = lambda x: -0.5 * (x[:, axes] ** 2).sum(axis=1, keepdims=True)
-    left_form = np.hstack([a[:, axes], half(a), one(a)]).astype(np.float32)
-    right_form = np.hstack([right[:, axes], one(right), half(right)]).astype(np.float32).T.copy()
-    low = np.float32(-0.5 * share[block] - 1e-5)
-    for s in range(0, len(a), _CHUNK):
-        product = left_form[s : s + _CHUNK] @ right_form
-        i, j = np.divmod(np.flatnonzero(product >= low), len(right))
+    The join is told to read every pair of partitions, as they are, from where the blocks are written.
+    """
+    left, right = (blocks.select(*(F.col(c).alias(f"{c}{i}") for c in blocks.columns)) for i in (1, 2))
+    near = F.expr("dim1 = dim2 AND abs(x1 - x2) <= 1 AND abs(y1 - y2) <= 1 AND no1 <= no2")
+    pairs = left.join(right.hint("shuffle_replicate_nl"), near)
+    return pairs.select((F.col("no1") == F.col("no2")).alias("alone"), *(f"{c}{i}" for i in (1, 2) for c in ("ks", "ns", "data")))
+
+
+def _candidates(a: np.ndarray, b: np.ndarray, alone: bool, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of unit vectors a and b whose product may reach the cosine (alone: each pair once); single precision errs by less than what is allowed for."""
+    left, right = a.astype(np.float32), b.astype(np.float32).T.copy()
+    low = np.float32(cosine - 1e-5 - 1.5e-7 * (a.shape[1] + 4))
+    for s in range(0, len(left), _CHUNK):
+        product = left[s : s + _CHUNK] @ right
+        i, j = np.divmod(np.flatnonzero(product >= low), len(b))
         i += s
-        if b is None:
+        if alone:
             i, j = i[i < j], j[i < j]
         for t in range(0, len(i), 1 << 15):
-            u, v = i[t : t + (1 << 15)], j[t : t + (1 << 15)]
-            d = (a[u] - right[v]) ** 2
-            within = np.stack([d[:, x].sum(axis=1) <= w for x, w in zip(spaces.axes[: block + 1], share)], axis=1)
-            mine = within[:, block] & ~within[:, :block].any(axis=1)
-            yield u[mine], v[mine]
-
-
-def _links(tiles: DataFrame, spaces: Subspaces, cosine: float) -> DataFrame:
-    """Partial results of the tiles: ``a``, ``b``, ``n``: links that connect what is linked (n null), or that class a has n linked vectors (b null)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, _TILE_KEY, 1):
-            keys = np.stack([t.column(c).to_numpy() for c in _TILE_KEY])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            for s, e in zip([0, *cuts], [*cuts, t.num_rows]):
-                tile = t.slice(s, e - s).combine_chunks()
-                yield from compared(tile, *keys[:2, s], (keys[2:5, s] == keys[5:8, s]).all())
-
-    def compared(tile: pa.Table, dim: int, block: int, alone: bool) -> Iterator[pa.RecordBatch]:
-        k, n, side = (tile.column(c).to_numpy() for c in ("k", "n", "side"))
-        vectors = _matrix(tile.column("vector").chunk(0), spaces.size)
-        norms = np.sqrt((vectors * vectors).sum(axis=1))
-        turned = _unit(vectors) @ spaces.rotation
-        rows = [np.arange(len(k))] if alone else [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
-        degree = np.zeros(len(k), np.int64)
-        for i, j in _pairs(turned[rows[0]], None if alone else turned[rows[1]], block, spaces):
-            i, j = rows[0][i], rows[-1][j]
-            linked = (vectors[i] * vectors[j]).sum(axis=1) / (norms[i] * norms[j]) >= cosine
+            yield i[t : t + (1 << 15)], j[t : t + (1 << 15)]
+
+
+def _links(pairs: DataFrame, size: int, kind: str, cosine: float) -> DataFrame:
+    """Partial results of the block pairs: ``a``, ``b``, ``n``: links that connect what is linked (n null), or that class a has n linked vectors (b null)."""
+
+    def read(row: dict, i: int) -> tuple[np.ndarray, ...]:
+        k, n = (np.frombuffer(row[f"{c}{i}"], np.int64) for c in ("ks", "ns"))
+        data = np.frombuffer(row[f"data{i}"], kind).reshape(len(k), -1)
+        vectors = np.zeros((len(k), size))
+        vectors[:, : data.shape[1]] = data
+        return k, n, vectors, np.sqrt((vectors * vectors).sum(axis=1)), _unit(vectors)
+
+    def compared(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray | None]]:
+        one = read(row, 1)
+        k, n, vectors, norms, units = one
+        other, others, far, far_norms, far_units = one if row["alone"] else read(row, 2)
+        degree, far_degree = np.zeros(len(k), np.int64), np.zeros(len(other), np.int64)
+        for i, j in _candidates(units, far_units, row["alone"], cosine):
+            linked = (vectors[i] * far[j]).sum(axis=1) / (norms[i] * far_norms[j]) >= cosine
             i, j = i[linked], j[linked]
             if len(i):
-                np.add.at(degree, i, n[j])
-                np.add.at(degree, j, n[i])
-                a, b = forest(k[i], k[j])
-                yield batch(a, b, None)
-        some = np.flatnonzero(degree)
-        if len(some):
-            yield batch(k[some], None, degree[some])
+                np.add.at(degree, i, others[j])
+                np.add.at(far_degree, j, n[i])
+                yield *forest(k[i], other[j]), None
+        for x, d in ((k, degree), (other, far_degree)):
+            some = np.flatnonzero(d)
+            if len(some):
+                yield x[some], None, d[some]
+
+    def batches_of(found: list) -> Iterator[pa.RecordBatch]:
+        """What was found, with links and numbers that belong together made one."""
+        edges, numbers = [f for f in found if f[2] is None], [f for f in found if f[1] is None]
+        if edges:
+            yield batch(*forest(*(np.concatenate([f[i] for f in edges]) for i in (0, 1))), None)
+        if numbers:
+            k, at = np.unique(np.concatenate([f[0] for f in numbers]), return_inverse=True)
+            sums = np.zeros(len(k), np.int64)
+            np.add.at(sums, at, np.concatenate([f[2] for f in numbers]))
+            yield batch(k, None, sums)
 
     def batch(a, b, n) -> pa.RecordBatch:
         empty = pa.nulls(len(a), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(a), empty if b is None else pa.array(b), empty if n is None else pa.array(n)], ["a", "b", "n"])
 
-    return tiles.mapInArrow(run, "a bigint, b bigint, n bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for b in batches:
+            for at in range(b.num_rows):
+                row = {c: b.column(c)[at] for c in b.schema.names}
+                row = {c: v.as_py() if c == "alone" else v.as_buffer() for c, v in row.items()}
+                for f in compared(row):
+                    found.append(f)
+                    held += len(f[0])
+                    if held >= 1 << 21:
+                        yield from batches_of(found)
+                        found, held = [], 0
+        yield from batches_of(found)
+
+    return pairs.mapInArrow(run, "a bigint, b bigint, n bigint")
 
 
-def near_vectors(
-    vectors: DataFrame, cosine: float = 0.9, blocks: int = 4, id_col: str = "vec_id", vector_col: str = "embedding"
-) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Per row: ``vec_id``, ``n_links``, ``component_id`` and ``kept`` (it is its component's smallest id).
 
     Two rows link if the cosine of their vectors, in double precision, is at
@@ -201,22 +202,24 @@ def near_vectors(
     lengths. Equal vectors meet before the join and count by their number, so
     ids may repeat or be null (then ``component_id`` is the smallest id that is
     not null, and a row alone keeps its own); an empty table gives an empty
-    result. Only links that keep components connected leave a tile, with the
+    result. Only links that keep components connected leave a task, with the
     number of links of each of its vectors.
     """
-    values = F.col(vector_col).cast("array<double>")
+    kind = vectors.schema[vector_col].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    values = F.col(vector_col).cast("array<float>" if single else "array<double>")
     finite = F.forall(values, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(x))
     usable = F.coalesce(finite & F.exists(values, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col(id_col).alias("id"), F.when(usable, values).alias("vector"))
     classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
     classes = checkpointed(classes.withColumn("k", F.monotonically_increasing_id()))
-    size = classes.agg(F.max(F.size("vector"))).first()[0]
+    size, n_classes = classes.agg(F.max(F.size("vector")), F.count(F.lit(1))).first()
     if size is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    spaces = Subspaces(_moments(classes, size), cosine, blocks)
-    tiles = _tiles(_cells(classes, spaces)).join(classes.select("k", "n", "vector"), "k")
-    tiles = tiles.repartition(*_TILE_KEY).sortWithinPartitions(*_TILE_KEY)
-    found = checkpointed(_links(tiles, spaces, cosine))
+    cores = classes.sparkSession.sparkContext.defaultParallelism
+    parts = classes.coalesce(max(math.isqrt(32 * cores), 8 * size * n_classes // PARTITION))  # each is read with each
+    blocks = checkpointed(_blocks(parts, _moments(classes, size), cosine).withColumn("no", F.monotonically_increasing_id()))
+    found = checkpointed(_links(_block_pairs(blocks), size, "f4" if single else "f8", cosine))
     roots = components(found.where("b IS NOT NULL").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     degrees = found.where("n IS NOT NULL").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("links"))
     rooted = classes.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))

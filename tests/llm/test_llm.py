@@ -276,6 +276,28 @@ def test_near_vectors_with_split_cells(spark, monkeypatch):
     test_near_vectors_equal_brute_force(spark)
 
 
+def test_near_vectors_are_not_shuffled_to_their_partners(spark, monkeypatch):
+    """With blocks of 16, copies for every block that a vector is compared with would outgrow the table."""
+    plans = []
+
+    def recorded(df, checkpointed=embed_dedup.checkpointed):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return checkpointed(df)
+
+    monkeypatch.setattr(embed_dedup, "TILE", 16)
+    monkeypatch.setattr(embed_dedup, "checkpointed", recorded)
+    x = np.random.default_rng(8).standard_normal((300, 6)) + 3
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(300, [1.0, 0.5])]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        v = x.astype(np.float32).astype(float) if kind == "float" else x
+        linked = v @ v.T / np.outer(*2 * [np.linalg.norm(v, axis=1)]) >= 0.9
+        got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_vectors(df).collect()}
+        assert [got[i] for i in range(301)] == [*(linked.sum(axis=1) - 1), 0]
+    of_links = [plan for names, plan in plans if names == ["a", "b", "n"]]
+    assert len(of_links) == 2 and not any("Exchange" in plan for plan in of_links)
+
+
 def test_chat_round_trip(spark):
     turns = [
         (1, 0, "user", "a"), (1, 1, "user", "\\l<next></turn>\n### x:\n"), (1, 2, "assistant", None), (1, 3, "assistant", "# é\\b"),
